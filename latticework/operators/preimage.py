@@ -72,7 +72,7 @@ def permutations(
         rows = rows.select("alphabet", "cand", "rest", F.explode(step).alias("symbol")).select(
             "alphabet",
             F.concat("cand", "symbol").alias("cand"),
-            F.translate(F.col("rest"), F.col("symbol"), F.lit("")).alias("rest"),
+            F.replace(F.col("rest"), F.col("symbol"), F.lit("")).alias("rest"),
         )
         if depth == _SPREAD_AFTER and longest > _SPREAD_AFTER + 1:
             rows = rows.repartition(_spread_width(rows), "cand", "alphabet")
@@ -211,7 +211,7 @@ def remaining_universe(
     """
     carried = ["id", "alphabet", "plen", "value_hash"]
     hints = records.select(*carried, F.explode_outer("hints").alias("hint_hash"))
-    position = F.instr(F.col("alphabet"), F.col("excluded")) - F.lit(1)
+    position = F.position(F.col("excluded"), F.col("alphabet")) - F.lit(1)
     bit = F.when(F.col("excluded").isNotNull(), shift_left(long_lit(1), position))
     masks = (
         _hint_matches(hints, records, candidates, max_candidates, broadcast_rows)

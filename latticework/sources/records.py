@@ -56,17 +56,15 @@ class Dialect:
 
 def record_schema(n_hints: int) -> T.StructType:
     """Positional schema: id, name, alphabet, length, hash of the value, hashes of the hints."""
-    schema = (
-        T.StructType()
-        .add("id", "bigint")
-        .add("name", "string")
-        .add("alphabet", "string")
-        .add("plen", "int")
-        .add("value_hash", "string")
-    )
-    for i in range(1, n_hints + 1):
-        schema = schema.add(f"hint_{i}", "string")
-    return schema
+    fields = [
+        T.StructField("id", T.LongType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("alphabet", T.StringType()),
+        T.StructField("plen", T.IntegerType()),
+        T.StructField("value_hash", T.StringType()),
+    ]
+    hints = [T.StructField(f"hint_{i}", T.StringType()) for i in range(1, n_hints + 1)]
+    return T.StructType(fields + hints)
 
 
 def read_records(

@@ -52,8 +52,13 @@ def stream_reassemble(chunks: DataFrame, delay: str = "1 hour") -> DataFrame:
     return (
         chunks.withWatermark("sent_at", delay)
         .groupBy("msg_id", "n_chunks", "sent_at")
-        .agg(F.collect_set(F.struct("key", "chunk")).alias("parts"))
-        .where(F.col("msg_id").isNotNull())
+        .agg(
+            F.collect_set(F.struct("key", "chunk")).alias("parts"),
+            F.count("key").alias("n_arrived"),
+        )
+        # Leaves out the end mark. On an aggregate, since a filter on the message
+        # would be pushed below the watermark and hide the mark from it.
+        .where(F.col("n_arrived") > 0)
         .select(
             "msg_id",
             "n_chunks",
