@@ -12,6 +12,8 @@ with unique ``id``.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +25,29 @@ from latticework.session import BROADCAST_ROWS
 # 12! is the number of candidates of one 12-symbol alphabet.
 MAX_CANDIDATES = 479_001_600
 
-# Rounds of enumeration after which the rows are spread over the cluster.
-_SPREAD_AFTER = 3
+# The last symbols of a permutation are placed in one step, by these templates.
+_TEMPLATE_SYMBOLS = "12345"
+
+# Candidates one task should enumerate.
+_ROWS_PER_TASK = 250_000
 
 
 def _symbols(text: Column) -> Column:
     return F.split(text, "")
 
 
+def _spread(rows: DataFrame, total: int, *keys: str) -> DataFrame:
+    """Spread started enumerations over as many tasks as the finished ones need."""
+    parallelism = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(parallelism, -(-total // _ROWS_PER_TASK)), *keys)
+
+
+def _templates(n: int) -> Column:
+    """All orderings of the first ``n`` template symbols, as a literal array."""
+    orderings = itertools.permutations(_TEMPLATE_SYMBOLS[:n])
+    return F.array(*[F.lit("".join(o)) for o in orderings])
+
+
 def _check_size(n_candidates: float, limit: int | None, what: str) -> None:
     if limit is not None and n_candidates > limit:
         raise ValueError(
@@ -58,30 +75,50 @@ def permutations(
 ) -> DataFrame:
     """``(alphabet, cand, excluded)``: every ordering of every alphabet minus one symbol.
 
-    Each round appends one of the unused symbols; rows stream through the rounds
-    and are never held as a whole. An alphabet of ``n`` symbols gives ``n!`` rows.
+    The first symbols are chosen in rounds of ``explode``; the started rows are
+    spread over the cluster, and each is completed by all orderings of the few
+    symbols it has left. Rows stream through and are never held as a whole. An
+    alphabet of ``n`` symbols gives ``n!`` rows.
     """
     total, longest = size or permutation_count(alphabets)
     _check_size(total, max_candidates, "permuting the alphabets")
+    at_once = len(_TEMPLATE_SYMBOLS)
+    left = F.length("rest")
     rows = alphabets.select("alphabet").distinct().select(
         "alphabet", F.lit("").alias("cand"), F.col("alphabet").alias("rest")
     )
-    for depth in range(1, longest):
-        # A finished row (one symbol left) passes through with an empty step.
-        step = F.when(F.length("rest") > 1, _symbols(F.col("rest"))).otherwise(F.array(F.lit("")))
-        rows = rows.select("alphabet", "cand", "rest", F.explode(step).alias("symbol")).select(
+    for _ in range(longest - at_once):
+        # Shorter alphabets wait: place 0 takes nothing.
+        places = F.when(left > at_once, F.sequence(F.lit(1), left)).otherwise(F.array(F.lit(0)))
+        place = F.col("place")
+        rows = rows.select("alphabet", "cand", "rest", F.explode(places).alias("place")).select(
             "alphabet",
-            F.concat("cand", "symbol").alias("cand"),
-            F.replace(F.col("rest"), F.col("symbol"), F.lit("")).alias("rest"),
+            F.when(place == 0, F.col("cand"))
+            .otherwise(F.concat("cand", F.substring(F.col("rest"), place, F.lit(1))))
+            .alias("cand"),
+            F.when(place == 0, F.col("rest"))
+            .otherwise(
+                F.concat(
+                    F.substring(F.col("rest"), F.lit(1), place - 1),
+                    F.substring(F.col("rest"), place + 1, left),
+                )
+            )
+            .alias("rest"),
         )
-        if depth == _SPREAD_AFTER and longest > _SPREAD_AFTER + 1:
-            rows = rows.repartition(_spread_width(rows), "cand", "alphabet")
-    return rows.select("alphabet", "cand", F.col("rest").alias("excluded"))
-
-
-def _spread_width(df: DataFrame) -> int:
-    context = df.sparkSession.sparkContext
-    return max(context.defaultParallelism * 4, 8)
+    rows = _spread(rows, total, "alphabet", "cand")
+    templates = F.when(left == 1, _templates(1))
+    for n in range(2, at_once + 1):
+        templates = templates.when(left == n, _templates(n))
+    ordered = F.expr(f"translate(template, substring('{_TEMPLATE_SYMBOLS}', 1, length(rest)), rest)")
+    return (
+        rows.select("alphabet", "cand", "rest", F.explode(templates).alias("template"))
+        .select("alphabet", "cand", "rest", ordered.alias("ordered"))
+        .select(
+            "alphabet",
+            F.concat("cand", F.substring(F.col("ordered"), F.lit(1), left - 1)).alias("cand"),
+            F.substring("ordered", -1, 1).alias("excluded"),
+        )
+    )
 
 
 def hashed_permutations(alphabets: DataFrame, **options) -> DataFrame:
@@ -114,18 +151,20 @@ def tuples(
     symbols may repeat. A domain of ``n`` symbols gives ``n ** plen`` rows."""
     total, longest = size or tuple_count(domains)
     _check_size(total, max_candidates, "enumerating the strings")
-    rows = domains.select("universe", "plen").distinct().withColumn("cand", F.lit(""))
-    spread_at = max(longest // 2, 1)
+    rows = domains.select("universe", "plen").distinct().select(
+        "universe", "plen", _symbols(F.col("universe")).alias("symbols"), F.lit("").alias("cand")
+    )
     for depth in range(1, longest + 1):
-        step = F.when(F.length("cand") < F.col("plen"), _symbols(F.col("universe"))).otherwise(
+        # A finished string passes through with an empty step.
+        step = F.when(F.length("cand") < F.col("plen"), F.col("symbols")).otherwise(
             F.array(F.lit(""))
         )
-        rows = rows.select("universe", "plen", "cand", F.explode(step).alias("symbol")).select(
-            "universe", "plen", F.concat("cand", "symbol").alias("cand")
-        )
-        if depth == spread_at and total > BROADCAST_ROWS:
-            rows = rows.repartition(_spread_width(rows), "universe", "plen", "cand")
-    return rows
+        rows = rows.select(
+            "universe", "plen", "symbols", "cand", F.explode(step).alias("symbol")
+        ).select("universe", "plen", "symbols", F.concat("cand", "symbol").alias("cand"))
+        if depth == max(longest // 2, 1) and total > _ROWS_PER_TASK:
+            rows = _spread(rows, total, "universe", "plen", "cand")
+    return rows.select("universe", "plen", "cand")
 
 
 def hint_rows(records: DataFrame) -> DataFrame:
