@@ -12,7 +12,7 @@ attribute sets.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,27 +45,23 @@ def attribute_list(tables: Mapping[str, DataFrame], qualify: bool = True) -> lis
     return sorted(names)
 
 
-def _table_cells(df: DataFrame, tags: list[Column], tag_name: str) -> DataFrame:
-    pairs: list[Column] = []
-    for tag, column in zip(tags, scalar_columns(df)):
-        pairs += [tag, F.col(f"`{column}`").cast("string")]
-    return df.select(F.stack(F.lit(len(tags)), *pairs).alias(tag_name, "value")).where(
-        F.col("value").isNotNull()
-    )
-
-
-def _union_cells(tables, tag_of, tag_name) -> DataFrame:
-    parts = [
-        _table_cells(df, [F.lit(tag_of(table, c)) for c in scalar_columns(df)], tag_name)
-        for table, df in tables.items()
-        if scalar_columns(df)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _union_cells(tables: Mapping[str, DataFrame], tag_of: Callable[[str, str], str]) -> DataFrame:
+    """``(tag, value)`` for every non-null cell; the cells are cast to text, column by column."""
+    parts = []
+    for table, df in tables.items():
+        columns = scalar_columns(df)
+        if not columns:
+            continue
+        tags = [tag_of(table, c) for c in columns]
+        texts = df.select(*[F.col(f"`{c}`").cast("string").alias(t) for c, t in zip(columns, tags)])
+        parts.append(texts.unpivot([], [F.col(f"`{t}`") for t in tags], "tag", "value"))
+    return reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
 
 
 def cells(tables: Mapping[str, DataFrame], qualify: bool = True) -> DataFrame:
     """One row ``(attr, value)`` per non-null cell of every table."""
-    return _union_cells(tables, lambda t, c: attribute_name(t, c, qualify), "attr")
+    rows = _union_cells(tables, lambda t, c: attribute_name(t, c, qualify))
+    return rows.withColumnRenamed("tag", "attr")
 
 
 def attribute_sets(cell_rows: DataFrame) -> DataFrame:
@@ -96,7 +92,8 @@ def value_masks(
     """
     names = attribute_list(tables, qualify)
     number = {name: i for i, name in enumerate(names)}
-    rows = _union_cells(tables, lambda t, c: number[attribute_name(t, c, qualify)], "attr_no")
+    rows = _union_cells(tables, lambda t, c: str(number[attribute_name(t, c, qualify)]))
+    rows = rows.select(F.col("tag").cast("int").alias("attr_no"), "value")
     keys = ["value"]
     if digest_over is not None:
         is_long = F.length("value") > F.lit(digest_over)

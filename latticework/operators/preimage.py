@@ -207,11 +207,11 @@ def _hint_matches(
         )
     found = candidates.withColumnRenamed("cand_hash", "hint_hash")
     keys = ["alphabet", "hint_hash"]
-    if total <= broadcast_rows:
+    if total <= broadcast_rows and total < n_hints:
         # Few candidates: the records stream by and are not shuffled.
         return hints.join(F.broadcast(found), keys, "left")
-    # Many candidates: reduce them to the hashes that are asked for. Equal hints
-    # of many records count once here, so no key is hot.
+    # Else reduce the candidates to the hashes that are asked for. Equal hints of
+    # many records count once here, so no key is hot.
     wanted = hints.select(*keys).distinct()
     if n_hints <= broadcast_rows:
         matched = found.join(F.broadcast(wanted), keys)

@@ -1,0 +1,122 @@
+import random
+
+import pytest
+from conftest import row_set
+
+from latticework.operators import inclusion as ops
+
+
+def brute_inds(columns):
+    """columns: {attr: set of texts}; (dep, ref) pairs by plain set inclusion."""
+    return {
+        (d, r)
+        for d, dv in columns.items()
+        for r, rv in columns.items()
+        if d != r and dv and dv <= rv
+    }
+
+
+def columns_of(tables, qualify=True):
+    out = {}
+    for name, df in tables.items():
+        for column in df.columns:
+            attr = ops.attribute_name(name, column, qualify)
+            values = {r[0] for r in df.selectExpr(f"cast(`{column}` as string)").collect()}
+            out.setdefault(attr, set()).update(v for v in values if v is not None)
+    return out
+
+
+@pytest.fixture(scope="module")
+def edge_tables(spark):
+    return {
+        "t": spark.createDataFrame(
+            [(1, "x", None, 1.0), (2, None, None, 2.0), (1, "y", None, 1.0)],
+            "id int, name string, nothing string, amount double",
+        ),
+        "u": spark.createDataFrame([(1,), (2,), (3,), (None,)], "id bigint"),
+        "empty": spark.createDataFrame([], "id int, other string"),
+        "w": spark.createDataFrame([("x",), ("y",), ("z",), ("1",), ("2",)], "name string"),
+    }
+
+
+def test_edge_cases_match_plain_inclusion(edge_tables):
+    got = row_set(ops.ind_rows(ops.unary_inds(edge_tables)))
+    assert got == brute_inds(columns_of(edge_tables))
+    deps = {d for d, _ in got}
+    # No vacuous dependency of an all-null column or an empty table.
+    assert "t.nothing" not in deps and not any(d.startswith("empty.") for d in deps)
+    # 1 is not 1.0 in text.
+    assert ("t.amount", "u.id") not in got and ("t.id", "u.id") in got
+
+
+def test_bare_names_merge_equal_columns(edge_tables):
+    got = row_set(ops.ind_rows(ops.unary_inds(edge_tables, qualify=False)))
+    assert got == brute_inds(columns_of(edge_tables, qualify=False))
+
+
+def test_cells_skip_nulls_and_keep_repeats(edge_tables):
+    rows = ops.cells(edge_tables).collect()
+    assert sum(r["attr"] == "t.id" for r in rows) == 3
+    assert sum(r["attr"] == "u.id" for r in rows) == 3
+    assert not [r for r in rows if r["attr"] == "t.nothing"]
+
+
+def random_tables(spark, n_tables, n_columns, seed):
+    rng = random.Random(seed)
+    tables = {}
+    for t in range(n_tables):
+        rows = [
+            tuple(
+                None if rng.random() < 0.1 else str(rng.randrange(1 + (c * 7 + t) % 9))
+                for c in range(n_columns)
+            )
+            for _ in range(25)
+        ]
+        schema = ", ".join(f"c{c} string" for c in range(n_columns))
+        tables[f"t{t}"] = spark.createDataFrame(rows, schema)
+    return tables
+
+
+@pytest.mark.parametrize("n_tables,n_columns", [(2, 5), (4, 32), (5, 40)])
+def test_masks_match_brute_force_and_set_form(spark, n_tables, n_columns):
+    tables = random_tables(spark, n_tables, n_columns, seed=n_columns)
+    want = brute_inds(columns_of(tables))
+    assert row_set(ops.ind_rows(ops.unary_inds(tables))) == want
+    by_sets = ops.inds_from_sets(ops.attribute_sets(ops.cells(tables)))
+    assert row_set(ops.ind_rows(by_sets)) == want
+    assert row_set(ops.ind_rows(ops.unary_inds(tables, digest_over=0))) == want
+
+
+def test_wide_schemas_fall_back_to_arrays(spark, monkeypatch):
+    tables = random_tables(spark, 3, 30, seed=1)
+    sets = {(r["value"], tuple(r["aset"])) for r in ops.attribute_sets_of(tables).collect()}
+    pairs = row_set(ops.shared_value_counts(tables))
+    monkeypatch.setattr(ops, "MAX_MASK_WORDS", 1)
+    assert sets == {(r["value"], tuple(r["aset"])) for r in ops.attribute_sets_of(tables).collect()}
+    assert pairs == row_set(ops.shared_value_counts(tables))
+    assert row_set(ops.ind_rows(ops.unary_inds(tables))) == brute_inds(columns_of(tables))
+
+
+def test_digest_does_not_mix_long_and_short_values(spark):
+    long_text = "a" * 100
+    digest = spark.range(1).selectExpr(f"sha2('{long_text}', 256)").first()[0]
+    tables = {
+        "a": spark.createDataFrame([(long_text,)], "v string"),
+        "b": spark.createDataFrame([(digest,)], "v string"),
+    }
+    assert ops.unary_inds(tables, digest_over=80).count() == 0
+
+
+def test_report_lines(spark):
+    tables = {
+        "a": spark.createDataFrame([("1",)], "v string"),
+        "c": spark.createDataFrame([("1",), ("2",)], "v string"),
+        "b": spark.createDataFrame([("1",), ("2",), ("3",)], "v string"),
+    }
+    lines = [r["line"] for r in ops.report(ops.unary_inds(tables)).collect()]
+    assert lines == ["a.v < b.v, c.v", "c.v < b.v"]
+
+
+def test_nested_columns_are_left_out(spark):
+    df = spark.createDataFrame([(1, [1, 2])], "id int, items array<int>")
+    assert ops.attribute_list({"t": df}) == ["t.id"]
