@@ -67,6 +67,19 @@ def record_schema(n_hints: int) -> T.StructType:
     return T.StructType(fields + hints)
 
 
+def _as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+
+
+def _typed(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fields in their types, null where the text does not fit.
+
+    Lines are read as text, so that only their length decides whether they are
+    skipped, whichever columns a query asks for.
+    """
+    return texts.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_records(
     spark: SparkSession,
     schema: T.StructType,
@@ -74,7 +87,8 @@ def read_records(
     dialect: Dialect = Dialect(),
 ) -> DataFrame:
     """Read a record file; lines of another length than the schema are skipped."""
-    return spark.read.schema(schema).options(**dialect.options()).csv(path or dialect.path)
+    reader = spark.read.schema(_as_text(schema)).options(**dialect.options())
+    return _typed(reader.csv(path or dialect.path), schema)
 
 
 def stream_records(
@@ -85,12 +99,12 @@ def stream_records(
     dialect: Dialect = Dialect(),
 ) -> DataFrame:
     """Read record files as a stream in bounded batches."""
-    return (
-        spark.readStream.schema(schema)
+    reader = (
+        spark.readStream.schema(_as_text(schema))
         .options(**dialect.options())
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
     )
+    return _typed(reader.csv(path), schema)
 
 
 def hint_columns(df: DataFrame) -> list[str]:

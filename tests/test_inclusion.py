@@ -19,10 +19,10 @@ def brute_inds(columns):
 def columns_of(tables, qualify=True):
     out = {}
     for name, df in tables.items():
+        rows = df.selectExpr(*[f"cast(`{c}` as string) as `{c}`" for c in df.columns]).collect()
         for column in df.columns:
             attr = ops.attribute_name(name, column, qualify)
-            values = {r[0] for r in df.selectExpr(f"cast(`{column}` as string)").collect()}
-            out.setdefault(attr, set()).update(v for v in values if v is not None)
+            out.setdefault(attr, set()).update(r[column] for r in rows if r[column] is not None)
     return out
 
 
