@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from latticework.functions import bits
 from latticework.functions.hashing import HASH_SEED
+from latticework.operators.joins import lookup
 
 KEYS = ["set_id", "word_ix"]
 
@@ -123,10 +124,9 @@ def logical_length(words: DataFrame, sets: DataFrame | None = None) -> DataFrame
 def get(words: DataFrame, probes: DataFrame) -> DataFrame:
     """``probes`` (``set_id, bit, ...``) with the boolean column ``is_set``."""
     keyed = probes.withColumn("word_ix", bits.word_index(F.col("bit").cast("bigint")))
-    joined = keyed.join(words, KEYS, "left")
     hit = bits.has_bit(F.col("word"), bits.word_position(F.col("bit").cast("bigint")))
-    return joined.select(
-        *[joined[c] for c in probes.columns], F.coalesce(hit, F.lit(False)).alias("is_set")
+    return lookup(keyed, words.select(*KEYS, "word"), KEYS).select(
+        *probes.columns, F.coalesce(hit, F.lit(False)).alias("is_set")
     )
 
 
@@ -236,7 +236,7 @@ def update(members: DataFrame, updates: DataFrame) -> DataFrame:
         .agg(F.max("seq").cast("bigint").alias("clear_seq"))
     )
     return (
-        latest.join(clears, "set_id", "left")
+        lookup(latest, clears, ["set_id"])
         .where(F.col("clear_seq").isNull() | (F.col("seq") > F.col("clear_seq")))
         .select("set_id", "bit")
     )
@@ -299,7 +299,7 @@ def equal_groups(words: DataFrame) -> DataFrame:
     groups = signed.groupBy("signature").agg(
         F.min("set_id").alias("leader"), F.count(F.lit(1)).alias("n_sets")
     )
-    return signed.join(groups, "signature").select("set_id", "leader", "n_sets")
+    return lookup(signed, groups, ["signature"], "inner").select("set_id", "leader", "n_sets")
 
 
 def to_text(words: DataFrame, sets: DataFrame | None = None) -> DataFrame:

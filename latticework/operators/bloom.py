@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from latticework.functions import bits
 from latticework.functions.hashing import DEFAULT_FILTER_BITS, bucket, text_bucket
+from latticework.operators.joins import lookup
 
 # Filters of up to this many words (the default filter has 2,621,440) are broadcast.
 BROADCAST_WORDS = 4_000_000
@@ -77,9 +78,14 @@ def _probe(df: DataFrame, key: str, filter_words: DataFrame, size: int, how: str
         "word_ix", bits.word_index(F.col("bucket"))
     )
     fits = -(-size // bits.WORD_BITS) <= BROADCAST_WORDS
-    words = F.broadcast(filter_words) if fits else filter_words.hint("shuffle_merge")
+    words = filter_words.select("word_ix", "word")
+    joined = (
+        keyed.join(F.broadcast(words), "word_ix", how)
+        if fits
+        else lookup(keyed, words, ["word_ix"], how)
+    )
     hit = bits.has_bit(F.col("word"), bits.word_position(F.col("bucket")))
-    return keyed.join(words, "word_ix", how).withColumn("maybe", F.coalesce(hit, F.lit(False)))
+    return joined.withColumn("maybe", F.coalesce(hit, F.lit(False)))
 
 
 def semi_join(
@@ -117,9 +123,12 @@ def added_flags(df: DataFrame, key: str, order: str, size: int = DEFAULT_FILTER_
     """
     keyed = _with_bucket(df, key, size)
     firsts = keyed.groupBy("bucket").agg(F.min(order).alias("first_order"))
-    if size <= BROADCAST_BUCKETS:
-        firsts = F.broadcast(firsts)
-    return keyed.join(firsts, "bucket").select(
+    joined = (
+        keyed.join(F.broadcast(firsts), "bucket")
+        if size <= BROADCAST_BUCKETS
+        else lookup(keyed, firsts, ["bucket"], "inner")
+    )
+    return joined.select(
         *df.columns, "bucket", (F.col(order) == F.col("first_order")).alias("added")
     )
 

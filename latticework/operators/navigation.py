@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from latticework.functions import bits
 from latticework.operators.bitset import pack
+from latticework.operators.joins import lookup
 
 BLOCK_SHIFT = 20
 
@@ -69,9 +70,7 @@ def asof(
 
 def _attach(probes: DataFrame, answers: DataFrame, result: str) -> DataFrame:
     """Give every probe row its answer; all rows and columns of ``probes`` stay."""
-    return probes.join(answers, ["set_id", "from_bit"], "left").select(
-        *[probes[c] for c in probes.columns], result
-    )
+    return lookup(probes, answers, ["set_id", "from_bit"]).select(*probes.columns, result)
 
 
 def _points(members: DataFrame) -> DataFrame:

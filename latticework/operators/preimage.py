@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from latticework.functions.bits import has_bit, long_lit, shift_left
 from latticework.functions.hashing import sha256_hex
+from latticework.operators.joins import lookup
 from latticework.session import BROADCAST_ROWS
 
 # Enumerations above this size are refused unless the caller lifts the limit.
@@ -48,6 +49,12 @@ def _templates(n: int) -> Column:
     return F.array(*[F.lit("".join(o)) for o in orderings])
 
 
+def _digest(cand: Column) -> Column:
+    """Digest of a candidate, declared not null: a nullable join key would be computed
+    a second time for the null test in front of the join."""
+    return F.coalesce(sha256_hex(cand), F.lit(""))
+
+
 def _check_size(n_candidates: float, limit: int | None, what: str) -> None:
     if limit is not None and n_candidates > limit:
         raise ValueError(
@@ -124,7 +131,7 @@ def permutations(
 def hashed_permutations(alphabets: DataFrame, **options) -> DataFrame:
     """``(alphabet, cand_hash, excluded)``."""
     return permutations(alphabets, **options).select(
-        "alphabet", sha256_hex(F.col("cand")).alias("cand_hash"), "excluded"
+        "alphabet", _digest(F.col("cand")).alias("cand_hash"), "excluded"
     )
 
 
@@ -217,8 +224,7 @@ def _hint_matches(
         matched = found.join(F.broadcast(wanted), keys)
         return hints.join(F.broadcast(matched), keys, "left")
     matched = found.hint("shuffle_merge").join(wanted.hint("shuffle_merge"), keys)
-    # Adaptive execution splits a hot hint on the streamed (left) side.
-    return hints.join(matched.hint("shuffle_merge"), keys, "left")
+    return lookup(hints, matched.hint("shuffle_merge"), keys)
 
 
 def match_hints(
@@ -287,16 +293,16 @@ def recover(
     domains = universes.select("universe", "plen").distinct()
     total, longest = tuple_count(domains)
     cands = tuples(domains, max_candidates, size=(total, longest)).withColumn(
-        "value_hash", sha256_hex(F.col("cand"))
+        "value_hash", _digest(F.col("cand"))
     )
     keys = ["universe", "plen", "value_hash"]
     if total <= broadcast_rows:
         joined = universes.join(F.broadcast(cands), keys, "left")
     else:
         # Keep only the strings that are asked for; a hash that many records
-        # share counts once and is split by adaptive execution in the last join.
+        # share counts once here.
         wanted = universes.select(*keys).distinct()
         matched = cands.hint("shuffle_merge").join(wanted.hint("shuffle_merge"), keys)
-        joined = universes.join(matched.hint("shuffle_merge"), keys, "left")
+        joined = lookup(universes, matched.hint("shuffle_merge"), keys)
     status = F.when(F.col("cand").isNull(), F.lit("unresolved")).otherwise(F.lit("found"))
     return joined.select("id", F.col("cand").alias("value"), status.alias("status"))
