@@ -39,6 +39,16 @@ def pack(members: DataFrame) -> DataFrame:
     return _merge_words(masks(members))
 
 
+def bounded(words: DataFrame, capacity: int) -> DataFrame:
+    """``words``, failing at run time on a member at or past ``capacity`` (rounded up to
+    whole words)."""
+    n_words = -(-capacity // bits.WORD_BITS)
+    outside = (F.col("word_ix") >= F.lit(n_words)) & (F.col("word") != 0)
+    message = F.lit(f"a member lies outside the capacity of {capacity} bits")
+    word = F.when(outside, F.raise_error(message).cast("bigint")).otherwise(F.col("word"))
+    return words.select(*KEYS, word.alias("word"))
+
+
 def unpack(words: DataFrame) -> DataFrame:
     """Members of packed sets."""
     spread = words.where(F.col("word") != 0).select(

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 # Fixed value: default chunk size in bytes.
 DEFAULT_CHUNK_SIZE = 260_001
 
+_CHUNKS_PER_PART = 64
+
 
 def chunk_count(length: Column, chunk_size: int) -> Column:
     """Number of chunks; an empty value still has one (empty) chunk."""
@@ -38,18 +40,33 @@ def split(
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
     payload = F.col(value).cast("binary" if unit == "bytes" else "string")
-    numbered = (
-        df.select(F.col(msg_id).alias("msg_id"), payload.alias("payload"))
-        .where(F.col("payload").isNotNull())
-        .withColumn("n_chunks", chunk_count(F.length("payload"), chunk_size))
-        .withColumn("key", F.explode(F.sequence(F.lit(1), F.col("n_chunks"))))
+    rows = (
+        df.where(F.col(value).isNotNull())
+        .select(F.col(msg_id).alias("msg_id"), payload.alias("part"))
+        .select("*", chunk_count(F.length("part"), chunk_size).alias("n_chunks"))
+        .select("*", F.lit(0).alias("before"), F.col("n_chunks").alias("n_here"))
     )
-    start = (F.col("key") - F.lit(1)) * F.lit(chunk_size) + F.lit(1)
-    return numbered.select(
+    if unit == "chars":
+        # A position in a text is found by counting from its start, so long texts are cut
+        # into parts of many chunks first.
+        part_chars = _CHUNKS_PER_PART * chunk_size
+        last_part = F.call_function("div", F.col("n_chunks") - 1, F.lit(_CHUNKS_PER_PART))
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0), last_part.cast("int"))).alias("part_no"))
+        done = F.col("part_no") * F.lit(_CHUNKS_PER_PART)
+        rows = rows.select(
+            "msg_id",
+            "n_chunks",
+            F.substring(F.col("part"), F.col("part_no") * F.lit(part_chars) + 1, F.lit(part_chars)).alias("part"),
+            done.alias("before"),
+            F.least(F.col("n_chunks") - done, F.lit(_CHUNKS_PER_PART)).alias("n_here"),
+        )
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("n_here"))).alias("nr"))
+    start = (F.col("nr") - F.lit(1)) * F.lit(chunk_size) + F.lit(1)
+    return rows.select(
         "msg_id",
         "n_chunks",
-        "key",
-        F.substring(F.col("payload"), start, F.lit(chunk_size)).alias("chunk"),
+        (F.col("before") + F.col("nr")).alias("key"),
+        F.substring(F.col("part"), start, F.lit(chunk_size)).alias("chunk"),
     )
 
 
@@ -58,8 +75,9 @@ def joined_value(chunks: Column, binary: bool) -> Column:
     parts = F.transform(F.array_sort(chunks), lambda c: c["chunk"])
     if not binary:
         return F.array_join(parts, "")
-    # Hex keeps every byte while the parts are joined as text.
-    return F.unhex(F.array_join(F.transform(parts, F.hex), ""))
+    # A cast between binary and text keeps all bytes as they are.
+    texts = F.transform(parts, lambda p: p.cast("string"))
+    return F.array_join(texts, "").cast("binary")
 
 
 def is_binary(chunks: DataFrame) -> bool:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from latticework.functions.bits import has_bit, long_lit, shift_left
 from latticework.functions.hashing import sha256_hex
 from latticework.operators.joins import lookup
-from latticework.session import BROADCAST_ROWS
+from latticework.session import BROADCAST_ROWS, materialize
 
 # Enumerations above this size are refused unless the caller lifts the limit.
 # 12! is the number of candidates of one 12-symbol alphabet.
@@ -285,11 +285,13 @@ def recover(
     """``(id, value, status)``: ``value`` is null and ``status`` is ``unresolved``
     where no string of the remaining domain has the declared hash.
 
-    Records that share a domain share its enumeration. ``universes`` may be given
-    as a stored result of :func:`remaining_universe`; it is read twice.
+    Records that share a domain share its enumeration. The remaining universes are
+    read three times, so they are stored once, unless given as ``universes``.
     """
     if universes is None:
-        universes = remaining_universe(records, candidates, max_candidates, broadcast_rows)
+        universes = materialize(
+            remaining_universe(records, candidates, max_candidates, broadcast_rows), "universes"
+        )
     domains = universes.select("universe", "plen").distinct()
     total, longest = tuple_count(domains)
     cands = tuples(domains, max_candidates, size=(total, longest)).withColumn(

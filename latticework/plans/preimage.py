@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from latticework.functions.hashing import sha256_hex
 from latticework.operators import preimage as ops
 from latticework.plans.inputs import (
-    RECORDS_SQL, hashed_records, plain_records, record_file_rows, table,
+    MAX_HINTS, RECORDS_SQL, hashed_records, plain_records, record_file_rows, table,
 )
+from latticework.plans.readers import write_record_files
 from latticework.session import materialize, scratch_dir
 from latticework.sources.records import record_schema, stream_records, with_hint_array
-from latticework.plans.inputs import MAX_HINTS
-from latticework.plans.readers import write_record_files
 from latticework.streaming.hints import stream_hint_match as match_stream
 from latticework.streaming.runs import run_available
 
@@ -48,9 +47,7 @@ def preimage_universe(spark, sf_dir):
 
 
 def preimage_recover(spark, sf_dir):
-    records = hashed_records(spark, sf_dir)
-    universes = materialize(ops.remaining_universe(records), "universes")
-    return ops.recover(records, universes=universes)
+    return ops.recover(hashed_records(spark, sf_dir))
 
 
 def stream_hint_match(spark, sf_dir):

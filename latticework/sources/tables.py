@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 # Fixed value: field separator of the table files.
 TABLE_SEPARATOR = ";"
 
+_PARALLEL_READS = 8
+
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -52,13 +55,16 @@ def read_tables(
     unless ``schemas`` names the type of a table.
     """
     paths = list_tables(spark, source) if isinstance(source, str) else dict(source)
-    tables = {}
-    for name, path in paths.items():
+
+    def read(name: str) -> DataFrame:
         reader = spark.read.options(sep=sep, header=True, **options)
         schema = (schemas or {}).get(name)
         reader = reader.schema(schema) if schema is not None else reader.options(inferSchema=True)
-        tables[name] = reader.csv(path)
-    return tables
+        return reader.csv(paths[name])
+
+    # Inference runs a job per table; small tables share the cluster meanwhile.
+    with ThreadPoolExecutor(_PARALLEL_READS) as pool:
+        return dict(zip(paths, pool.map(read, paths)))
 
 
 def write_table(df: DataFrame, path: str, sep: str = TABLE_SEPARATOR, **options) -> None:

@@ -184,3 +184,10 @@ def test_to_text(spark):
     ids = spark.createDataFrame([(1,), (2,), (3,), (4,)], "set_id int")
     got = dict(row_set(ops.to_text(ops.pack(members(spark, sets)), ids)))
     assert got == {1: "{1, 2, 5}", 2: "{63, 64, 200}", 3: "{0}", 4: "{}"}
+
+
+def test_capacity_is_checked(spark):
+    words = ops.pack(members(spark, {1: {3, 127}}))
+    assert as_sets(ops.unpack(ops.bounded(words, 100))) == {1: {3, 127}}
+    with pytest.raises(Exception, match="outside the capacity"):
+        ops.bounded(words, 64).collect()

@@ -61,6 +61,15 @@ def test_missing_and_repeated_chunks(messages):
     assert got[6] == (2250, TEXTS[6])
 
 
+def test_long_text_in_many_parts(spark):
+    text = "aß𝄞" * 5_000
+    df = spark.createDataFrame([(1, text), (2, text[:128 * 7]), (3, text[:128 * 7 + 1])], "msg int, body string")
+    rows = ops.split(df, "msg", "body", 7, "chars").collect()
+    for msg, body in [(1, text), (2, text[:128 * 7]), (3, text[:128 * 7 + 1])]:
+        got = sorted((r["key"], r["chunk"]) for r in rows if r["msg_id"] == msg)
+        assert got == [(i // 7 + 1, body[i:i + 7]) for i in range(0, len(body), 7)]
+
+
 def test_bad_arguments(messages):
     with pytest.raises(ValueError):
         ops.split(messages, "msg", "body", 0)

@@ -78,8 +78,8 @@ def test_hints_name_the_excluded_symbol(records, limit):
 
 
 def test_many_hints_use_the_broadcast_candidates(spark, records):
-    many = records.where("id = 4").crossJoin(spark.range(50).withColumnRenamed("id", "n")).selectExpr(
-        "n as id", "alphabet", "plen", "value_hash", "hints"
+    many = records.where("id = 4").selectExpr(
+        "explode(sequence(1, 50)) as id", "alphabet", "plen", "value_hash", "hints"
     )
     assert {r["value"] for r in ops.recover(many).collect()} == {"ZX"}
 
