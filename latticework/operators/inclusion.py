@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from latticework.functions.bits import WORD_BITS, WORD_SHIFT, has_bit, long_lit
+from latticework.functions.bits import WORD_BITS, WORD_SHIFT, long_lit
 
 # Above this many mask words per value, attribute sets are kept as arrays.
 MAX_MASK_WORDS = 32
@@ -53,9 +53,18 @@ def _union_cells(tables: Mapping[str, DataFrame], tag_of: Callable[[str, str], s
         if not columns:
             continue
         tags = [tag_of(table, c) for c in columns]
-        texts = df.select(*[F.col(f"`{c}`").cast("string").alias(t) for c, t in zip(columns, tags)])
-        parts.append(texts.unpivot([], [F.col(f"`{t}`") for t in tags], "tag", "value"))
-    return reduce(DataFrame.unionByName, parts).where(F.col("value").isNotNull())
+        texts = df.selectExpr(
+            *[f"cast({_quoted(c)} as string) as {_quoted(t)}" for c, t in zip(columns, tags)]
+        )
+        parts.append(texts.unpivot([], [_quoted(t) for t in tags], "tag", "value"))
+    # Pairwise, since every union is analysed again with all it contains.
+    while len(parts) > 1:
+        parts = [reduce(DataFrame.union, parts[i:i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0].where(F.col("value").isNotNull())
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def cells(tables: Mapping[str, DataFrame], qualify: bool = True) -> DataFrame:
@@ -129,14 +138,13 @@ def attribute_set_counts(
     )
 
 
-def _holds(masks: list[str], attr_no: int) -> Column:
-    return has_bit(F.col(masks[attr_no // WORD_BITS]), F.lit(attr_no % WORD_BITS))
-
-
 def _names_in(masks: list[str], names: list[str], skip: Column | None = None) -> Column:
     """Names of the set bits as an array, in name order."""
-    found = F.array(*[F.when(_holds(masks, i), F.lit(n)) for i, n in enumerate(names)])
-    found = F.filter(found, lambda n: n.isNotNull())
+    cases = []
+    for i, name in enumerate(names):
+        text = name.replace("\\", "\\\\").replace("'", "\\'")
+        cases.append(f"CASE WHEN bit_get({masks[i // WORD_BITS]}, {i % WORD_BITS}) = 1 THEN '{text}' END")
+    found = F.expr(f"filter(array({', '.join(cases)}), name -> name IS NOT NULL)")
     return found if skip is None else F.array_remove(found, skip)
 
 

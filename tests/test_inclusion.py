@@ -120,3 +120,9 @@ def test_report_lines(spark):
 def test_nested_columns_are_left_out(spark):
     df = spark.createDataFrame([(1, [1, 2])], "id int, items array<int>")
     assert ops.attribute_list({"t": df}) == ["t.id"]
+
+
+def test_unusual_column_names(spark):
+    df = spark.createDataFrame([("1", "1", "2")], ["it's", "a`b.c", "x\\y"])
+    got = row_set(ops.ind_rows(ops.unary_inds({"t": df})))
+    assert got == {("t.it's", "t.a`b.c"), ("t.a`b.c", "t.it's")}
