@@ -296,8 +296,7 @@ def signatures(words: DataFrame) -> DataFrame:
 
 
 def _digest(array: str, field: str) -> Column:
-    text = F.array_join(F.transform(F.array_sort(array), lambda e: e[field]), ",")
-    return F.sha2(text, 256)
+    return F.sha2(F.array_join(F.sort_array(array)[field], ","), 256)
 
 
 def equal_groups(words: DataFrame) -> DataFrame:
@@ -327,7 +326,7 @@ def to_text(words: DataFrame, sets: DataFrame | None = None) -> DataFrame:
             "set_id",
             F.concat(
                 F.lit("{"),
-                F.array_join(F.transform(F.array_sort("entries"), lambda e: e["part"]), ", "),
+                F.array_join(F.sort_array("entries")["part"], ", "),
                 F.lit("}"),
             ).alias("text"),
         )

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from latticework.functions import bits
-from latticework.functions.hashing import DEFAULT_FILTER_BITS, bucket, text_bucket
+from latticework.functions.hashing import DEFAULT_FILTER_BITS, bucket, bucket_of_hash, text_bucket
+from latticework.operators.bitset import hash_code
 from latticework.operators.joins import lookup
 
 # Filters of up to this many words (the default filter has 2,621,440) are broadcast.
@@ -34,6 +35,11 @@ def _with_bucket(df: DataFrame, key: str, size: int) -> DataFrame:
     return df.where(F.col(key).isNotNull()).withColumn("bucket", bucket_of(df, key, size))
 
 
+def set_buckets(words: DataFrame, size: int) -> DataFrame:
+    """``(set_id, bucket)`` of whole sets in packed form, where a set is one element."""
+    return hash_code(words).select("set_id", bucket_of_hash(F.col("hash_code"), size).alias("bucket"))
+
+
 def build(
     df: DataFrame, key: str, size: int = DEFAULT_FILTER_BITS, by: str | None = None
 ) -> DataFrame:

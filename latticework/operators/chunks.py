@@ -72,12 +72,11 @@ def split(
 
 def joined_value(chunks: Column, binary: bool) -> Column:
     """Concatenate an array of ``(key, chunk)`` in key order."""
-    parts = F.transform(F.array_sort(chunks), lambda c: c["chunk"])
+    parts = F.sort_array(chunks)["chunk"]
     if not binary:
         return F.array_join(parts, "")
     # A cast between binary and text keeps all bytes as they are.
-    texts = F.transform(parts, lambda p: p.cast("string"))
-    return F.array_join(texts, "").cast("binary")
+    return F.array_join(parts.cast("array<string>"), "").cast("binary")
 
 
 def is_binary(chunks: DataFrame) -> bool:

@@ -83,7 +83,7 @@ def attribute_sets(cell_rows: DataFrame) -> DataFrame:
         cell_rows.select("attr", "value")
         .distinct()
         .groupBy("value")
-        .agg(F.array_sort(F.collect_list("attr")).alias("aset"))
+        .agg(F.sort_array(F.collect_list("attr")).alias("aset"))
     )
 
 
@@ -239,7 +239,7 @@ def inds_from_sets(sets: DataFrame) -> DataFrame:
         )
         .select(
             "dep",
-            F.array_sort(
+            F.sort_array(
                 F.transform(
                     F.filter("others", lambda c: c["n_shared"] == F.col("n_values")),
                     lambda c: c["ref"],

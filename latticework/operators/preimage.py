@@ -176,8 +176,10 @@ def tuples(
 
 def hint_rows(records: DataFrame) -> DataFrame:
     """``(id, alphabet, hint_ix, hint_hash)``: one row per non-null hint, counted from 1."""
+    # The outer form keeps Spark from testing the size of the array beforehand, which would
+    # compute a derived hint array twice.
     return (
-        records.select("id", "alphabet", F.posexplode("hints").alias("ix", "hint_hash"))
+        records.select("id", "alphabet", F.posexplode_outer("hints").alias("ix", "hint_hash"))
         .where(F.col("hint_hash").isNotNull())
         .select("id", "alphabet", (F.col("ix") + 1).alias("hint_ix"), "hint_hash")
     )
@@ -270,7 +272,7 @@ def remaining_universe(
 
     return masks.select(
         *carried,
-        F.array_sort(part(True)).alias("excluded"),
+        F.sort_array(part(True)).alias("excluded"),
         F.array_join(part(False), "").alias("universe"),
     )
 

@@ -6,25 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from latticework.session import materialize
 
 # A row id is the partition number shifted by 33 bits plus the row number in it.
 _ROW_BITS = 33
 
+_UNORDERED = (T.MapType, T.VariantType)
+
 
 def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
 def global_rank(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``df`` with ``rank`` (from 0) by ``order``, which must be unique, and ``total``.
+    """``df`` with ``rank`` (from 0) by ``order`` and ``total``.
+
+    Rows that tie on ``order`` are ordered by their other columns, which also spreads a
+    key that many rows share over several partitions of the sort.
 
     The table is sorted by range partitions and stored once, so that partition and row
     number are frozen; ranks then follow from the row counts of the partitions.
     """
+    ties = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in order and not isinstance(f.dataType, _UNORDERED)
+    ]
     placed = materialize(
-        df.orderBy(*order).withColumn("row_id", F.monotonically_increasing_id()), "rank"
+        df.orderBy(*order, *ties).withColumn("row_id", F.monotonically_increasing_id()), "rank"
     )
     part = F.shiftright("row_id", _ROW_BITS)
     row = F.col("row_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

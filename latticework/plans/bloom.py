@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from latticework.operators import bloom as ops
-from latticework.plans.inputs import table
+from latticework.operators.bitset import pack
+from latticework.plans.inputs import SETS_SQL, order_line_sets, table
 
 # Smaller than the range of customer keys, so that keys do collide.
 SIZE = 1_024
@@ -52,6 +53,11 @@ def bloom_first_seen(spark, sf_dir):
     return ops.added_flags(events, "user_id", "event_id", SIZE)
 
 
+def bloom_set_buckets(spark, sf_dir):
+    """Bucket of each order, with its set of line numbers as the element."""
+    return ops.set_buckets(pack(order_line_sets(spark, sf_dir)), SIZE)
+
+
 QUERIES = {
     "bloom_build": bloom_build,
     "bloom_merge": bloom_merge,
@@ -59,6 +65,7 @@ QUERIES = {
     "bloom_anti_join": bloom_anti_join,
     "bloom_prefilter_join": bloom_prefilter_join,
     "bloom_first_seen": bloom_first_seen,
+    "bloom_set_buckets": bloom_set_buckets,
 }
 
 
@@ -82,4 +89,6 @@ FROM orders JOIN (SELECT user_id, count(*) AS n_events FROM events GROUP BY user
     "bloom_first_seen": f"""SELECT event_id, user_id, {_bucket('user_id')} AS bucket,
        row_number() OVER (PARTITION BY {_bucket('user_id')} ORDER BY event_id) = 1 AS added
 FROM events""",
+    "bloom_set_buckets": f"""WITH {SETS_SQL}
+SELECT set_id, xor(sum(1 << bit)::BIGINT, 1234) % {SIZE} AS bucket FROM order_line_sets GROUP BY set_id""",
 }

@@ -96,7 +96,7 @@ def plain_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
-        F.array_sort(F.array_distinct(F.split("c_mktsegment", ""))).alias("letters"),
+        F.sort_array(F.array_distinct(F.split("c_mktsegment", ""))).alias("letters"),
     )
     n = F.size("letters").cast("bigint")
     first = key % n
@@ -125,22 +125,25 @@ def plain_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hashed(plain: DataFrame) -> DataFrame:
+    return plain.withColumns(
+        {"value_hash": sha256_hex(F.col("value")), "hints": F.transform("hints", sha256_hex)}
+    )
+
+
 def hashed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records as the search jobs take them."""
-    return plain_records(spark, sf_dir).select(
-        "id", "alphabet", "plen",
-        sha256_hex(F.col("value")).alias("value_hash"),
-        F.transform("hints", sha256_hex).alias("hints"),
+    return _hashed(plain_records(spark, sf_dir)).select(
+        "id", "alphabet", "plen", "value_hash", "hints"
     )
 
 
 def record_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records in the layout of a record file, with one column per hint."""
     hints = [F.get("hints", F.lit(i)).alias(f"hint_{i + 1}") for i in range(MAX_HINTS)]
-    rows = hashed_records(spark, sf_dir).join(
-        plain_records(spark, sf_dir).select("id", "name"), "id"
+    return _hashed(plain_records(spark, sf_dir)).select(
+        "id", "name", "alphabet", "plen", "value_hash", *hints
     )
-    return rows.select("id", "name", "alphabet", "plen", "value_hash", *hints)
 
 
 RECORDS_SQL = """

@@ -29,7 +29,7 @@ def perm_candidates(spark, sf_dir):
 
 def tuple_candidates(spark, sf_dir):
     """All strings over the two-symbol domains that the plain records declare."""
-    letters = F.array_sort(F.array_distinct(F.split("value", "")))
+    letters = F.sort_array(F.array_distinct(F.split("value", "")))
     domains = plain_records(spark, sf_dir).select(
         F.array_join(letters, "").alias("universe"), "plen"
     )

@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from latticework.functions.hashing import bucket, text_bucket
 from latticework.operators import bloom as ops
-from latticework.operators.bitset import hash_code, pack
-from latticework.functions.hashing import bucket_of_hash
+from latticework.operators.bitset import pack
 
 
 def plain_bucket(key, size):
@@ -32,7 +31,7 @@ def test_bucket_formula(spark, size):
 def test_bucket_of_a_key_is_that_of_its_one_word_set(spark):
     bits = {5: [0, 3], 6: [63], 7: [1, 2, 62]}
     words = pack(spark.createDataFrame([(s, b) for s, v in bits.items() for b in v], "set_id int, bit bigint"))
-    by_set = dict(row_set(hash_code(words).select("set_id", bucket_of_hash(F.col("hash_code"), 999))))
+    by_set = dict(row_set(ops.set_buckets(words, 999)))
     by_key = dict(row_set(words.select("set_id", bucket(F.col("word"), 999))))
     assert by_set == by_key
 

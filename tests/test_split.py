@@ -24,6 +24,12 @@ def test_hot_key_with_a_tie_breaker(spark):
     assert sorted(ranks.values()) == list(range(600))
 
 
+def test_ties_are_broken_by_the_other_columns(spark):
+    df = spark.range(300, numPartitions=6).selectExpr("1 as k", "id", "map(id, id) as m")
+    ranks = {r["id"]: r["rank"] for r in global_rank(df, ["k"]).collect()}
+    assert ranks == {i: i for i in range(300)}
+
+
 def test_borders(spark):
     borders = range_borders(even_split(spark.range(10), ["id"], 3), "id")
     rows = sorted(tuple(r) for r in borders.collect())
