@@ -21,6 +21,9 @@ KEYS = ["set_id", "word_ix"]
 # Words per block of the content signature (2^20 bits).
 _SIGNATURE_SHIFT = 14
 
+# Levels on which the ends of a range are masked; beyond, it is cut into whole units.
+_EDGE_LEVELS = 3
+
 
 def masks(members: DataFrame) -> DataFrame:
     """One single-bit word per input row."""
@@ -145,37 +148,38 @@ def set_range(words: DataFrame, ranges: DataFrame) -> DataFrame:
 
     A range becomes a head and a tail mask on words, on groups of 64 words and on
     groups of 4,096 words, and whole units of 262,144 bits in between. Equal pieces of
-    overlapping ranges are merged on each level before they are expanded, so
-    long and heavily overlapping ranges cost no more than what they cover.
+    overlapping ranges are merged before they are expanded, so long and heavily
+    overlapping ranges cost no more than what they cover.
     """
-    levels = 3
     spans = ranges.select(
-        "set_id", F.col("from_bit").cast("bigint").alias("lo"), F.col("to_bit").cast("bigint").alias("hi")
+        "set_id",
+        F.col("from_bit").cast("bigint").alias("lo"),
+        F.col("to_bit").cast("bigint").alias("hi"),
     ).where(F.col("lo") < F.col("hi"))
     low, high = F.col("lo"), F.col("hi")
-    pieces = []
-    for level in range(levels):
-        pieces += _edge_masks(low, high, level)
+    edges: list[Column] = []
+    for level in range(_EDGE_LEVELS):
+        edges += _edge_masks(low, high, level)
         # What is left between the edges, in units of the next level.
         low = F.shiftright(low + F.lit(bits.WORD_BITS - 1), bits.WORD_SHIFT)
         high = F.shiftright(high, bits.WORD_SHIFT)
-    edges = (
-        spans.select("set_id", F.explode(F.array(*pieces)).alias("piece"))
-        .where(F.col("piece.word") != 0)
-        .groupBy("set_id", F.col("piece.level").alias("level"), F.col("piece.word_ix").alias("word_ix"))
-        .agg(F.bit_or("piece.word").alias("word"))
+    ones = bits.long_lit(bits.ALL_ONES)
+    units = F.sequence(low, F.greatest(high, low + 1) - 1)
+    whole = F.transform(
+        F.filter(units, lambda u: u < high), lambda u: _piece(_EDGE_LEVELS, u, ones)
     )
-    units = (
-        spans.select("set_id", low.alias("lo"), high.alias("hi"))
-        .where(F.col("lo") < F.col("hi"))
-        .select("set_id", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("unit"))
-        .distinct()
+    pieces = (
+        spans.select("set_id", F.explode(F.concat(F.array(*edges), whole)).alias("piece"))
+        .select("set_id", "piece.*")
+        .where(F.col("word") != 0)
+        .groupBy("set_id", "level", "word_ix")
+        .agg(F.bit_or("word").alias("word"))
     )
-    parts = [words.select(*KEYS, "word"), edges.where("level = 0").select(*KEYS, "word")]
-    for level in range(1, levels):
-        parts.append(_full_words(unpack(edges.where(F.col("level") == level)), "bit", level))
-    parts.append(_full_words(units, "unit", levels))
-    return merge(*parts)
+    return merge(words.select(*KEYS, "word"), _expand(pieces))
+
+
+def _piece(level: int, word_ix: Column, word: Column) -> Column:
+    return F.struct(F.lit(level).alias("level"), word_ix.alias("word_ix"), word.alias("word"))
 
 
 def _edge_masks(low: Column, high: Column, level: int) -> list[Column]:
@@ -200,23 +204,30 @@ def _edge_masks(low: Column, high: Column, level: int) -> list[Column]:
         .otherwise(none)
     )
     tail = F.when((low >= high) | same, none).when(high_cut, below_high).otherwise(none)
-    return [
-        F.struct(F.lit(level).alias("level"), first.alias("word_ix"), head.alias("word")),
-        F.struct(F.lit(level).alias("level"), last.alias("word_ix"), tail.alias("word")),
-    ]
-
-
-def _full_words(units: DataFrame, unit: str, level: int) -> DataFrame:
-    """Full words covered by units of ``64 ** level`` bits."""
-    if level == 1:
-        word_ix = F.col(unit)
-        rows = units
-    else:
-        span = bits.WORD_BITS ** (level - 1)
-        rows = units.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(span - 1))))
-        word_ix = F.col(unit) * bits.long_lit(span) + F.col("offset")
-    return rows.select(
-        "set_id", word_ix.alias("word_ix"), bits.long_lit(bits.ALL_ONES).alias("word")
+    return [_piece(level, first, head), _piece(level, last, tail)]
+
+
+def _expand(pieces: DataFrame) -> DataFrame:
+    """Words of pieces: a set bit of level ``n`` stands for ``64 ** (n - 1)`` full words,
+    and a piece of the last level for as many as a bit of it."""
+    level, position, offset = F.col("level"), F.col("position"), F.col("offset")
+    by_bit = (level >= 1) & (level < _EDGE_LEVELS)
+    # Words of level 0 and whole units go on as one row, without a position.
+    bit_rows = pieces.select(
+        "*", F.explode(F.when(by_bit, bits.positions()).otherwise(F.array(F.lit(-1)))).alias("position")
+    ).where((position < 0) | bits.has_bit(F.col("word"), F.greatest(position, F.lit(0))))
+    unit = F.when(position < 0, F.col("word_ix")).otherwise(
+        F.shiftleft("word_ix", bits.WORD_SHIFT) + position
+    )
+    spans = [F.sequence(F.lit(0), F.lit(bits.WORD_BITS ** max(n - 1, 0) - 1)) for n in range(_EDGE_LEVELS + 1)]
+    offsets = spans[0]
+    for n in range(2, _EDGE_LEVELS + 1):
+        offsets = F.when(level == n, spans[n]).otherwise(offsets)
+    shift = (F.greatest(level - 1, F.lit(0)) * F.lit(bits.WORD_SHIFT)).cast("int")
+    return bit_rows.select("set_id", "level", "word", unit.alias("unit"), F.explode(offsets).alias("offset")).select(
+        "set_id",
+        (bits.shift_left(F.col("unit"), shift) + offset).alias("word_ix"),
+        F.when(level == 0, F.col("word")).otherwise(bits.long_lit(bits.ALL_ONES)).alias("word"),
     )
 
 

@@ -55,6 +55,15 @@ def _digest(cand: Column) -> Column:
     return F.coalesce(sha256_hex(cand), F.lit(""))
 
 
+def _shuffled(n_candidates: int) -> str:
+    """Join hint for candidates too many to broadcast.
+
+    They are unique and spread evenly, so up to the usual limit each partition fits into
+    a hash table, which saves sorting the records.
+    """
+    return "shuffle_hash" if n_candidates <= MAX_CANDIDATES else "shuffle_merge"
+
+
 def _check_size(n_candidates: float, limit: int | None, what: str) -> None:
     if limit is not None and n_candidates > limit:
         raise ValueError(
@@ -219,14 +228,12 @@ def _hint_matches(
     if total <= broadcast_rows and total < n_hints:
         # Few candidates: the records stream by and are not shuffled.
         return hints.join(F.broadcast(found), keys, "left")
-    # Else reduce the candidates to the hashes that are asked for. Equal hints of
-    # many records count once here, so no key is hot.
-    wanted = hints.select(*keys).distinct()
     if n_hints <= broadcast_rows:
+        # Few hints: the candidates stream by, and those asked for come back.
+        wanted = hints.select(*keys).distinct()
         matched = found.join(F.broadcast(wanted), keys)
         return hints.join(F.broadcast(matched), keys, "left")
-    matched = found.hint("shuffle_merge").join(wanted.hint("shuffle_merge"), keys)
-    return lookup(hints, matched.hint("shuffle_merge"), keys)
+    return lookup(hints, found.hint(_shuffled(total)), keys)
 
 
 def match_hints(
@@ -303,10 +310,6 @@ def recover(
     if total <= broadcast_rows:
         joined = universes.join(F.broadcast(cands), keys, "left")
     else:
-        # Keep only the strings that are asked for; a hash that many records
-        # share counts once here.
-        wanted = universes.select(*keys).distinct()
-        matched = cands.hint("shuffle_merge").join(wanted.hint("shuffle_merge"), keys)
-        joined = lookup(universes, matched.hint("shuffle_merge"), keys)
+        joined = lookup(universes, cands.hint(_shuffled(total)), keys)
     status = F.when(F.col("cand").isNull(), F.lit("unresolved")).otherwise(F.lit("found"))
     return joined.select("id", F.col("cand").alias("value"), status.alias("status"))
