@@ -65,6 +65,21 @@ def trailing_ones(word: Column) -> Column:
     )
 
 
+def trailing_zeros(word: Column) -> Column:
+    """Position of the lowest set bit; 64 for an empty word."""
+    return trailing_ones(F.bitwise_not(word))
+
+
+def from_position(position: Column) -> Column:
+    """Ones at ``position`` and above."""
+    return shift_left(long_lit(ALL_ONES), position)
+
+
+def up_to_position(position: Column) -> Column:
+    """Ones at ``position`` and below."""
+    return shift_right(long_lit(ALL_ONES), F.lit(WORD_BITS - 1) - position)
+
+
 def width(word: Column) -> Column:
     """Position of the highest set bit plus one; 0 for an empty word."""
     return F.when(word == F.lit(0), F.lit(0)).otherwise(F.length(F.bin(word)))

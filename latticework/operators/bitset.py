@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latticework.functions.arrays import each
 from latticework.functions import bits
 from latticework.functions.hashing import HASH_SEED
 from latticework.operators.joins import lookup
@@ -163,23 +164,23 @@ def set_range(words: DataFrame, ranges: DataFrame) -> DataFrame:
         # What is left between the edges, in units of the next level.
         low = F.shiftright(low + F.lit(bits.WORD_BITS - 1), bits.WORD_SHIFT)
         high = F.shiftright(high, bits.WORD_SHIFT)
-    ones = bits.long_lit(bits.ALL_ONES)
-    units = F.sequence(low, F.greatest(high, low + 1) - 1)
-    whole = F.transform(
-        F.filter(units, lambda u: u < high), lambda u: _piece(_EDGE_LEVELS, u, ones)
-    )
+    whole_word = F.when(low < high, bits.long_lit(bits.ALL_ONES)).otherwise(bits.long_lit(0))
+    whole = _piece(_EDGE_LEVELS, low, high - 1, whole_word)
     pieces = (
-        spans.select("set_id", F.explode(F.concat(F.array(*edges), whole)).alias("piece"))
+        spans.select("set_id", F.explode(F.array(*edges, whole)).alias("piece"))
         .select("set_id", "piece.*")
         .where(F.col("word") != 0)
+        .select("set_id", "level", "word", each(F.sequence("first", "last")).alias("word_ix"))
         .groupBy("set_id", "level", "word_ix")
         .agg(F.bit_or("word").alias("word"))
     )
     return merge(words.select(*KEYS, "word"), _expand(pieces))
 
 
-def _piece(level: int, word_ix: Column, word: Column) -> Column:
-    return F.struct(F.lit(level).alias("level"), word_ix.alias("word_ix"), word.alias("word"))
+def _piece(level: int, first: Column, last: Column, word: Column) -> Column:
+    return F.struct(
+        F.lit(level).alias("level"), first.alias("first"), last.alias("last"), word.alias("word")
+    )
 
 
 def _edge_masks(low: Column, high: Column, level: int) -> list[Column]:
@@ -204,7 +205,7 @@ def _edge_masks(low: Column, high: Column, level: int) -> list[Column]:
         .otherwise(none)
     )
     tail = F.when((low >= high) | same, none).when(high_cut, below_high).otherwise(none)
-    return [_piece(level, first, head), _piece(level, last, tail)]
+    return [_piece(level, first, first, head), _piece(level, last, last, tail)]
 
 
 def _expand(pieces: DataFrame) -> DataFrame:

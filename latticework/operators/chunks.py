@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticework.functions.arrays import each
+
 # Fixed value: default chunk size in bytes.
 DEFAULT_CHUNK_SIZE = 260_001
 
@@ -51,7 +53,7 @@ def split(
         # into parts of many chunks first.
         part_chars = _CHUNKS_PER_PART * chunk_size
         last_part = F.call_function("div", F.col("n_chunks") - 1, F.lit(_CHUNKS_PER_PART))
-        rows = rows.select("*", F.explode(F.sequence(F.lit(0), last_part.cast("int"))).alias("part_no"))
+        rows = rows.select("*", each(F.sequence(F.lit(0), last_part.cast("int"))).alias("part_no"))
         done = F.col("part_no") * F.lit(_CHUNKS_PER_PART)
         rows = rows.select(
             "msg_id",
@@ -60,7 +62,7 @@ def split(
             done.alias("before"),
             F.least(F.col("n_chunks") - done, F.lit(_CHUNKS_PER_PART)).alias("n_here"),
         )
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("n_here"))).alias("nr"))
+    rows = rows.select("*", each(F.sequence(F.lit(1), F.col("n_here"))).alias("nr"))
     start = (F.col("nr") - F.lit(1)) * F.lit(chunk_size) + F.lit(1)
     return rows.select(
         "msg_id",

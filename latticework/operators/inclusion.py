@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticework.functions.arrays import each
 from latticework.functions.bits import WORD_BITS, WORD_SHIFT, long_lit
 
 # Above this many mask words per value, attribute sets are kept as arrays.
@@ -149,7 +150,7 @@ def _names_in(masks: list[str], names: list[str], skip: Column | None = None) ->
 
 
 def _members(df: DataFrame, masks: list[str], names: list[str], as_name: str) -> DataFrame:
-    return df.withColumn(as_name, F.explode(_names_in(masks, names)))
+    return df.withColumn(as_name, each(_names_in(masks, names)))
 
 
 def attribute_sets_of(tables: Mapping[str, DataFrame], qualify: bool = True) -> DataFrame:
@@ -175,15 +176,15 @@ def shared_value_counts(tables: Mapping[str, DataFrame], qualify: bool = True) -
             .groupBy("aset")
             .agg(F.count(F.lit(1)).alias("n_values"))
         )
-        pairs = sets.select("n_values", "aset", F.explode("aset").alias("dep")).select(
-            "n_values", "dep", F.explode("aset").alias("ref")
+        pairs = sets.select("n_values", "aset", each("aset").alias("dep")).select(
+            "n_values", "dep", each("aset").alias("ref")
         )
     else:
         sets = attribute_set_counts(tables, qualify).select(
             "n_values", _names_in(masks, names).alias("aset")
         )
-        pairs = sets.select("n_values", "aset", F.explode("aset").alias("dep")).select(
-            "n_values", "dep", F.explode("aset").alias("ref")
+        pairs = sets.select("n_values", "aset", each("aset").alias("dep")).select(
+            "n_values", "dep", each("aset").alias("ref")
         )
     return (
         pairs.where(F.col("dep") != F.col("ref"))
@@ -222,8 +223,8 @@ def inds_from_sets(sets: DataFrame) -> DataFrame:
     """
     weighted = sets.groupBy("aset").agg(F.count(F.lit(1)).alias("n_values"))
     pairs = (
-        weighted.select("n_values", "aset", F.explode("aset").alias("dep"))
-        .select("n_values", "dep", F.explode("aset").alias("ref"))
+        weighted.select("n_values", "aset", each("aset").alias("dep"))
+        .select("n_values", "dep", each("aset").alias("ref"))
         .groupBy("dep", "ref")
         .agg(F.sum("n_values").alias("n_shared"))
     )
@@ -252,7 +253,7 @@ def inds_from_sets(sets: DataFrame) -> DataFrame:
 
 def ind_rows(inds: DataFrame) -> DataFrame:
     """One row ``(dep, ref)`` per dependency."""
-    return inds.select("dep", F.explode("refs").alias("ref"))
+    return inds.select("dep", each("refs").alias("ref"))
 
 
 def report(inds: DataFrame) -> DataFrame:

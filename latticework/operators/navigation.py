@@ -1,7 +1,7 @@
 """Nearest members, free gaps and runs of sets stored as tables.
 
 A set may hold most of the data, so no window runs over a whole set. Positions
-are cut into blocks of 2^20; windows run per block, and a small table with one
+are cut into blocks of 2^16; windows run per block, and a small table with one
 row per block carries results over block borders.
 """
 
@@ -14,7 +14,7 @@ from latticework.functions import bits
 from latticework.operators.bitset import pack
 from latticework.operators.joins import lookup
 
-BLOCK_SHIFT = 20
+BLOCK_SHIFT = 16
 
 
 def asof(
@@ -23,35 +23,45 @@ def asof(
     values: list[str],
     forward: bool,
     block_shift: int = BLOCK_SHIFT,
+    own: str | None = None,
 ) -> DataFrame:
     """Nearest point at or before (``forward``: at or after) each distinct probe.
 
     ``points`` is ``(set_id, bit, *values)`` where each value grows with ``bit``
     within a set, so the nearest point has the largest (smallest) value seen so
     far. Returns ``(set_id, from_bit, *values)`` with nulls where there is none.
+
+    With ``own`` the point at the probe itself does not count as near; its bit
+    column ``own`` is returned instead.
     """
     nearest = F.min if forward else F.max
-    position = F.col("position").asc() if not forward else F.col("position").desc()
-    block_order = F.col("block").asc() if not forward else F.col("block").desc()
+    position = F.col("position").desc() if forward else F.col("position").asc()
+    block_order = F.col("block").desc() if forward else F.col("block").asc()
+    kept = [own] if own else []
     tagged = points.select(
-        "set_id", F.col("bit").alias("position"), *values, F.lit(False).alias("asked")
+        "set_id", F.col("bit").alias("position"), *values, *kept, F.lit(False).alias("asked")
     ).unionByName(
-        probes.select("set_id", F.col("from_bit").cast("bigint").alias("position"), F.lit(True).alias("asked")),
+        probes.select("set_id", F.col("from_bit").alias("position"), F.lit(True).alias("asked")),
         allowMissingColumns=True,
     )
     # One row per position: repeated points and probes fall together on the map side.
     rows = (
         tagged.groupBy("set_id", "position")
-        .agg(*[nearest(v).alias(v) for v in values], F.bool_or("asked").alias("asked"))
+        .agg(
+            *[nearest(v).alias(v) for v in values],
+            *[F.bit_or(k).alias(k) for k in kept],
+            F.bool_or("asked").alias("asked"),
+        )
         .withColumn("block", F.shiftright("position", block_shift))
     )
     in_block = (
         Window.partitionBy("set_id", "block")
         .orderBy(position)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, -1 if own else Window.currentRow)
     )
     near = rows.select(
-        "set_id", "block", "position", "asked", *[nearest(v).over(in_block).alias(v) for v in values]
+        "set_id", "block", "position", "asked", *kept,
+        *[nearest(v).over(in_block).alias(v) for v in values],
     ).where("asked")
     earlier_blocks = (
         Window.partitionBy("set_id").orderBy(block_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -65,41 +75,81 @@ def asof(
         "set_id",
         F.col("position").alias("from_bit"),
         *[F.coalesce(F.col(v), F.col(f"carried_{v}")).alias(v) for v in values],
+        *kept,
     )
 
 
-def _attach(probes: DataFrame, answers: DataFrame, result: str) -> DataFrame:
-    """Give every probe row its answer; all rows and columns of ``probes`` stay."""
-    return lookup(probes, answers, ["set_id", "from_bit"]).select(*probes.columns, result)
+# The four lookups work on words. The words that probes fall into are few and
+# distinct; for them the neighbourhood is found, and each probe then reads its
+# answer off its word or takes that of the neighbourhood.
+
+
+def _probe_words(probes: DataFrame, at: Column) -> DataFrame:
+    """``at`` an expression of ``word_ix``: the place of the word a probe falls into."""
+    word_ix = bits.word_index(F.col("from_bit").cast("bigint")).alias("word_ix")
+    return probes.select("set_id", word_ix).select("set_id", at.alias("from_bit"))
+
+
+def _answer(probes: DataFrame, near: DataFrame, answer: Column, name: str) -> DataFrame:
+    """``answer`` for every row of ``probes``, from ``near`` by word."""
+    keyed = probes.withColumn("word_ix", bits.word_index(F.col("from_bit").cast("bigint")))
+    return lookup(keyed, near, ["set_id", "word_ix"]).select(*probes.columns, answer.alias(name))
+
+
+def _own_word() -> Column:
+    return F.coalesce(F.col("word"), bits.long_lit(0))
+
+
+def _position() -> Column:
+    return bits.word_position(F.col("from_bit").cast("bigint"))
 
 
-def _points(members: DataFrame) -> DataFrame:
-    bit = F.col("bit").cast("bigint")
-    return members.select("set_id", bit.alias("bit"), bit.alias("found"))
+def _first_of(word: Column) -> Column:
+    return F.shiftleft("word_ix", bits.WORD_SHIFT) + bits.trailing_zeros(word)
 
 
-def _or_none(value: Column) -> Column:
-    return F.coalesce(value, bits.long_lit(-1))
+def _last_of(word: Column) -> Column:
+    return F.shiftleft("word_ix", bits.WORD_SHIFT) + bits.width(word) - 1
+
+
+def _nearest_set(members: DataFrame, probes: DataFrame, forward: bool, block_shift: int, name: str) -> DataFrame:
+    end_of = _first_of if forward else _last_of
+    words = pack(members)
+    points = words.select(
+        "set_id", F.col("word_ix").alias("bit"), end_of(F.col("word")).alias("found"), "word"
+    )
+    near = asof(points, _probe_words(probes, F.col("word_ix")), ["found"], forward, block_shift, own="word")
+    reach = bits.from_position if forward else bits.up_to_position
+    inside = _own_word().bitwiseAND(reach(_position()))
+    answer = F.when(inside != 0, end_of(inside)).otherwise(
+        F.coalesce(F.col("found"), bits.long_lit(-1))
+    )
+    return _answer(probes, near.withColumnRenamed("from_bit", "word_ix"), answer, name)
 
 
 def next_set(members: DataFrame, probes: DataFrame, block_shift: int = BLOCK_SHIFT) -> DataFrame:
     """Smallest member at or after ``from_bit``, -1 if there is none."""
-    answers = asof(_points(members), probes, ["found"], True, block_shift)
-    answers = answers.select("set_id", "from_bit", _or_none(F.col("found")).alias("next_set"))
-    return _attach(probes, answers, "next_set")
+    return _nearest_set(members, probes, True, block_shift, "next_set")
 
 
 def previous_set(members: DataFrame, probes: DataFrame, block_shift: int = BLOCK_SHIFT) -> DataFrame:
     """Largest member at or before ``from_bit``, -1 if there is none."""
-    answers = asof(_points(members), probes, ["found"], False, block_shift)
-    answers = answers.select("set_id", "from_bit", _or_none(F.col("found")).alias("previous_set"))
-    return _attach(probes, answers, "previous_set")
+    return _nearest_set(members, probes, False, block_shift, "previous_set")
 
 
-def _runs_around(members: DataFrame, probes: DataFrame, block_shift: int) -> DataFrame:
-    """Last run that starts at or before each distinct probe."""
-    points = runs(members, block_shift).select("set_id", F.col("run_start").alias("bit"), "run_start", "run_end")
-    return asof(points, probes, ["run_start", "run_end"], False, block_shift)
+def _runs_at(members: DataFrame, probes: DataFrame, at_end: bool, block_shift: int) -> DataFrame:
+    """``(set_id, word_ix, word, run_start, run_end)`` for the words that probes fall into:
+    the last run that starts at or before the end (or else the start) of the word."""
+    words = pack(members)
+    # A run within a word shows in the word itself.
+    points = runs_of_words(words, block_shift, at_word_borders=True).select(
+        "set_id", F.col("run_start").alias("bit"), "run_start", "run_end"
+    )
+    edge = F.shiftleft("word_ix", bits.WORD_SHIFT) + F.lit(bits.WORD_BITS - 1 if at_end else 0)
+    near = asof(points, _probe_words(probes, edge), ["run_start", "run_end"], False, block_shift)
+    return near.select("set_id", bits.word_index(F.col("from_bit")).alias("word_ix"), "run_start", "run_end").join(
+        words, ["set_id", "word_ix"], "left"
+    )
 
 
 def _whole_words(capacity: int) -> int:
@@ -114,14 +164,12 @@ def next_clear(
     With a ``capacity`` (rounded up to whole words) the answer is -1 where no
     free position is left below it.
     """
-    inside = F.col("run_end") >= F.col("from_bit")
-    free = F.when(inside, F.col("run_end") + 1).otherwise(F.col("from_bit"))
+    inside = F.bitwise_not(_own_word()).bitwiseAND(bits.from_position(_position()))
+    # Without a free position in the word, a run covers the end of the word.
+    free = F.when(inside != 0, _first_of(inside)).otherwise(F.col("run_end") + 1)
     if capacity is not None:
         free = F.when(free < F.lit(_whole_words(capacity)), free).otherwise(bits.long_lit(-1))
-    answers = _runs_around(members, probes, block_shift).select(
-        "set_id", "from_bit", free.alias("next_clear")
-    )
-    return _attach(probes, answers, "next_clear")
+    return _answer(probes, _runs_at(members, probes, True, block_shift), free, "next_clear")
 
 
 def previous_clear(
@@ -131,15 +179,13 @@ def previous_clear(
 
     A probe at or past the ``capacity`` is free itself.
     """
-    inside = F.col("run_end") >= F.col("from_bit")
-    free = F.when(inside, F.col("run_start") - 1).otherwise(F.col("from_bit"))
+    from_bit = F.col("from_bit").cast("bigint")
+    inside = F.bitwise_not(_own_word()).bitwiseAND(bits.up_to_position(_position()))
+    free = F.when(inside != 0, _last_of(inside)).otherwise(F.col("run_start") - 1)
     if capacity is not None:
-        free = F.when(F.col("from_bit") >= F.lit(_whole_words(capacity)), F.col("from_bit")).otherwise(free)
-    free = F.when(F.col("from_bit") < 0, bits.long_lit(-1)).otherwise(free)
-    answers = _runs_around(members, probes, block_shift).select(
-        "set_id", "from_bit", free.alias("previous_clear")
-    )
-    return _attach(probes, answers, "previous_clear")
+        free = F.when(from_bit >= F.lit(_whole_words(capacity)), from_bit).otherwise(free)
+    free = F.when(from_bit < 0, bits.long_lit(-1)).otherwise(free)
+    return _answer(probes, _runs_at(members, probes, False, block_shift), free, "previous_clear")
 
 
 def runs(members: DataFrame, block_shift: int = BLOCK_SHIFT) -> DataFrame:
@@ -147,15 +193,23 @@ def runs(members: DataFrame, block_shift: int = BLOCK_SHIFT) -> DataFrame:
     return runs_of_words(pack(members), block_shift)
 
 
-def runs_of_words(words: DataFrame, block_shift: int = BLOCK_SHIFT) -> DataFrame:
-    """Runs of packed sets.
+def runs_of_words(
+    words: DataFrame, block_shift: int = BLOCK_SHIFT, at_word_borders: bool = False
+) -> DataFrame:
+    """Runs of packed sets; with ``at_word_borders`` only those that touch a word border.
 
     Runs are read off each word with bit operations, joined within blocks by a
     window, and only the runs that touch a block border (at most two per
     block) are joined across blocks.
     """
+    pieces = _word_runs(words)
+    if at_word_borders:
+        pieces = pieces.where(
+            (bits.word_position(F.col("run_start")) == 0)
+            | (bits.word_position(F.col("run_end")) == bits.WORD_BITS - 1)
+        )
     block = F.shiftright("run_start", block_shift).alias("block")
-    in_block = _join_runs(_word_runs(words).select("*", block), ["set_id", "block"])
+    in_block = _join_runs(pieces.select("*", block), ["set_id", "block"])
     mask = bits.long_lit((1 << block_shift) - 1)
     at_border = (F.col("run_start").bitwiseAND(mask) == 0) | (
         F.col("run_end").bitwiseAND(mask) == mask

@@ -17,6 +17,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latticework.functions.arrays import each
 from latticework.functions.bits import has_bit, long_lit, shift_left
 from latticework.functions.hashing import sha256_hex
 from latticework.operators.joins import lookup
@@ -107,7 +108,7 @@ def permutations(
         # Shorter alphabets wait: place 0 takes nothing.
         places = F.when(left > at_once, F.sequence(F.lit(1), left)).otherwise(F.array(F.lit(0)))
         place = F.col("place")
-        rows = rows.select("alphabet", "cand", "rest", F.explode(places).alias("place")).select(
+        rows = rows.select("alphabet", "cand", "rest", each(places).alias("place")).select(
             "alphabet",
             F.when(place == 0, F.col("cand"))
             .otherwise(F.concat("cand", F.substring(F.col("rest"), place, F.lit(1))))
@@ -127,7 +128,7 @@ def permutations(
         templates = templates.when(left == n, _templates(n))
     ordered = F.expr(f"translate(template, substring('{_TEMPLATE_SYMBOLS}', 1, length(rest)), rest)")
     return (
-        rows.select("alphabet", "cand", "rest", F.explode(templates).alias("template"))
+        rows.select("alphabet", "cand", "rest", each(templates).alias("template"))
         .select("alphabet", "cand", "rest", ordered.alias("ordered"))
         .select(
             "alphabet",
@@ -176,7 +177,7 @@ def tuples(
             F.array(F.lit(""))
         )
         rows = rows.select(
-            "universe", "plen", "symbols", "cand", F.explode(step).alias("symbol")
+            "universe", "plen", "symbols", "cand", each(step).alias("symbol")
         ).select("universe", "plen", "symbols", F.concat("cand", "symbol").alias("cand"))
         if depth == max(longest // 2, 1) and total > _ROWS_PER_TASK:
             rows = _spread(rows, total, "universe", "plen", "cand")
