@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import simhash
+from latticework.llm import simhash, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,34 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query(
+    """
+    WITH words AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), windows AS (
+      SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS window
+      FROM words, LATERAL unnest(generate_series(1, len(w) - 49)) AS t(p)
+    ), repeated AS (
+      SELECT doc_id, p
+      FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY window) AS least FROM windows)
+      WHERE least < doc_id
+    ), gone AS (
+      SELECT DISTINCT doc_id, q FROM repeated, LATERAL unnest(generate_series(p, p + 49)) AS t(q)
+    ), kept AS (
+      SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY q) AS kept
+      FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM words)
+      ANTI JOIN gone USING (doc_id, q)
+      GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+      CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM words LEFT JOIN kept USING (doc_id)
+    """
+)
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
