@@ -57,11 +57,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH words AS (
       SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
     ), windows AS (
-      SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS window
+      SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS passage
       FROM words, LATERAL unnest(generate_series(1, len(w) - 49)) AS t(p)
     ), repeated AS (
       SELECT doc_id, p
-      FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY window) AS least FROM windows)
+      FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY passage) AS least FROM windows)
       WHERE least < doc_id
     ), gone AS (
       SELECT DISTINCT doc_id, q FROM repeated, LATERAL unnest(generate_series(p, p + 49)) AS t(q)
