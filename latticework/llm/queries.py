@@ -9,7 +9,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import simhash, substring
+from latticework.llm import packing, simhash, substring, token_files
+from latticework.session import scratch_dir
+
+# A vocabulary of the public tokenizers, and the ids that end a document.
+VOCABULARY, PACKED_END, FILED_END = "word_bpe_49k.json", 2, 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def ship(spark: SparkSession) -> None:
     """Lets Python workers find the package where the driver found it."""
     known = spark.sparkContext.environment
@@ -81,3 +91,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op5_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary(), PACKED_END)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query()
+def op10_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(), FILED_END)
+    return token_files.checksums(token_files.read_tokens(spark, path))
