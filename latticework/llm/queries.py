@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import packing, simhash, substring, token_files
+from latticework.llm import host_rules, packing, quality, simhash, substring, token_files
 from latticework.session import scratch_dir
 
 # A vocabulary of the public tokenizers, and the ids that end a document.
@@ -106,3 +106,70 @@ def op10_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary(), FILED_END)
     return token_files.checksums(token_files.read_tokens(spark, path))
+
+
+_HOST_RULES = ("short", "repeats", "symbols", "lines")
+
+
+def _shrunk_sql(rule: str) -> str:
+    mean = f"(sum(f_{rule}) OVER () / sum(n) OVER ())"
+    variance = f"greatest(sum(f_{rule} * f_{rule} / n) OVER () / sum(n) OVER () - {mean} * {mean}, 1e-12)"
+    weight = f"least(greatest({mean} * (1 - {mean}) / {variance} - 1, 1.0), 10000.0)"
+    return f"(f_{rule} + {weight} * {mean}) / (n + {weight})"
+
+
+@query(
+    f"""
+    WITH words AS (
+      SELECT doc_id, source, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+      FROM documents
+    ), windows AS (
+      SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(w[p:p + 4], ' ')) AS times
+      FROM words, LATERAL unnest(generate_series(1, len(w) - 4)) AS t(p)
+    ), repeated AS (
+      SELECT doc_id, count(DISTINCT q) AS n_repeat_words
+      FROM windows, LATERAL unnest(generate_series(p, p + 4)) AS t(q)
+      WHERE times > 1 GROUP BY doc_id
+    ), lines AS (
+      SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+      FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+    ), counted AS (
+      SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+        CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+      FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+    ), judged AS (
+      SELECT *, n_words < 10 AS short, 100 * n_repeat_words > 20 * n_words AS repeats,
+        5 * n_symbols > word_chars AS symbols, 2 * n_dup_lines > n_words AS lines
+      FROM counted
+    ), hosts AS (
+      SELECT source, CAST(count(*) AS DOUBLE) AS n,
+        {", ".join(f"CAST(sum(CAST({r} AS INT)) AS DOUBLE) AS f_{r}" for r in _HOST_RULES)}
+      FROM judged GROUP BY source
+    ), verdicts AS (
+      SELECT source, greatest({", ".join(_shrunk_sql(r) for r in _HOST_RULES)}) <= 0.5 AS host_ok FROM hosts
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+      short OR repeats AS base_failed, NOT (short OR repeats) AND host_ok AS kept
+    FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
+    """
+)
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select(F.col("id").alias("doc_id"), *host_rules.COUNTS, "base_failed", "kept")
+
+
+@query()
+def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )

@@ -128,3 +128,27 @@ def in_blocks(docs: DataFrame, text: str, key: str, block: str, block_bytes: int
     total = docs.select(F.sum(F.octet_length(F.col(text))).alias("n")).first()["n"] or 0
     n_blocks = max(1, -(-total // block_bytes))
     return docs.withColumn(block, F.pmod(F.xxhash64(F.col(key)), F.lit(n_blocks)).cast("int"))
+
+
+def repeated_words(hashes: np.ndarray, windows: Windows, width: int) -> int:
+    """How many words lie in windows of ``width`` words that occur twice or more."""
+    found = windows.of(hashes, width)
+    if len(found) < 2:
+        return 0
+    order = np.argsort(found, kind="stable")
+    same = found[order[1:]] == found[order[:-1]]
+    twice = np.zeros(len(found), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    return int(covered(np.flatnonzero(twice), width, len(hashes)).sum())
+
+
+def repeated_lines(data: bytes) -> int:
+    """Lines with a word that equal an earlier line."""
+    seen, n = set(), 0
+    for line in data.split(b"\n"):
+        if line in seen:
+            n += 1
+        elif line.strip(b" \t\r\x0b\x0c"):
+            seen.add(line)
+    return n
