@@ -157,7 +157,7 @@ def held_out(id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str, sample: int) -> DataFrame:
-    """(label, text) of at most ``sample`` labelled rows, none held out, by the order of a hash of their id.
+    """(id, label, text) of at most ``sample`` labelled rows, none held out, by the order of a hash of their id.
 
     Labels that are null are left out; of several labels of one id the majority counts, 1 on a tie.
     """
@@ -170,7 +170,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, id: str, text:
     )
     # At most ``sample`` rows of two numbers. Of repeated documents one trains.
     rows = docs.select(F.col(id).cast("long").alias("__id"), F.col(text).alias("text"))
-    return rows.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"]).select("label", "text")
+    return rows.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"]).select(
+        F.col("__id").alias("id"), "label", "text"
+    )
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

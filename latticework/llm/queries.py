@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import host_rules, packing, quality, simhash, substring, token_files
+from latticework.llm import host_rules, packing, quality, simhash, substring, token_files, toxicity
 from latticework.session import scratch_dir
 
 # A vocabulary of the public tokenizers, and the ids that end a document.
@@ -173,3 +173,15 @@ def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op6_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, scorer).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
