@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import host_rules, packing, quality, simhash, substring, token_files, toxicity
+from latticework.llm import chat, host_rules, packing, quality, simhash, substring, token_files, toxicity
 from latticework.session import scratch_dir
 
 # A vocabulary of the public tokenizers, and the ids that end a document.
@@ -185,3 +185,44 @@ def op6_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query(
+    """
+    WITH turns AS (
+      SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+      UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), formatted AS (
+      SELECT *, '<|turn|>' || role || '<|text|>' || regexp_replace(
+        regexp_replace(text, '\\\\', '\\\\\\\\', 'g'),
+        '(<)(\\||/?s>)|(\\[)(/?(?:INST|SYS)\\])|(<)(</?SYS>>)', '\\1\\3\\5\\\\\\2\\4\\6', 'g') || '<|end|>' AS written
+      FROM turns
+    )
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, written)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, written) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum(length(written)) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS expanded_tokens
+    FROM formatted GROUP BY conv_id
+    """
+)
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.sql(
+        f"SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, '{control}' AS text "
+        f"UNION ALL SELECT -1L, 1L, 'assistant', '{control}'"
+    )
+    chats = chat.format_chats(turns.unionByName(more), parts="text")
+    loss = chat.loss_text(F.col("formatted"))
+    read = F.array_join(F.transform(chat.parsed(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id",
+        F.size(chat.parsed(F.col("formatted"))).cast("long").alias("n_turns"),
+        F.sha2(read, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "expanded_tokens",
+    )
