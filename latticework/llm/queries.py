@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import chat, host_rules, packing, quality, simhash, substring, token_files, toxicity
+from latticework.llm import ann, chat, host_rules, packing, quality, simhash, substring, token_files, toxicity
 from latticework.session import scratch_dir
 
 # A vocabulary of the public tokenizers, and the ids that end a document.
@@ -226,3 +226,9 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"),
         "expanded_tokens",
     )
+
+
+@query()
+def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
