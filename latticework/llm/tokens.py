@@ -3,14 +3,29 @@
 from __future__ import annotations
 
 import functools
+import json
+import re
+import string
+from itertools import islice
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from latticework.llm.text import Remembered, parts
 
-# Chunks that a Python worker remembers, and the longest ones; beyond that it starts anew.
-CHUNKS, CHUNK_BYTES = 400_000, 64
+# Chunks that a Python worker remembers, the longest ones, and how many new ones one call encodes.
+CHUNKS, CHUNK_BYTES, AT_ONCE = 600_000, 64, 200
+# Runs of characters, as the tokenizer splits chunks, that a worker remembers.
+RUNS = 200_000
+
+# The pattern by which lower-casing byte-level word tokenizers split a text into runs, the same for
+# the visible characters of Latin-1 in lower case, and how such tokenizers write bytes, visible ones as
+# themselves and the others from 256 on.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_WRITTEN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 
 class Encoder:
@@ -18,6 +33,8 @@ class Encoder:
 
     For tokenizers that drop white space: it ends every token, so a text is encoded chunk by chunk
     between ASCII white space, by the library. Strings of special tokens have no white space either.
+    New chunks of a text are encoded together; those of plain characters, which its normalizer leaves as
+    they are but for case, are split into runs and the library's model encodes each run once.
     """
 
     def __init__(self, path: str):
@@ -25,23 +42,59 @@ class Encoder:
         for one, two in (("a", "b"), ("it's", "'s ."), ("1", "2"), ("é", "́a")):
             if self._ids(f"{one} \n{two}") != self._ids(one) + self._ids(two):
                 raise ValueError(f"{path}: white space is part of this tokenizer's tokens")
-        self.chunks = Remembered(self._chunk, CHUNKS)
+        self.known: dict[bytes, bytes] = {}
+        self.model, self.runs = self.tokenizer.model, Remembered(self._run, RUNS)
+        steps = json.loads(self.tokenizer.to_str())
+        kinds = [step["type"] for step in (steps["normalizer"] or {}).get("normalizers", [])]
+        splits = [step.get("pattern") for step in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.plain = kinds == ["NFC", "Replace", "Lowercase"] and splits == [{"Regex": _SPLIT}, None]
+        # Case matters to strings of special tokens; elsewhere a lower-casing tokenizer makes one of many chunks.
+        self.special = [str(t).lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.lower = self._ids(string.ascii_uppercase) == self._ids(string.ascii_lowercase)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _chunk(self, chunk: bytes) -> bytes:
-        return np.array(self._ids(chunk.decode()), "<u4").tobytes()
+    def _run(self, run: str) -> bytes:
+        written = run if run.isascii() else run.encode().decode("latin-1").translate(_WRITTEN)
+        return np.array([token.id for token in self.model.tokenize(written)], "<u4").tobytes()
 
-    def encode(self, data: bytes | None) -> bytes:
-        found, known = [], self.chunks
-        for part in parts(data or b""):
-            chunks = part.split()
-            if max(map(len, chunks), default=0) > CHUNK_BYTES:
-                found.extend(known[c] if len(c) <= CHUNK_BYTES else self._chunk(c) for c in chunks)
+    def _encode_chunks(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        found, other, runs = {}, [], self.runs
+        for chunk in chunks:
+            text = chunk.decode()
+            if self.plain and len(chunk) <= CHUNK_BYTES and _PLAIN.fullmatch(text) and "<|" not in text:
+                found[chunk] = b"".join([runs[run] for run in _RUNS.findall(text.lower())])
             else:
-                found.append(b"".join(map(known.__getitem__, chunks)))
-        return b"".join(found)
+                other.append(text)
+        for at in range(0, len(other), AT_ONCE):
+            some = other[at : at + AT_ONCE]
+            encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
+            borders = np.searchsorted(of, np.arange(len(some) + 1)).tolist()
+            found.update((c.encode(), ids[a:b].tobytes()) for c, a, b in zip(some, borders, borders[1:]))
+        return found
+
+    def _part(self, part: bytes) -> bytes:
+        chunks, known = part.split(), self.known
+        if len(known) > CHUNKS:
+            # The older half goes.
+            for chunk in list(islice(known, CHUNKS // 2)):
+                del known[chunk]
+        new = list(set(chunks).difference(known))
+        if new:
+            fresh = self._encode_chunks(new)
+            long = {chunk: ids for chunk, ids in fresh.items() if len(chunk) > CHUNK_BYTES}
+            known.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= CHUNK_BYTES)
+            if long:
+                return b"".join([long[c] if len(c) > CHUNK_BYTES else known[c] for c in chunks])
+        return b"".join(map(known.__getitem__, chunks))
+
+    def encode(self, data: bytes | None) -> bytes:
+        data = data or b""
+        if self.lower and not any(text in (low := data.lower()) for text in self.special):
+            data = low
+        return b"".join(map(self._part, parts(data)))
 
 
 @functools.lru_cache(maxsize=2)

@@ -38,6 +38,12 @@ def test_special_strings_and_long_words():
         assert chunked(text) == ids_of(text)
 
 
+def test_plain_runs_are_used():
+    assert CHUNKED.plain and CHUNKED.lower
+    CHUNKED.encode("Straße l'Été%%% 42nd don't ÀÖØß".encode())
+    assert {"straße", "été", "%%%", "4", "'t", "àöøß"} <= CHUNKED.runs.keys()
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         Encoder(public_tokenizers.path("byte_bpe_50k.json"))
