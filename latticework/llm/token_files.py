@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from latticework.llm.text import as_bytes, smaller_batches
 from latticework.llm.tokens import encoder
+from latticework.session import BROADCAST_ROWS
 
 FIELDS = "doc_id long, shard int, start_in_shard long, n_tokens long, tokens array<int>"
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
@@ -95,6 +96,9 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None, tok
     shards = files.groupBy("shard").agg(F.sum("n_tokens").alias("in_shard"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     begun = shards.select("shard", F.coalesce(F.sum("in_shard").over(before), F.lit(0)).alias("begun"))
+    # Shards are numbered from 0, so their number is known before the join; else tokens would be shuffled.
+    if (shards.agg(F.max("shard")).first()[0] or 0) < BROADCAST_ROWS:
+        begun = F.broadcast(begun)
     if where is not None:
         files = files.where(where)
     found = files.join(begun, "shard").withColumn("start", F.col("begun") + F.col("start_in_shard"))
