@@ -1,13 +1,24 @@
-"""A corpus from documents to packed sequences, stage by stage."""
+"""A training corpus from documents: filtered, deduplicated, mixed and packed, stage by stage."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from latticework.llm import simhash
-from latticework.llm.queries import ship
+from latticework.llm import mixing, packing, quality, simhash, substring
+from latticework.llm.queries import BUDGET, MIXTURE, PACKED_END, ship, table, vocabulary
 from latticework.session import materialize
 
+# Documents below this score are rejected.
+LEAST_QUALITY = 0.7
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    ship(spark)
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, that of the smallest id."""
@@ -15,14 +26,43 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that start in a document of a smaller id go, and documents of which nothing is left."""
+    ship(spark)
+    found = substring.remove_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("text", text).withColumn("n_chars", chars).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their domain, language and source ask for."""
+    ship(spark)
+    sized = docs.withColumn("domain", mixing.number_domain()).withColumn("n_tokens", mixing.word_tokens())
+    return mixing.mix(sized, MIXTURE, budget=BUDGET).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens in sequences, with their ids."""
+    ship(spark)
+    return packing.pack(docs, vocabulary(), PACKED_END).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("quality_filter", quality_filter),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mix", mix),
+    ("pack", pack),
+]
 
+# SQL expresses neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,12 +9,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import ann, chat, host_rules, packing, quality, simhash, substring, token_files, toxicity
+from latticework.llm import ann, chat, host_rules, mixing, packing, quality, simhash, substring, token_files, toxicity
 from latticework.session import scratch_dir
 
 # A vocabulary of the public tokenizers, and the ids that end a document.
 VOCABULARY, PACKED_END, FILED_END = "word_bpe_49k.json", 2, 1
 
+# The mixture: half as much again as the documents have, more of the smaller languages.
+DOMAINS = {"web": 0.5, "books": 0.2, "code": 0.15, "news": 0.15, "other": 0.05}
+LANGUAGES = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+MIXTURE = [mixing.Level("domain", DOMAINS), mixing.Level("lang", LANGUAGES, 0.05), mixing.Level("source")]
+BUDGET = 1.5
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -232,3 +238,72 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def _weight_sql(level: mixing.Level) -> str:
+    if level.weights is None:
+        return "CAST(sum(supply) AS DOUBLE)"
+    cases = " ".join(f"WHEN {level.column} = '{v}' THEN CAST({w} AS DOUBLE)" for v, w in level.weights.items())
+    return f"CASE {cases} ELSE CAST({level.default} AS DOUBLE) END"
+
+
+def _level_sql(depth: int) -> str:
+    path = [level.column for level in MIXTURE[: depth + 1]]
+    parent, column, upper = path[:-1], path[-1], f"level{depth - 1}"
+    same = " AND ".join(f"n.{c} IS NOT DISTINCT FROM {upper}.{c}" for c in parent)
+    by = f"PARTITION BY {', '.join(parent)}" if parent else ""
+    order = f"{by} ORDER BY capacity / weight, {column} NULLS FIRST"
+    return f"""
+    nodes{depth} AS (
+      SELECT {', '.join(path)}, sum(supply) AS supply, sum(supply) * {mixing.MAX_EPOCHS} AS capacity,
+        {_weight_sql(MIXTURE[depth])} AS weight
+      FROM leaves WHERE supply > 0 GROUP BY {', '.join(path)}
+    ), given{depth} AS (
+      SELECT n.*, {f"{upper}.given" if parent else "CAST(floor(CAST(1.5 AS DOUBLE) * total) AS DOUBLE)"} AS given
+      FROM nodes{depth} n, {upper if parent else "(SELECT sum(supply) AS total FROM leaves)"}
+      WHERE weight > 0 {"AND " + same if parent else ""}
+    ), filled{depth} AS (
+      SELECT *, (given - coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fill
+      FROM given{depth}
+    ), level{depth} AS (
+      SELECT {', '.join(path)}, supply, least(CAST(capacity AS DOUBLE), weight * max(fill) OVER ({by})) AS given
+      FROM filled{depth}
+    )"""
+
+
+_NUMBER = "TRY_CAST(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '') AS INT) % 4"
+
+
+@query(
+    f"""
+    WITH units AS (
+      SELECT coalesce(CASE {_NUMBER} WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'code' WHEN 3 THEN 'news' END,
+          'other') AS domain, lang, source, doc_id,
+        CAST(sum(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS BIGINT) AS tokens
+      FROM documents GROUP BY ALL
+    ), leaves AS (
+      SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS supply FROM units GROUP BY ALL
+    ), {", ".join(_level_sql(d) for d in range(len(MIXTURE)))},
+    targets AS (
+      SELECT domain, lang, source, CAST(floor(CAST(floor(given + 1e-6) AS BIGINT) / supply) AS BIGINT) AS whole,
+        CAST(floor(given + 1e-6) AS BIGINT) % CAST(supply AS BIGINT) AS rest
+      FROM level2
+    ), ends AS (
+      SELECT u.*, coalesce(whole, 0) AS whole, coalesce(rest, 0) AS rest, sum(tokens) OVER (
+        PARTITION BY u.domain, u.lang, u.source
+        ORDER BY md5('{mixing.SEED}:' || coalesce(whole, 0) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id
+        ROWS UNBOUNDED PRECEDING) AS upto
+      FROM units u LEFT JOIN targets t ON u.domain IS NOT DISTINCT FROM t.domain
+        AND u.lang IS NOT DISTINCT FROM t.lang AND u.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, domain, lang, source, tokens,
+      CAST(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+    FROM ends
+    """
+)
+def op8_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", mixing.number_domain().alias("domain"), "lang", "source", mixing.word_tokens().alias("n_tokens")
+    )
+    return mixing.copies(docs, MIXTURE, budget=BUDGET).select("doc_id", "domain", "lang", "source", "tokens", "copies")
