@@ -49,11 +49,11 @@ class _Block:
         return at, Windows(0xD1B54A32D192ED03).of(self.words, width)[at]
 
     def windows(self, width: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of the windows at ``at``, 128 bits together."""
+        """Two independent hashes of the windows at ``at``, 96 bits together."""
         other = (self.words ^ (self.words >> np.uint64(32))) * _MIX
         return (
             Windows(0xA0761D6478BD642F).of(self.words, width)[at],
-            Windows(0xE7037ED1A0B428DB).of(other, width)[at],
+            (Windows(0xE7037ED1A0B428DB).of(other, width)[at] >> np.uint64(32)).astype(np.uint32),
         )
 
 
@@ -92,7 +92,7 @@ def _window_rows(id: str, text: str, window: int, width: int):
         return pa.table(
             {
                 "one": one[firsts].view(np.int64),
-                "two": two[firsts].view(np.int64),
+                "two": two[firsts].view(np.int32),
                 "block": pa.array(np.full(len(firsts), key[0].as_py()), pa.int32()),
                 "least": least,
                 "most": most,
@@ -104,7 +104,8 @@ def _window_rows(id: str, text: str, window: int, width: int):
 
 def _repeated(block: _Block, window: int, verdicts: pa.Table) -> np.ndarray:
     """Starts of the windows that also start in a document of a smaller id."""
-    one, two = (np.asarray(verdicts.column(name)).view(np.uint64) for name in ("one", "two"))
+    one = np.asarray(verdicts.column("one")).view(np.uint64)
+    two = np.asarray(verdicts.column("two")).view(np.uint32)
     least = np.asarray(verdicts.column("least"))
     order = np.lexsort((two, one))
     one, two, least = one[order], two[order], least[order]
@@ -156,7 +157,7 @@ def remove_repeats(
 
     Windows are judged on the input. Any two equal windows hold an equal anchor of ``window - 30`` words
     at an aligned cover position, so only windows around an anchor that two documents share are hashed
-    whole; their 128-bit hashes decide. Work meets by blocks of documents: a block sends each hash
+    whole; their 96-bit hashes decide. Work meets by blocks of documents: a block sends each hash
     once, with the smallest and largest id, so a passage that fills a third of the corpus is one row
     a block.
 
@@ -179,7 +180,7 @@ def remove_repeats(
         .select(F.shiftright("code", 1).cast("int").alias(block), "hash")
     )
     rows = groups.cogroup(shared.groupBy(block)).applyInArrow(
-        _window_rows(id, text, window, width), "one long, two long, block int, least long, most long"
+        _window_rows(id, text, window, width), "one long, two int, block int, least long, most long"
     )
     verdicts = (
         rows.withColumn("least", F.min("least").over(Window.partitionBy("one", "two")))
