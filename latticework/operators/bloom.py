@@ -1,7 +1,8 @@
 """Approximate membership with one-hash filters stored as packed bit tables.
 
-A filter of ``size`` bits is ``(word_ix, word)`` with at most ``size / 64`` rows,
-whatever the data; that bound decides whether it may be broadcast. Keys that
+A filter of ``size`` bits is ``(word_ix, word, size)`` with at most ``size / 64`` rows,
+whatever the data; that bound decides whether it may be broadcast. The size goes with each
+word, and filters of different sizes, or a probe of another size, fail. Keys that
 share a bucket cannot be told apart: a member is never missed, a non-member may
 pass.
 """
@@ -25,14 +26,21 @@ BROADCAST_BUCKETS = 1_000_000
 
 
 def bucket_of(df: DataFrame, key: str, size: int) -> Column:
-    """Bucket of a key column, by its type."""
-    if isinstance(df.schema[key].dataType, T.StringType):
+    """Bucket of a text or integer key column; null for a null key.
+
+    Other types have no bucket of their own: two values would share a key by a cast.
+    """
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.StringType):
         return text_bucket(F.col(key), size)
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{key} is {kind.simpleString()}; filters take text and integer keys")
     return bucket(F.col(key), size)
 
 
 def _with_bucket(df: DataFrame, key: str, size: int) -> DataFrame:
-    return df.where(F.col(key).isNotNull()).withColumn("bucket", bucket_of(df, key, size))
+    found = F.when(F.col(key).isNotNull(), bucket_of(df, key, size))
+    return df.withColumn("bucket", found)
 
 
 def set_buckets(words: DataFrame, size: int) -> DataFrame:
@@ -44,47 +52,72 @@ def build(
     df: DataFrame, key: str, size: int = DEFAULT_FILTER_BITS, by: str | None = None
 ) -> DataFrame:
     """Filter over ``key``; with ``by`` one filter per group, keyed by ``set_id``."""
-    keys = ["word_ix"] if by is None else ["set_id", "word_ix"]
     group = [] if by is None else [F.col(by).alias("set_id")]
+    rows = _with_bucket(df, key, size).select(*group, "bucket")
+    return _filter_words(rows, [] if by is None else ["set_id"], size)
+
+
+def _filter_words(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Filters of the column ``bucket``, one per value of ``keys``."""
     return (
-        _with_bucket(df, key, size)
+        rows.where(F.col("bucket").isNotNull())
         .select(
-            *group,
+            *keys,
             bits.word_index(F.col("bucket")).alias("word_ix"),
             bits.bit_mask(F.col("bucket")).alias("word"),
         )
-        .groupBy(*keys)
+        .groupBy(*keys, "word_ix")
         .agg(F.bit_or("word").alias("word"))
+        .withColumn("size", F.lit(size).cast("bigint"))
     )
 
 
+def build_of_sets(words: DataFrame, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
+    """Filter over whole sets in packed form, each set one element."""
+    return _filter_words(set_buckets(words, size), [], size)
+
+
+def _of_size(filter_words: DataFrame, size: int | None = None) -> DataFrame:
+    """The words, failing in the task that meets a word of another size."""
+    expected = F.lit(size) if size is not None else F.col("size")
+    checked = F.when(F.col("size") == expected, F.col("word")).otherwise(
+        F.raise_error(F.concat(F.lit("a filter of another size: "), F.col("size").cast("string"))).cast("bigint")
+    )
+    return filter_words.withColumn("word", checked)
+
+
 def buckets(filter_words: DataFrame) -> DataFrame:
     """``(bucket)``: the set buckets of a filter."""
     spread = filter_words.where(F.col("word") != 0).select(
         "*", F.explode(bits.positions()).alias("position")
     )
     return spread.where(bits.has_bit(F.col("word"), F.col("position"))).select(
-        *[c for c in filter_words.columns if c not in ("word_ix", "word")],
+        *[c for c in filter_words.columns if c not in ("word_ix", "word", "size")],
         (F.shiftleft("word_ix", bits.WORD_SHIFT) + F.col("position")).alias("bucket"),
     )
 
 
 def merge(*filters: DataFrame) -> DataFrame:
-    """Union of filters of equal size; the filters of a ``by`` build merge into one."""
-    words = [f.select("word_ix", "word") for f in filters]
+    """Union of filters of equal size; the filters of a ``by`` build merge into one.
+
+    Filters of different sizes fail.
+    """
+    words = [f.select("word_ix", "word", "size") for f in filters]
     merged = words[0]
     for other in words[1:]:
         merged = merged.unionByName(other)
-    return merged.groupBy("word_ix").agg(F.bit_or("word").alias("word"))
+    # Sizes differ anywhere, not only within a word: one row for each filter's size.
+    sizes = [row["size"] for row in merged.select("size").distinct().limit(2).collect()]
+    if len(sizes) > 1:
+        raise ValueError(f"filters of sizes {sorted(sizes)} cannot be merged")
+    return merged.groupBy("word_ix").agg(F.bit_or("word").alias("word"), F.max("size").alias("size"))
 
 
-def _probe(df: DataFrame, key: str, filter_words: DataFrame, size: int, how: str) -> DataFrame:
-    """``df`` joined with the filter word of its key, and the column ``maybe``."""
-    keyed = df.withColumn("bucket", bucket_of(df, key, size)).withColumn(
-        "word_ix", bits.word_index(F.col("bucket"))
-    )
+def _probe(keyed: DataFrame, filter_words: DataFrame, size: int, how: str) -> DataFrame:
+    """``keyed`` joined with the filter word of its ``bucket``, and the column ``maybe``."""
+    keyed = keyed.withColumn("word_ix", bits.word_index(F.col("bucket")))
     fits = -(-size // bits.WORD_BITS) <= BROADCAST_WORDS
-    words = filter_words.select("word_ix", "word")
+    words = _of_size(filter_words, size).select("word_ix", "word")
     joined = (
         keyed.join(F.broadcast(words), "word_ix", how)
         if fits
@@ -98,14 +131,24 @@ def semi_join(
     df: DataFrame, key: str, filter_words: DataFrame, size: int = DEFAULT_FILTER_BITS
 ) -> DataFrame:
     """Rows whose key may be in the filter; a filter lookup, no shuffle of ``df``."""
-    return _probe(df, key, filter_words, size, "inner").where("maybe").select(*df.columns)
+    return _probe(_with_bucket(df, key, size), filter_words, size, "inner").where("maybe").select(*df.columns)
 
 
 def anti_join(
     df: DataFrame, key: str, filter_words: DataFrame, size: int = DEFAULT_FILTER_BITS
 ) -> DataFrame:
     """Rows whose key is certainly not in the filter (a null key is in no filter)."""
-    return _probe(df, key, filter_words, size, "left").where(~F.col("maybe")).select(*df.columns)
+    return _probe(_with_bucket(df, key, size), filter_words, size, "left").where(~F.col("maybe")).select(*df.columns)
+
+
+def semi_join_sets(words: DataFrame, filter_words: DataFrame, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
+    """``(set_id)`` of the packed sets that may, as a whole, be elements of the filter."""
+    return _probe(set_buckets(words, size), filter_words, size, "inner").where("maybe").select("set_id")
+
+
+def anti_join_sets(words: DataFrame, filter_words: DataFrame, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
+    """``(set_id)`` of the packed sets that are certainly no elements of the filter."""
+    return _probe(set_buckets(words, size), filter_words, size, "left").where(~F.col("maybe")).select("set_id")
 
 
 def prefilter_join(
@@ -124,19 +167,27 @@ def prefilter_join(
 def added_flags(df: DataFrame, key: str, order: str, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
     """``df`` with ``bucket`` and ``added``: true for the first row of each bucket.
 
-    ``order`` is a unique column. The first row of a bucket is a ``min`` with
+    ``order`` is a unique column. A row with a null key has no bucket and is not added. The first row of a bucket is a ``min`` with
     map-side combine; there is no window over a bucket, however full it is.
     """
-    keyed = _with_bucket(df, key, size)
+    return _added(_with_bucket(df, key, size), order, size).select(*df.columns, "bucket", "added")
+
+
+def added_sets(words: DataFrame, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
+    """``(set_id, bucket, added)`` of the packed sets as elements, taken in the order of ``set_id``."""
+    return _added(set_buckets(words, size), "set_id", size).select("set_id", "bucket", "added")
+
+
+def _added(keyed: DataFrame, order: str, size: int) -> DataFrame:
+    """``keyed`` with ``added`` for the first row of each bucket."""
     firsts = keyed.groupBy("bucket").agg(F.min(order).alias("first_order"))
     joined = (
-        keyed.join(F.broadcast(firsts), "bucket")
+        keyed.join(F.broadcast(firsts), "bucket", "left")
         if size <= BROADCAST_BUCKETS
-        else lookup(keyed, firsts, ["bucket"], "inner")
-    )
-    return joined.select(
-        *df.columns, "bucket", (F.col(order) == F.col("first_order")).alias("added")
+        else lookup(keyed, firsts, ["bucket"], "left")
     )
+    added = F.col("bucket").isNotNull() & (F.col(order) == F.col("first_order"))
+    return joined.withColumn("added", F.coalesce(added, F.lit(False)))
 
 
 def first_seen(df: DataFrame, key: str, order: str, size: int = DEFAULT_FILTER_BITS) -> DataFrame:

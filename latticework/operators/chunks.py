@@ -86,22 +86,32 @@ def is_binary(chunks: DataFrame) -> bool:
 
 
 def reassemble(chunks: DataFrame, as_text: bool = False) -> DataFrame:
-    """``(msg_id, n_chunks, n_seen, value)`` per message.
+    """``(msg_id, n_chunks, n_seen, value)`` per message; ``n_seen`` counts distinct keys.
 
-    ``value`` is null while chunks are missing. Repeated chunks count once. The
-    chunks of a message meet in one task, as the result is one cell.
+    A message is complete if its keys are exactly 1 to ``n_chunks`` and no key has two contents;
+    else ``value`` is null. Repeated chunks count once. The chunks of a message meet in one task, as
+    the result is one cell; they are shuffled once, and repeats are reduced before they are gathered.
     """
     binary = is_binary(chunks)
     value = joined_value(F.col("parts"), binary)
     if binary and as_text:
         value = value.cast("string")
+    by_key = (
+        chunks.where(F.col("key").isNotNull())
+        .repartition("msg_id")
+        .groupBy("msg_id", "n_chunks", "key")
+        .agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("other"))
+    )
+    n = F.col("n_chunks")
+    complete = (F.col("n_seen") == n) & (F.col("first") == 1) & (F.col("last") == n) & F.col("agreed")
     return (
-        chunks.groupBy("msg_id", "n_chunks")
-        .agg(F.collect_set(F.struct("key", "chunk")).alias("parts"))
-        .select(
-            "msg_id",
-            "n_chunks",
-            F.size("parts").alias("n_seen"),
-            F.when(F.size("parts") == F.col("n_chunks"), value).alias("value"),
+        by_key.groupBy("msg_id", "n_chunks")
+        .agg(
+            F.collect_list(F.struct("key", "chunk")).alias("parts"),
+            F.count("*").cast("int").alias("n_seen"),
+            F.min("key").alias("first"),
+            F.max("key").alias("last"),
+            F.bool_and(F.coalesce(F.col("chunk") == F.col("other"), F.lit(False))).alias("agreed"),
         )
+        .select("msg_id", "n_chunks", "n_seen", F.when(complete, value).alias("value"))
     )

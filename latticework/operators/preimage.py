@@ -18,15 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latticework.functions.arrays import each
-from latticework.functions.bits import has_bit, long_lit, shift_left
 from latticework.functions.hashing import sha256_hex
 from latticework.operators.joins import lookup
 from latticework.session import BROADCAST_ROWS, materialize
 
-# Enumerations above this size are refused unless the caller lifts the limit.
-# 12! is the number of candidates of one 12-symbol alphabet.
-MAX_CANDIDATES = 479_001_600
-
 # The last symbols of a permutation are placed in one step, by these templates.
 _TEMPLATE_SYMBOLS = "12345"
 
@@ -56,53 +51,75 @@ def _digest(cand: Column) -> Column:
     return F.coalesce(sha256_hex(cand), F.lit(""))
 
 
-def _shuffled(n_candidates: int) -> str:
-    """Join hint for candidates too many to broadcast.
+# Join hint for candidates too many to broadcast: Spark underestimates exploded rows, and a sorted join
+# spills whatever their number.
+_SHUFFLED = "shuffle_merge"
 
-    They are unique and spread evenly, so up to the usual limit each partition fits into
-    a hash table, which saves sorting the records.
-    """
-    return "shuffle_hash" if n_candidates <= MAX_CANDIDATES else "shuffle_merge"
 
+def distinct_symbols(alphabet: Column) -> Column:
+    """The alphabet with each symbol once, in its order."""
+    return F.array_join(F.array_distinct(_symbols(alphabet)), "")
+
+
+def n_permutations(alphabet: Column) -> Column:
+    """Permutation candidates of an alphabet, as a double."""
+    n = F.length(distinct_symbols(alphabet))
+    # Factorials beyond 20 exceed a long; as doubles they go on, to infinity.
+    beyond = F.aggregate(
+        F.when(n > 20, F.sequence(F.lit(21), n)).otherwise(F.array().cast("array<int>")), F.lit(1.0), lambda a, i: a * i
+    )
+    return F.factorial(F.least(n, F.lit(20))).cast("double") * beyond
+
+
+def n_strings(universe: Column, plen: Column) -> Column:
+    """Strings of length ``plen`` over a universe, as a double."""
+    return F.pow(F.length(universe), plen)
 
-def _check_size(n_candidates: float, limit: int | None, what: str) -> None:
-    if limit is not None and n_candidates > limit:
-        raise ValueError(
-            f"{what} needs {n_candidates:.0f} candidates, more than {limit}; "
-            "pass max_candidates=None to enumerate them anyway"
-        )
+
+def _within(count: Column, limit: int | None) -> Column:
+    return F.lit(True) if limit is None else count <= F.lit(float(limit))
 
 
 def permutation_count(alphabets: DataFrame) -> tuple[int, int]:
     """(number of permutation candidates, longest alphabet) of distinct alphabets."""
-    n = F.length("alphabet")
     row = (
         alphabets.select("alphabet")
         .distinct()
-        .agg(F.sum(F.factorial(F.least(n, F.lit(20))).cast("double")).alias("n"), F.max(n).alias("m"))
+        .agg(
+            F.sum(n_permutations(F.col("alphabet"))).alias("n"),
+            F.max(F.length(distinct_symbols(F.col("alphabet")))).alias("m"),
+        )
         .first()
     )
-    return int(row["n"] or 0), int(row["m"] or 0)
+    return _whole(row["n"]), int(row["m"] or 0)
+
+
+def _whole(count: float | None) -> int:
+    """A count for planning; endless ones are as good as a very large one."""
+    return int(min(count or 0, 1e18))
 
 
 def permutations(
     alphabets: DataFrame,
-    max_candidates: int | None = MAX_CANDIDATES,
+    max_candidates: int | None = None,
     size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(alphabet, cand, excluded)``: every ordering of every alphabet minus one symbol.
 
+    A symbol that an alphabet repeats counts once. With ``max_candidates`` an alphabet that
+    has more is left out; all others are enumerated.
+
     The first symbols are chosen in rounds of ``explode``; the started rows are
     spread over the cluster, and each is completed by all orderings of the few
     symbols it has left. Rows stream through and are never held as a whole. An
     alphabet of ``n`` symbols gives ``n!`` rows.
     """
+    alphabets = alphabets.where(_within(n_permutations(F.col("alphabet")), max_candidates))
     total, longest = size or permutation_count(alphabets)
-    _check_size(total, max_candidates, "permuting the alphabets")
     at_once = len(_TEMPLATE_SYMBOLS)
     left = F.length("rest")
     rows = alphabets.select("alphabet").distinct().select(
-        "alphabet", F.lit("").alias("cand"), F.col("alphabet").alias("rest")
+        "alphabet", F.lit("").alias("cand"), distinct_symbols(F.col("alphabet")).alias("rest")
     )
     for _ in range(longest - at_once):
         # Shorter alphabets wait: place 0 takes nothing.
@@ -151,23 +168,24 @@ def tuple_count(domains: DataFrame) -> tuple[int, int]:
         domains.select("universe", "plen")
         .distinct()
         .agg(
-            F.sum(F.pow(F.length("universe"), F.col("plen"))).alias("n"),
+            F.sum(n_strings(F.col("universe"), F.col("plen"))).alias("n"),
             F.max("plen").alias("m"),
         )
         .first()
     )
-    return int(row["n"] or 0), int(row["m"] or 0)
+    return _whole(row["n"]), int(row["m"] or 0)
 
 
 def tuples(
     domains: DataFrame,
-    max_candidates: int | None = MAX_CANDIDATES,
+    max_candidates: int | None = None,
     size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``(universe, plen, cand)``: all strings of length ``plen`` over ``universe``,
-    symbols may repeat. A domain of ``n`` symbols gives ``n ** plen`` rows."""
+    symbols may repeat. A domain of ``n`` symbols gives ``n ** plen`` rows; with
+    ``max_candidates`` a domain that has more is left out."""
+    domains = domains.where(_within(n_strings(F.col("universe"), F.col("plen")), max_candidates))
     total, longest = size or tuple_count(domains)
-    _check_size(total, max_candidates, "enumerating the strings")
     rows = domains.select("universe", "plen").distinct().select(
         "universe", "plen", _symbols(F.col("universe")).alias("symbols"), F.lit("").alias("cand")
     )
@@ -195,22 +213,6 @@ def hint_rows(records: DataFrame) -> DataFrame:
     )
 
 
-def _hint_sizes(records: DataFrame) -> tuple[int, int, int]:
-    """(permutation candidates, longest alphabet, hints), in one pass over the records."""
-    n = F.length("alphabet")
-    row = (
-        records.groupBy("alphabet")
-        .agg(F.sum(F.size("hints").cast("bigint")).alias("hints"))
-        .agg(
-            F.sum(F.factorial(F.least(n, F.lit(20))).cast("double")).alias("n"),
-            F.max(n).alias("m"),
-            F.sum("hints").alias("h"),
-        )
-        .first()
-    )
-    return int(row["n"] or 0), int(row["m"] or 0), int(row["h"] or 0)
-
-
 def _hint_matches(
     hints: DataFrame,
     records: DataFrame,
@@ -219,11 +221,22 @@ def _hint_matches(
     broadcast_rows: int,
 ) -> DataFrame:
     """``hints`` with the column ``excluded``, null where no candidate has the hash."""
-    total, longest, n_hints = _hint_sizes(records)
+    alphabets = records.groupBy("alphabet").agg(F.sum(F.size("hints").cast("bigint")).alias("hints"))
     if candidates is None:
-        candidates = hashed_permutations(
-            records.select("alphabet"), max_candidates=max_candidates, size=(total, longest)
-        )
+        open_ = alphabets.where(_within(n_permutations(F.col("alphabet")), max_candidates))
+        row = open_.agg(
+            F.sum(n_permutations(F.col("alphabet"))).alias("n"),
+            F.max(F.length(distinct_symbols(F.col("alphabet")))).alias("m"),
+            F.sum("hints").alias("h"),
+        ).first()
+        total, n_hints = _whole(row["n"]), int(row["h"] or 0)
+        size = (total, int(row["m"] or 0))
+        candidates = hashed_permutations(records.select("alphabet"), max_candidates=max_candidates, size=size)
+    else:
+        # Only candidates of the records' alphabets take part, and these are counted.
+        candidates = candidates.join(alphabets.select("alphabet"), "alphabet", "left_semi")
+        total = candidates.count()
+        n_hints = int(alphabets.agg(F.sum("hints")).first()[0] or 0)
     found = candidates.withColumnRenamed("cand_hash", "hint_hash")
     keys = ["alphabet", "hint_hash"]
     if total <= broadcast_rows and total < n_hints:
@@ -234,13 +247,13 @@ def _hint_matches(
         wanted = hints.select(*keys).distinct()
         matched = found.join(F.broadcast(wanted), keys)
         return hints.join(F.broadcast(matched), keys, "left")
-    return lookup(hints, found.hint(_shuffled(total)), keys)
+    return lookup(hints, found.hint(_SHUFFLED), keys)
 
 
 def match_hints(
     records: DataFrame,
     candidates: DataFrame | None = None,
-    max_candidates: int | None = MAX_CANDIDATES,
+    max_candidates: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(id, hint_ix, hint_hash, excluded)`` for every hint of every record.
@@ -256,45 +269,38 @@ def match_hints(
 def remaining_universe(
     records: DataFrame,
     candidates: DataFrame | None = None,
-    max_candidates: int | None = MAX_CANDIDATES,
+    max_candidates: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(id, alphabet, plen, value_hash, excluded array, universe string)`` per record.
 
-    The excluded symbols of a record are gathered as a bit mask over its alphabet,
-    which combines on the map side. A record without hints keeps its alphabet.
+    The excluded symbols of a record are gathered as a set, as large as its alphabet at
+    most. A record without hints keeps its alphabet, each symbol once.
     """
     carried = ["id", "alphabet", "plen", "value_hash"]
     hints = records.select(*carried, F.explode_outer("hints").alias("hint_hash"))
-    position = F.position(F.col("excluded"), F.col("alphabet")) - F.lit(1)
-    bit = F.when(F.col("excluded").isNotNull(), shift_left(long_lit(1), position))
-    masks = (
+    gone = (
         _hint_matches(hints, records, candidates, max_candidates, broadcast_rows)
         .groupBy(*carried)
-        .agg(F.bit_or(F.coalesce(bit, long_lit(0))).alias("mask"))
-    )
-    symbols = _symbols(F.col("alphabet"))
-
-    def part(wanted: bool) -> Column:
-        return F.filter(symbols, lambda s, i: has_bit(F.col("mask"), i) == F.lit(wanted))
-
-    return masks.select(
-        *carried,
-        F.sort_array(part(True)).alias("excluded"),
-        F.array_join(part(False), "").alias("universe"),
+        .agg(F.sort_array(F.collect_set("excluded")).alias("excluded"))
     )
+    left = F.array_except(F.array_distinct(_symbols(F.col("alphabet"))), F.col("excluded"))
+    return gone.select(*carried, "excluded", F.array_join(left, "").alias("universe"))
 
 
 def recover(
     records: DataFrame,
     candidates: DataFrame | None = None,
     universes: DataFrame | None = None,
-    max_candidates: int | None = MAX_CANDIDATES,
+    max_candidates: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``(id, value, status)``: ``value`` is null and ``status`` is ``unresolved``
     where no string of the remaining domain has the declared hash.
 
+    ``max_candidates``, if given, is decided for each alphabet and each domain alone. A record
+    whose alphabet or domain has more is ``refused``, and all others are solved.
+
     Records that share a domain share its enumeration. The remaining universes are
     read three times, so they are stored once, unless given as ``universes``.
     """
@@ -302,15 +308,19 @@ def recover(
         universes = materialize(
             remaining_universe(records, candidates, max_candidates, broadcast_rows), "universes"
         )
-    domains = universes.select("universe", "plen").distinct()
+    strings = n_strings(F.col("universe"), F.col("plen"))
+    within = _within(strings, max_candidates)
+    if candidates is None:
+        within = within & _within(n_permutations(F.col("alphabet")), max_candidates)
+    open_ = F.coalesce(within, F.lit(True))
+    domains = universes.where(open_).select("universe", "plen").distinct()
     total, longest = tuple_count(domains)
-    cands = tuples(domains, max_candidates, size=(total, longest)).withColumn(
-        "value_hash", _digest(F.col("cand"))
-    )
+    cands = tuples(domains, size=(total, longest)).withColumn("value_hash", _digest(F.col("cand")))
     keys = ["universe", "plen", "value_hash"]
     if total <= broadcast_rows:
         joined = universes.join(F.broadcast(cands), keys, "left")
     else:
-        joined = lookup(universes, cands.hint(_shuffled(total)), keys)
-    status = F.when(F.col("cand").isNull(), F.lit("unresolved")).otherwise(F.lit("found"))
-    return joined.select("id", F.col("cand").alias("value"), status.alias("status"))
+        joined = lookup(universes, cands.hint(_SHUFFLED), keys)
+    status = F.when(~open_, F.lit("refused")).when(F.col("cand").isNull(), F.lit("unresolved"))
+    value = F.when(open_, F.col("cand"))
+    return joined.select("id", value.alias("value"), status.otherwise(F.lit("found")).alias("status"))

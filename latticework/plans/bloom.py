@@ -58,6 +58,27 @@ def bloom_set_buckets(spark, sf_dir):
     return ops.set_buckets(pack(order_line_sets(spark, sf_dir)), SIZE)
 
 
+def _returned(spark, sf_dir):
+    """Filter whose elements are the sets of returned line numbers of the orders."""
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    sets = lines.select(F.col("l_orderkey").alias("set_id"), F.col("l_linenumber").cast("bigint").alias("bit"))
+    return ops.build_of_sets(pack(sets), SIZE)
+
+
+def bloom_semi_join_sets(spark, sf_dir):
+    """Orders whose whole set of line numbers may be a set of returned ones."""
+    return ops.semi_join_sets(pack(order_line_sets(spark, sf_dir)), _returned(spark, sf_dir), SIZE)
+
+
+def bloom_anti_join_sets(spark, sf_dir):
+    return ops.anti_join_sets(pack(order_line_sets(spark, sf_dir)), _returned(spark, sf_dir), SIZE)
+
+
+def bloom_first_seen_sets(spark, sf_dir):
+    """For each order whether its set of line numbers is the first in its bucket."""
+    return ops.added_sets(pack(order_line_sets(spark, sf_dir)), SIZE)
+
+
 QUERIES = {
     "bloom_build": bloom_build,
     "bloom_merge": bloom_merge,
@@ -66,6 +87,9 @@ QUERIES = {
     "bloom_prefilter_join": bloom_prefilter_join,
     "bloom_first_seen": bloom_first_seen,
     "bloom_set_buckets": bloom_set_buckets,
+    "bloom_semi_join_sets": bloom_semi_join_sets,
+    "bloom_anti_join_sets": bloom_anti_join_sets,
+    "bloom_first_seen_sets": bloom_first_seen_sets,
 }
 
 
@@ -76,7 +100,16 @@ def _bucket(key: str) -> str:
 
 _USER_BUCKETS = f"WITH filter AS (SELECT DISTINCT {_bucket('user_id')} AS bucket FROM events)"
 
+_SET_BUCKETS = f"""WITH {SETS_SQL},
+sets AS (SELECT set_id, xor(sum(1 << bit)::BIGINT, 1234) % {SIZE} AS bucket FROM order_line_sets GROUP BY set_id),
+filter AS (SELECT DISTINCT xor(sum(1 << l_linenumber)::BIGINT, 1234) % {SIZE} AS bucket
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') GROUP BY l_orderkey)"""
+
 ORACLES = {
+    "bloom_semi_join_sets": f"{_SET_BUCKETS} SELECT set_id FROM sets WHERE bucket IN (SELECT bucket FROM filter)",
+    "bloom_anti_join_sets": f"{_SET_BUCKETS} SELECT set_id FROM sets WHERE bucket NOT IN (SELECT bucket FROM filter)",
+    "bloom_first_seen_sets": f"""{_SET_BUCKETS}
+SELECT set_id, bucket, row_number() OVER (PARTITION BY bucket ORDER BY set_id) = 1 AS added FROM sets""",
     "bloom_build": f"SELECT DISTINCT c_mktsegment AS set_id, {_bucket('c_custkey')} AS bucket FROM customer",
     "bloom_merge": f"""SELECT {_bucket('c_custkey')} AS bucket FROM customer
 UNION SELECT {_bucket('user_id')} FROM events""",

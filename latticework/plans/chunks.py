@@ -33,11 +33,21 @@ def chunk_split_bytes(spark, sf_dir):
     )
 
 
+def _damaged(parts):
+    """All chunks, and what goes wrong with them: each first chunk comes twice; messages of every
+    fifth number lose their last chunk, of every seventh repeat it with another content, and of every
+    eleventh have one chunk too many."""
+    last = parts.where("key = n_chunks")
+    kept = parts.where("msg_id % 5 != 4 OR key < n_chunks")
+    other = last.where("msg_id % 7 = 3").withColumn("chunk", F.concat("chunk", F.lit("?")))
+    more = last.where("msg_id % 11 = 5").withColumn("key", F.col("key") + 1)
+    return kept.unionByName(parts.where("key = 1 AND n_chunks > 1")).unionByName(other).unionByName(more)
+
+
 def chunk_reassemble(spark, sf_dir):
-    parts = _split(spark, sf_dir)
-    shuffled = parts.repartition(F.xxhash64("msg_id", "key"))
-    whole = ops.reassemble(shuffled)
-    return whole.select(F.col("msg_id").alias("doc_id"), F.col("value").alias("text"))
+    parts = _damaged(_split(spark, sf_dir))
+    whole = ops.reassemble(parts.repartition(F.xxhash64("msg_id", "key")))
+    return whole.select(F.col("msg_id").alias("doc_id"), "n_seen", F.col("value").alias("text"))
 
 
 def chunk_reassemble_bytes(spark, sf_dir):
@@ -48,12 +58,12 @@ def chunk_reassemble_bytes(spark, sf_dir):
 
 def stream_reassemble(spark, sf_dir):
     path = scratch_dir(spark, "chunk-files")
-    streams.write_chunks(_split(spark, sf_dir), path, SENT_AT, n_files=4)
+    streams.write_chunks(_damaged(_split(spark, sf_dir)), path, SENT_AT)
     schema = spark.read.parquet(path).schema
     streams.write_end_mark(spark, schema, path, END_AT)
     parts = streams.stream_chunks(spark, path, schema, files_per_batch=2)
     whole = run_available(streams.stream_reassemble(parts), "reassembled")
-    return whole.select(F.col("msg_id").alias("doc_id"), F.col("value").alias("text"))
+    return whole.select(F.col("msg_id").alias("doc_id"), "n_seen", F.col("value").alias("text"))
 
 
 QUERIES = {
@@ -64,7 +74,14 @@ QUERIES = {
     "stream_reassemble": stream_reassemble,
 }
 
-_DOCUMENTS = "SELECT doc_id, text FROM documents"
+# Messages that lost their only chunk never arrive, unless another chunk of them did.
+_DOCUMENTS = f"""SELECT doc_id,
+  CAST(n - (CASE WHEN doc_id % 5 = 4 AND doc_id % 7 <> 3 THEN 1 ELSE 0 END)
+    + (CASE WHEN doc_id % 11 = 5 THEN 1 ELSE 0 END) AS INTEGER) AS n_seen,
+  CASE WHEN doc_id % 11 = 5 OR (doc_id % 7 = 3 AND doc_id % 5 <> 4) OR (doc_id % 5 = 4 AND doc_id % 7 <> 3) THEN NULL
+    WHEN doc_id % 5 = 4 THEN text || '?' ELSE text END AS text
+FROM (SELECT doc_id, text, greatest(1, (length(text) + {CHUNK - 1}) // {CHUNK}) AS n FROM documents)
+WHERE n > 1 OR doc_id % 5 <> 4 OR doc_id % 7 = 3 OR doc_id % 11 = 5"""
 
 ORACLES = {
     "chunk_split": f"""SELECT msg_id, n_chunks, CAST(k AS INTEGER) AS key,

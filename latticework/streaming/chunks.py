@@ -9,13 +9,14 @@ from pyspark.sql import types as T
 from latticework.operators.chunks import is_binary, joined_value
 
 
-def write_chunks(chunks: DataFrame, path: str, sent_at: str, n_files: int | None = None) -> None:
-    """Store chunks with the time their message was sent (``sent_at``, a timestamp text)."""
+def write_chunks(chunks: DataFrame, path: str, sent_at: str) -> None:
+    """Store chunks with the time their message was sent (``sent_at``, a timestamp text).
+
+    Spread by content hash over as many files as the session shuffles to, so that chunks
+    arrive out of order.
+    """
     stamped = chunks.withColumn("sent_at", F.lit(sent_at).cast("timestamp"))
-    if n_files is not None:
-        # Spread over the files by content hash, so that chunks arrive out of order.
-        stamped = stamped.repartition(n_files, F.xxhash64("msg_id", "key"))
-    stamped.write.mode("append").parquet(path)
+    stamped.repartition(F.xxhash64("msg_id", "key")).write.mode("append").parquet(path)
 
 
 def write_end_mark(spark: SparkSession, schema: T.StructType, path: str, at: str) -> None:
@@ -45,10 +46,16 @@ def stream_reassemble(chunks: DataFrame, delay: str = "1 hour") -> DataFrame:
 
     ``chunks`` carries ``sent_at``, equal for all chunks of a message. A message is
     emitted when the watermark passes it; by then its chunks have had ``delay``
-    to arrive in any order and any number of times. ``value`` is null for a
-    message that is still incomplete, so a loss is reported, and its state ends.
+    to arrive in any order and any number of times. ``value`` is null for a message
+    whose keys are not exactly 1 to ``n_chunks``, or of which a key has two contents, so a
+    loss is reported, and its state ends.
     """
     value = joined_value(F.col("parts"), is_binary(chunks))
+    keys = F.array_distinct(F.transform("parts", lambda p: p["key"]))
+    n = F.col("n_chunks")
+    complete = (
+        (F.size("parts") == n) & (F.size(keys) == n) & (F.array_min(keys) == 1) & (F.array_max(keys) == n)
+    )
     return (
         chunks.withWatermark("sent_at", delay)
         .groupBy("msg_id", "n_chunks", "sent_at")
@@ -62,7 +69,7 @@ def stream_reassemble(chunks: DataFrame, delay: str = "1 hour") -> DataFrame:
         .select(
             "msg_id",
             "n_chunks",
-            F.size("parts").alias("n_seen"),
-            F.when(F.size("parts") == F.col("n_chunks"), value).alias("value"),
+            F.size(keys).alias("n_seen"),
+            F.when(complete, value).alias("value"),
         )
     )

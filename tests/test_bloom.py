@@ -104,3 +104,31 @@ def test_prefilter_join_equals_the_plain_join(spark):
     side = spark.range(100, 700, 3).selectExpr("id as b", "id * 2 as v")
     got = row_set(ops.prefilter_join(probe, "k", side, "b", 128))
     assert got == row_set(probe.join(side, probe["k"] == side["b"]))
+
+
+def test_sizes_must_agree(spark):
+    df = spark.range(5_000).withColumnRenamed("id", "k")
+    words = ops.build(df, "k", 1_024)
+    assert words.columns == ["word_ix", "word", "size"]
+    with pytest.raises(Exception, match="another size"):
+        ops.semi_join(df, "k", words, 4_096).collect()
+    with pytest.raises(ValueError, match="cannot be merged"):
+        ops.merge(words, ops.build(df, "k", 4_096))
+
+
+def test_null_keys_stay_and_other_types_fail(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 5), (4, None)], "o int, k int")
+    got = {r["o"]: (r["bucket"], r["added"]) for r in ops.added_flags(df, "k", "o", 64).collect()}
+    assert got == {1: (plain_bucket(5, 64), True), 2: (None, False), 3: (plain_bucket(5, 64), False), 4: (None, False)}
+    with pytest.raises(TypeError):
+        ops.build(spark.createDataFrame([(1.2,), (1.7,)], "k double"), "k", 64)
+
+
+def test_whole_sets_as_elements(spark):
+    sets = {1: [1, 2], 2: [2, 1], 3: [1], 4: [70, 200], 5: [300]}
+    rows = spark.createDataFrame([(s, b) for s, bits in sets.items() for b in bits], "set_id int, bit bigint")
+    words = pack(rows)
+    held = ops.build_of_sets(words.where("set_id IN (1, 4)"), 10_007)
+    assert row_set(ops.semi_join_sets(words, held, 10_007)) == {(1,), (2,), (4,)}
+    assert row_set(ops.anti_join_sets(words, held, 10_007)) == {(3,), (5,)}
+    assert {r["set_id"] for r in ops.added_sets(words, 10_007).where("added").collect()} == {1, 3, 4, 5}

@@ -81,9 +81,9 @@ def test_stream_reports_each_message_once(spark, messages):
     path = scratch_dir(spark, "test-chunks")
     parts = ops.split(messages, "msg", "body", 4, "chars")
     damaged = parts.where("not (msg_id = 3 and key = 2)").unionByName(parts.where("msg_id = 6"))
-    streams.write_chunks(damaged, path, "2024-01-01 00:00:00", n_files=3)
+    streams.write_chunks(damaged, path, "2024-01-01 00:00:00")
     # A whole message arrives again in a later file.
-    streams.write_chunks(parts.where("msg_id = 2"), path, "2024-01-01 00:00:00", n_files=1)
+    streams.write_chunks(parts.where("msg_id = 2"), path, "2024-01-01 00:00:00")
     schema = spark.read.parquet(path).schema
     streams.write_end_mark(spark, schema, path, "2024-01-01 03:00:00")
     stream = streams.stream_chunks(spark, path, schema)
@@ -98,12 +98,30 @@ def test_stream_drops_state_of_incomplete_messages(spark, messages):
     """Messages sent much later push an unfinished one out, as incomplete."""
     path = scratch_dir(spark, "test-late")
     parts = ops.split(messages, "msg", "body", 4, "chars")
-    streams.write_chunks(parts.where("msg_id = 3 and key = 1"), path, "2024-01-01 00:00:00", 1)
+    streams.write_chunks(parts.where("msg_id = 3 and key = 1"), path, "2024-01-01 00:00:00")
     # Rows count as late one batch after the watermark has moved.
     for later in (2, 4):
-        streams.write_chunks(parts.where(f"msg_id = {later}"), path, "2024-01-01 05:00:00", 1)
-    streams.write_chunks(parts.where("msg_id = 3 and key = 2"), path, "2024-01-01 00:00:00", 1)
+        streams.write_chunks(parts.where(f"msg_id = {later}"), path, "2024-01-01 05:00:00")
+    streams.write_chunks(parts.where("msg_id = 3 and key = 2"), path, "2024-01-01 00:00:00")
     schema = spark.read.parquet(path).schema
     stream = streams.stream_chunks(spark, path, schema)
     rows = run_available(streams.stream_reassemble(stream), "test-late-out").collect()
     assert [(r["msg_id"], r["n_seen"], r["value"]) for r in rows] == [(3, 1, None)]
+
+
+def test_conflicts_gaps_and_extra_chunks_are_not_complete(spark):
+    rows = [
+        (1, 2, 1, "A"), (1, 2, 1, "B"), (2, 2, 1, "A"), (2, 2, 2, "B"), (2, 2, 1, "A"), (3, 2, 2, "B"), (3, 2, 3, "C"),
+        (4, 1, 1, "A"), (4, 1, 2, "B"), (5, 2, 1, "A"), (5, 2, 2, "B"), (5, 2, 2, "C"), (6, 1, None, "A"), (7, 1, 1, None),
+    ]
+    parts = spark.createDataFrame(rows, "msg_id int, n_chunks int, key int, chunk string")
+    want = {1: (1, None), 2: (2, "AB"), 3: (2, None), 4: (2, None), 5: (2, None), 7: (1, None)}
+    assert {r["msg_id"]: (r["n_seen"], r["value"]) for r in ops.reassemble(parts).collect()} == want
+    path = scratch_dir(spark, "test-conflicts")
+    streams.write_chunks(parts.where("chunk IS NOT NULL AND key IS NOT NULL"), path, "2024-01-01 00:00:00")
+    schema = spark.read.parquet(path).schema
+    streams.write_end_mark(spark, schema, path, "2024-01-01 03:00:00")
+    stream = streams.stream_reassemble(streams.stream_chunks(spark, path, schema))
+    got = {r["msg_id"]: (r["n_seen"], r["value"]) for r in run_available(stream, "test-conflicts-out").collect()}
+    del want[7]
+    assert got == want

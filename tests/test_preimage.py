@@ -91,13 +91,40 @@ def test_remaining_universe(records):
     assert got[5] == ([], "XYZ")
 
 
-def test_large_enumerations_are_refused(spark):
-    df = spark.createDataFrame([("ABCDEFGHIJKLM",)], "alphabet string")
-    with pytest.raises(ValueError, match="candidates"):
-        ops.permutations(df)
-    domains = spark.createDataFrame([("ABCDEFGHIJ", 12)], "universe string, plen int")
-    with pytest.raises(ValueError, match="candidates"):
-        ops.tuples(domains)
+def test_limits_are_decided_one_by_one(spark):
+    alphabets = spark.createDataFrame([("ABCDEFGHIJKLM",), ("ABC",)], "alphabet string")
+    assert {r["alphabet"] for r in ops.permutations(alphabets, max_candidates=1000).collect()} == {"ABC"}
+    domains = spark.createDataFrame([("ABCDEFGHIJ", 12), ("AB", 2)], "universe string, plen int")
+    assert {r["cand"] for r in ops.tuples(domains, max_candidates=1000).collect()} == {"AA", "AB", "BA", "BB"}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    rows = [
+        (1, "ABC", 3, sha("ABA"), [sha("BA")]), (2, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123", 2, sha("AB"), [sha("?")]),
+        (3, "AB", 60, sha("no"), []), (4, "AB", 2, sha("no"), []), (5, "AAB", 2, sha("BA"), [sha("A")]),
+        (6, "AAB", 2, sha("BB"), [sha("B"), sha("B")]),
+    ]
+    records = spark.createDataFrame(rows, "id int, alphabet string, plen int, value_hash string, hints array<string>")
+    got = {r["id"]: (r["value"], r["status"]) for r in ops.recover(records, max_candidates=5000).collect()}
+    assert got == {
+        1: ("ABA", "found"), 2: (None, "refused"), 3: (None, "refused"), 4: (None, "unresolved"),
+        5: (None, "unresolved"), 6: ("BB", "found"),
+    }
+    matches = ops.match_hints(records, max_candidates=5000).where("id = 6").collect()
+    assert sorted((r["hint_ix"], r["excluded"]) for r in matches) == [(1, "A"), (2, "A")]
+
+
+def test_given_candidates_are_counted_before_they_are_broadcast(spark):
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    stored = ops.hashed_permutations(spark.createDataFrame([("ABCDEFG",), ("XYZ",)], "alphabet string"))
+    records = spark.createDataFrame(
+        [(i, "XYZ", 2, sha("XX"), [sha("XY")] * 30) for i in range(5)],
+        "id int, alphabet string, plen int, value_hash string, hints array<string>",
+    )
+    small = ops.match_hints(records, candidates=stored, broadcast_rows=10)
+    assert {r["excluded"] for r in small.collect()} == {"Z"}
+    large = spark.createDataFrame([(1, "ABCDEFG", 2, sha("AA"), [sha("ABCDEF")] * 30)], records.schema)
+    plan = ops.match_hints(large, candidates=stored, broadcast_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+
 
 
 def test_empty_input(spark, records):
