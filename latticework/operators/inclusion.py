@@ -1,7 +1,8 @@
 """Unary inclusion dependencies between the columns of a set of tables.
 
 An attribute ``dep`` is included in ``ref`` if every value of ``dep`` also
-occurs in ``ref``. Values are compared as text; nulls carry no value.
+occurs in ``ref``. Values are compared as text, nested ones as JSON and binary ones as
+hex; nulls carry no value.
 
 The job keeps, per distinct value, a bit mask of the attributes it occurs in.
 A mask is a fixed-width aggregate, so the only shuffle that grows with the data
@@ -22,18 +23,20 @@ from pyspark.sql import types as T
 from latticework.functions.arrays import each
 from latticework.functions.bits import WORD_BITS, WORD_SHIFT, long_lit
 
-# Above this many mask words per value, attribute sets are kept as arrays.
-MAX_MASK_WORDS = 32
-
-_NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType)
+# Where no value is returned, texts longer than this meet by their SHA-256.
+DIGEST_OVER = 64
 
 
 def attribute_name(table: str, column: str, qualify: bool) -> str:
     return f"{table}.{column}" if qualify else column
 
 
-def scalar_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, _NESTED)]
+def _text_of(field: T.StructField) -> str:
+    """SQL of a column as text."""
+    name = _quoted(field.name)
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return f"to_json({name})"
+    return f"hex({name})" if isinstance(field.dataType, T.BinaryType) else f"cast({name} as string)"
 
 
 def attribute_list(tables: Mapping[str, DataFrame], qualify: bool = True) -> list[str]:
@@ -41,7 +44,7 @@ def attribute_list(tables: Mapping[str, DataFrame], qualify: bool = True) -> lis
     names = {
         attribute_name(table, column, qualify)
         for table, df in tables.items()
-        for column in scalar_columns(df)
+        for column in df.columns
     }
     return sorted(names)
 
@@ -50,13 +53,10 @@ def _union_cells(tables: Mapping[str, DataFrame], tag_of: Callable[[str, str], s
     """``(tag, value)`` for every non-null cell; the cells are cast to text, column by column."""
     parts = []
     for table, df in tables.items():
-        columns = scalar_columns(df)
-        if not columns:
+        if not df.columns:
             continue
-        tags = [tag_of(table, c) for c in columns]
-        texts = df.selectExpr(
-            *[f"cast({_quoted(c)} as string) as {_quoted(t)}" for c, t in zip(columns, tags)]
-        )
+        tags = [tag_of(table, c) for c in df.columns]
+        texts = df.selectExpr(*[f"{_text_of(f)} as {_quoted(t)}" for f, t in zip(df.schema.fields, tags)])
         parts.append(texts.unpivot([], [_quoted(t) for t in tags], "tag", "value"))
     # Pairwise, since every union is analysed again with all it contains.
     while len(parts) > 1:
@@ -141,11 +141,13 @@ def attribute_set_counts(
 
 def _names_in(masks: list[str], names: list[str], skip: Column | None = None) -> Column:
     """Names of the set bits as an array, in name order."""
-    cases = []
-    for i, name in enumerate(names):
-        text = name.replace("\\", "\\\\").replace("'", "\\'")
-        cases.append(f"CASE WHEN bit_get({masks[i // WORD_BITS]}, {i % WORD_BITS}) = 1 THEN '{text}' END")
-    found = F.expr(f"filter(array({', '.join(cases)}), name -> name IS NOT NULL)")
+    words, every = F.array(*masks), F.array(*[F.lit(name) for name in names])
+
+    def is_set(name: Column, i: Column) -> Column:
+        word = F.get(words, F.shiftright(i, WORD_SHIFT))
+        return F.call_function("bit_get", word, F.call_function("mod", i, F.lit(WORD_BITS))) == 1
+
+    found = F.filter(every, is_set)
     return found if skip is None else F.array_remove(found, skip)
 
 
@@ -157,12 +159,12 @@ def attribute_sets_of(tables: Mapping[str, DataFrame], qualify: bool = True) ->
     """Same result as ``attribute_sets(cells(tables))``, by way of masks."""
     names = attribute_list(tables, qualify)
     masks = _mask_columns(len(names))
-    if len(masks) > MAX_MASK_WORDS:
-        return attribute_sets(cells(tables, qualify))
     return value_masks(tables, qualify).select("value", _names_in(masks, names).alias("aset"))
 
 
-def shared_value_counts(tables: Mapping[str, DataFrame], qualify: bool = True) -> DataFrame:
+def shared_value_counts(
+    tables: Mapping[str, DataFrame], qualify: bool = True, digest_over: int | None = DIGEST_OVER
+) -> DataFrame:
     """``(dep, ref, n_shared)``: number of distinct values each two attributes share.
 
     Pairs are formed per distinct attribute set, never per value; a set has at
@@ -170,22 +172,12 @@ def shared_value_counts(tables: Mapping[str, DataFrame], qualify: bool = True) -
     """
     names = attribute_list(tables, qualify)
     masks = _mask_columns(len(names))
-    if len(masks) > MAX_MASK_WORDS:
-        sets = (
-            attribute_sets(cells(tables, qualify))
-            .groupBy("aset")
-            .agg(F.count(F.lit(1)).alias("n_values"))
-        )
-        pairs = sets.select("n_values", "aset", each("aset").alias("dep")).select(
-            "n_values", "dep", each("aset").alias("ref")
-        )
-    else:
-        sets = attribute_set_counts(tables, qualify).select(
-            "n_values", _names_in(masks, names).alias("aset")
-        )
-        pairs = sets.select("n_values", "aset", each("aset").alias("dep")).select(
-            "n_values", "dep", each("aset").alias("ref")
-        )
+    sets = attribute_set_counts(tables, qualify, digest_over).select(
+        "n_values", _names_in(masks, names).alias("aset")
+    )
+    pairs = sets.select("n_values", "aset", each("aset").alias("dep")).select(
+        "n_values", "dep", each("aset").alias("ref")
+    )
     return (
         pairs.where(F.col("dep") != F.col("ref"))
         .groupBy("dep", "ref")
@@ -194,17 +186,15 @@ def shared_value_counts(tables: Mapping[str, DataFrame], qualify: bool = True) -
 
 
 def unary_inds(
-    tables: Mapping[str, DataFrame], qualify: bool = True, digest_over: int | None = None
+    tables: Mapping[str, DataFrame], qualify: bool = True, digest_over: int | None = DIGEST_OVER
 ) -> DataFrame:
     """``(dep, refs)``: attributes with the sorted attributes they are included in.
 
     The references of an attribute are the intersection (``bit_and``) of all
-    attribute sets it belongs to.
+    attribute sets it belongs to, for any number of attributes; no pairs are formed.
     """
     names = attribute_list(tables, qualify)
     masks = _mask_columns(len(names))
-    if len(masks) > MAX_MASK_WORDS:
-        return inds_from_sets(attribute_sets(cells(tables, qualify)))
     sets = attribute_set_counts(tables, qualify, digest_over)
     common = (
         _members(sets, masks, names, "dep")
@@ -216,41 +206,6 @@ def unary_inds(
     )
 
 
-def inds_from_sets(sets: DataFrame) -> DataFrame:
-    """``(dep, refs)`` from ``(value, aset)`` rows, for any number of attributes.
-
-    ``dep`` is included in ``ref`` iff as many values carry both as carry ``dep``.
-    """
-    weighted = sets.groupBy("aset").agg(F.count(F.lit(1)).alias("n_values"))
-    pairs = (
-        weighted.select("n_values", "aset", each("aset").alias("dep"))
-        .select("n_values", "dep", each("aset").alias("ref"))
-        .groupBy("dep", "ref")
-        .agg(F.sum("n_values").alias("n_shared"))
-    )
-    # The pair (dep, dep) carries the number of values of dep itself.
-    own = F.struct((F.col("dep") == F.col("ref")).alias("own"), "n_shared", "ref")
-    return (
-        pairs.groupBy("dep")
-        .agg(F.collect_list(own).alias("counts"))
-        .select(
-            "dep",
-            F.filter("counts", lambda c: c["own"])[0]["n_shared"].alias("n_values"),
-            F.filter("counts", lambda c: ~c["own"]).alias("others"),
-        )
-        .select(
-            "dep",
-            F.sort_array(
-                F.transform(
-                    F.filter("others", lambda c: c["n_shared"] == F.col("n_values")),
-                    lambda c: c["ref"],
-                )
-            ).alias("refs"),
-        )
-        .where(F.size("refs") > 0)
-    )
-
-
 def ind_rows(inds: DataFrame) -> DataFrame:
     """One row ``(dep, ref)`` per dependency."""
     return inds.select("dep", each("refs").alias("ref"))

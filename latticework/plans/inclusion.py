@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from latticework.operators import inclusion as ops
-from latticework.plans.inputs import ALL_TABLES, SCALARS, tables
+from latticework.plans.inputs import ALL_TABLES, COLUMNS, tables
 
 
 def ind_cells(spark, sf_dir):
@@ -40,12 +40,23 @@ QUERIES = {
 }
 
 
+# An array of floats as JSON: below a thousandth with an exponent, as Spark writes it.
+_FLOAT = """CASE WHEN abs(x) >= 0.001 OR x = 0 THEN CAST(x AS VARCHAR)
+  WHEN contains(CAST(x AS VARCHAR), 'e') THEN regexp_replace(regexp_replace(regexp_replace(
+    CAST(x AS VARCHAR), 'e-0?', 'E-'), '^(-?[0-9])E', '\\1.0E'), 'E-0', 'E-')
+  ELSE (CASE WHEN x < 0 THEN '-' ELSE '' END) || regexp_replace(regexp_replace(
+    CAST(x AS VARCHAR), '^-?0\\.0*([0-9])([0-9]*)$', '\\1.\\2'), '\\.$', '.0')
+    || 'E-' || (length(regexp_extract(CAST(x AS VARCHAR), '^-?0\\.(0*)', 1)) + 1) END"""
+_TEXTS = {"embedding": f"'[' || array_to_string(list_transform(embedding, lambda x: {_FLOAT}), ',') || ']'"}
+
+
 def cells_sql(names: list[str]) -> str:
-    """CTE ``cells(attr, value)`` over the scalar columns of the tables."""
+    """CTE ``cells(attr, value)`` over the columns of the tables."""
     parts = [
-        f"SELECT '{name}.{column}' AS attr, CAST({column} AS VARCHAR) AS value FROM {name} WHERE {column} IS NOT NULL"
+        f"SELECT '{name}.{column}' AS attr, {_TEXTS.get(column, f'CAST({column} AS VARCHAR)')} AS value "
+        f"FROM {name} WHERE {column} IS NOT NULL"
         for name in names
-        for column in SCALARS[name]
+        for column in COLUMNS[name]
     ]
     return "cells AS (" + "\nUNION ALL\n".join(parts) + ")"
 

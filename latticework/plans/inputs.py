@@ -12,8 +12,8 @@ ALL_TABLES = STAR_TABLES + [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Columns of each table that hold scalar values, for the oracle SQL.
-SCALARS = {
+# Columns of each table, for the oracle SQL.
+COLUMNS = {
     "region": ["r_regionkey", "r_name"],
     "nation": ["n_nationkey", "n_name", "n_regionkey"],
     "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
@@ -26,7 +26,7 @@ SCALARS = {
     ],
     "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
     "documents": ["doc_id", "text", "lang", "source", "n_chars"],
-    "embeddings": ["vec_id", "label"],
+    "embeddings": ["vec_id", "embedding", "label"],
     "pages": ["page_id", "url", "html"],
     "benchmark": ["item_id", "text"],
     "labels": ["doc_id", "quality", "toxic"],

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from latticework.operators import inclusion
 from latticework.operators.split import even_split as split_evenly
 from latticework.plans.inclusion import cells_sql
 from latticework.plans.inputs import (
-    MAX_HINTS, RECORDS_SQL, STAR_TABLES, record_file_rows, table, tables,
+    ALL_TABLES, MAX_HINTS, RECORDS_SQL, STAR_TABLES, record_file_rows, table, tables,
 )
 from latticework.session import scratch_dir
 from latticework.sources import records as record_files
@@ -19,19 +20,50 @@ from latticework.streaming.runs import run_available
 N_RANGES = 7
 
 
-def write_record_files(rows: DataFrame, path: str, n_files: int = 4) -> None:
+def write_record_files(rows: DataFrame, path: str) -> None:
+    """Records as files, spread over the session's partitions.
+
+    Beside each record of an even number, lines of other lengths: one cut after the name, and one with a
+    field too many.
+    """
     dialect = record_files.Dialect()
-    rows.repartition(n_files, "id").write.options(
-        sep=dialect.separator, quote=dialect.quote, escape=dialect.escape, header=True
-    ).csv(path)
+    options = {"sep": dialect.separator, "quote": dialect.quote, "escape": dialect.escape, "header": True}
+    rows.repartition("id").write.options(**options).csv(path)
+    even = rows.where("id % 2 = 0")
+    even.select("id", "name").write.mode("append").options(**options).csv(path)
+    even.withColumn("more", F.lit("x")).write.mode("append").options(**options).csv(path)
+
+
+def _read_schema(schema: T.StructType) -> T.StructType:
+    """The types of a table as its files hold them: nested columns are text."""
+    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if isinstance(f.dataType, nested) else f.dataType) for f in schema.fields]
+    )
+
+
+def _with_odd_texts(name: str, df: DataFrame) -> DataFrame:
+    """The benchmark texts get a leading blank, quotes, a separator and a line break, or are null or empty."""
+    if name != "benchmark":
+        return df
+    odd = F.concat(F.lit(' "'), F.col("text"), F.lit('";\n'))
+    return df.withColumn("text", F.when(F.col("item_id") % 4 == 1, odd).when(
+        F.col("item_id") % 4 == 2, F.lit("")).when(F.col("item_id") % 4 == 3, F.lit(None)).otherwise(F.col("text")))
 
 
 def read_tables(spark, sf_dir):
-    """The star tables as CSV files and back; all cells, equal ones counted."""
+    """All tables as CSV files and back, with types inferred for the star tables; all cells, equal
+    ones counted.
+
+    Texts hold quotes, separators, blanks, line breaks and nulls beside empty ones.
+    """
     root = scratch_dir(spark, "tables")
-    for name, df in tables(spark, sf_dir, STAR_TABLES).items():
-        table_files.write_table(df, f"{root}/{name}.csv")
-    rows = inclusion.cells(table_files.read_tables(spark, root))
+    given = tables(spark, sf_dir, ALL_TABLES)
+    for name, df in given.items():
+        table_files.write_table(_with_odd_texts(name, df), f"{root}/{name}.csv")
+    # Texts that look like numbers stay texts.
+    schemas = {name: _read_schema(df.schema) for name, df in given.items() if name not in STAR_TABLES}
+    rows = inclusion.cells(table_files.read_tables(spark, root, schemas))
     return rows.groupBy("attr", "value").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
@@ -67,7 +99,14 @@ SELECT v.id, v.name, v.alphabet, 8 AS plen, sha256(v.value) AS value_hash,
 FROM rec_value v JOIN hint_list USING (id)"""
 
 ORACLES = {
-    "read_tables": f"WITH {cells_sql(STAR_TABLES)} SELECT attr, value, count(*) AS n_cells FROM cells GROUP BY attr, value",
+    "read_tables": f"""WITH {cells_sql([t for t in ALL_TABLES if t != 'benchmark'])},
+odd AS (SELECT CAST(item_id AS VARCHAR) AS item_id, CASE item_id % 4 WHEN 1 THEN ' "' || text || '";' || chr(10)
+  WHEN 2 THEN '' WHEN 3 THEN NULL ELSE text END AS text FROM benchmark),
+every AS (
+  SELECT * FROM cells
+  UNION ALL SELECT 'benchmark.item_id', item_id FROM odd
+  UNION ALL SELECT 'benchmark.text', text FROM odd WHERE text IS NOT NULL)
+SELECT attr, value, count(*) AS n_cells FROM every GROUP BY attr, value""",
     "read_records": _RECORD_ROWS,
     "stream_read_records": _RECORD_ROWS,
     "even_split": f"""SELECT o_orderkey,

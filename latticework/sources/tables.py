@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,31 +14,49 @@ from pyspark.sql import types as T
 TABLE_SEPARATOR = ";"
 
 _PARALLEL_READS = 8
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+ROWS_PER_FILE = 1_000_000
+
+# How tables are written and read: quotes inside a quoted field are doubled, an unquoted empty field is
+# null and ``""`` the empty text, white space stays, and a quoted field may go on over several lines.
+# The null marker cannot occur in a text file.
+TABLE_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+_READ_OPTIONS = TABLE_OPTIONS | {"multiLine": True, "nullValue": "\u0000", "emptyValue": ""}
+_WRITE_OPTIONS = TABLE_OPTIONS | {"nullValue": "", "emptyValue": '""'}
 
 
 def list_tables(spark: SparkSession, directory: str) -> dict[str, str]:
     """``{name: path}`` of the files and folders right below ``directory``.
 
-    Spark lists the files; only the distinct entry names reach the driver. The
-    name of a table is its entry without the ``.csv`` ending.
+    Spark lists the files; only the distinct entry names reach the driver. The name of a table
+    is its entry without the ``.csv`` ending; two entries of one name are an error.
     """
     root = directory.rstrip("/")
-    # Paths come back as URIs, so the entry is what follows the path of the root.
-    marker = urlparse(root).path + "/"
-    below_root = F.expr("substring(path, instr(path, {m}) + length({m}))".format(m=_quoted(marker)))
+    # The path as the file system writes it in the paths of its files.
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    qualified = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    prefix = qualified.toString().rstrip("/") + "/"
+    below_root = F.substr(F.col("path"), F.lit(len(prefix) + 1))
     entries = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(root)
-        .select(F.substring_index(below_root, "/", 1).alias("entry"))
+        .select(F.col("path").startswith(F.lit(prefix)).alias("below"), F.substring_index(below_root, "/", 1).alias("entry"))
         .distinct()
         .orderBy("entry")
+        .collect()
     )
-    names = [row["entry"] for row in entries.collect()]
+    if not all(row["below"] for row in entries):
+        raise ValueError(f"files of {root} are listed under another path than {prefix}")
+    names = [row["entry"] for row in entries]
+    twice = [n for n, k in Counter(name.removesuffix(".csv") for name in names).items() if k > 1]
+    if twice:
+        raise ValueError(f"tables of one name in {root}: {twice}")
     return {name.removesuffix(".csv"): f"{root}/{name}" for name in names}
 
 
@@ -52,12 +70,14 @@ def read_tables(
     """One DataFrame per table of a directory or of a ``{name: path}`` map.
 
     Header names; types are inferred from all rows, which costs one pass per table,
-    unless ``schemas`` names the type of a table.
+    unless ``schemas`` names the type of a table. Line breaks, quotes, blanks and empty texts inside
+    fields are read as :func:`write_table` writes them, so one file is one task; with
+    ``multiLine=False`` files are split, and no field may hold a line break.
     """
     paths = list_tables(spark, source) if isinstance(source, str) else dict(source)
 
     def read(name: str) -> DataFrame:
-        reader = spark.read.options(sep=sep, header=True, **options)
+        reader = spark.read.options(sep=sep, **_READ_OPTIONS | options)
         schema = (schemas or {}).get(name)
         reader = reader.schema(schema) if schema is not None else reader.options(inferSchema=True)
         return reader.csv(paths[name])
@@ -68,8 +88,25 @@ def read_tables(
 
 
 def write_table(df: DataFrame, path: str, sep: str = TABLE_SEPARATOR, **options) -> None:
-    """Write a table in the form :func:`read_tables` reads."""
-    df.write.options(sep=sep, header=True, **options).csv(path)
+    """Write a table in the form :func:`read_tables` reads, nested columns as JSON and binary ones as hex.
+
+    One file a task, each of ``ROWS_PER_FILE`` rows at most, since a reader takes a file whole.
+    """
+    df.select(*(_as_field(f) for f in df.schema.fields)).write.options(
+        sep=sep, maxRecordsPerFile=ROWS_PER_FILE, **_WRITE_OPTIONS | options
+    ).csv(path)
+
+
+def _as_field(field: T.StructField) -> Column:
+    column = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(column).alias(field.name)
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(column).alias(field.name)
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        # Spark's own format of CSV files ends at milliseconds.
+        return column.cast("string").alias(field.name)
+    return column
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -1,5 +1,6 @@
 import pytest
 from conftest import row_set
+from pyspark.sql import functions as F
 
 from latticework.session import scratch_dir
 from latticework.sources import records, tables
@@ -23,6 +24,28 @@ def test_directory_of_tables(spark, tmp_path):
     assert got["folder"].count() == 3
 
 
+def test_tables_come_back_as_written(spark, tmp_path):
+    rows = [
+        ("a\nb", 1, b"\x00\xff", [1.5]), ("", 2, None, []), (" lead ", 3, b"", None), (None, 4, None, None),
+        ('q"u;o\\t"e', 5, None, None), ('"', 6, None, None), ("\\", 7, None, None), ('""', 8, None, None), ("a\r\nb", 9, None, None),
+    ]
+    df = spark.createDataFrame(rows, "t string, k int, b binary, a array<double>").repartition(2)
+    df = df.withColumn("ts", F.lit("2024-01-01 00:09:58.778549").cast("timestamp"))
+    tables.write_table(df, f"{tmp_path}/in/x.csv")
+    schema = spark.createDataFrame([], "t string, k int, b string, a string, ts timestamp").schema
+    got = tables.read_tables(spark, f"{tmp_path}/in", {"x": schema})["x"]
+    want = df.select("t", "k", F.hex("b"), F.to_json("a"), "ts")
+    assert row_set(got) == row_set(want)
+
+
+def test_tables_of_one_name_are_an_error(spark, tmp_path):
+    lines(tmp_path / "tmp" / "tmp", "t.csv", ["k", "1"])
+    assert list(tables.list_tables(spark, str(tmp_path / "tmp" / "tmp"))) == ["t"]
+    lines(tmp_path / "tmp" / "tmp" / "t", "part.csv", ["k", "1"])
+    with pytest.raises(ValueError, match="one name"):
+        tables.list_tables(spark, str(tmp_path / "tmp" / "tmp"))
+
+
 def test_map_of_paths_with_a_schema(spark, tmp_path):
     lines(tmp_path, "a.csv", ["k,v", "01,x"])
     schema = spark.createDataFrame([], "k string, v string").schema
