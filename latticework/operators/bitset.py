@@ -19,9 +19,6 @@ from latticework.operators.joins import lookup
 
 KEYS = ["set_id", "word_ix"]
 
-# Words per block of the content signature (2^20 bits).
-_SIGNATURE_SHIFT = 14
-
 # Levels on which the ends of a range are masked; beyond, it is cut into whole units.
 _EDGE_LEVELS = 3
 
@@ -287,34 +284,31 @@ def hash_code(words: DataFrame) -> DataFrame:
 
 
 def signatures(words: DataFrame) -> DataFrame:
-    """``(set_id, signature)``: SHA-256 over the whole content of a set.
+    """``(set_id, signature)``: a digest over the whole content of a set, whatever its order.
 
-    Blocks of 2^20 bits are digested first, then the digests of a set, so that no
-    task ever gathers the words of a large set.
+    The SHA-256 of each word with its index is cut in four parts of 60 bits, and these are summed; the
+    sums and the number of words are the signature. They combine on the map side, so the words of a
+    set never meet.
     """
-    entry = F.concat_ws(":", F.lower(F.hex("word_ix")), F.lower(F.hex("word")))
-    blocks = (
-        words.where(F.col("word") != 0)
-        .select("set_id", F.shiftright("word_ix", _SIGNATURE_SHIFT).alias("block"), "word_ix", entry.alias("entry"))
-        .groupBy("set_id", "block")
-        .agg(F.collect_list(F.struct("word_ix", "entry")).alias("entries"))
-        .select("set_id", "block", _digest("entries", "entry").alias("digest"))
-    )
+    entry = F.sha2(F.concat_ws(":", F.hex("word_ix"), F.hex("word")), 256)
+    parts = [
+        F.conv(F.substring("entry", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)").alias(f"part_{i}") for i in range(4)
+    ]
+    sums = [F.sum(f"part_{i}").cast("string").alias(f"sum_{i}") for i in range(4)]
     return (
-        blocks.groupBy("set_id")
-        .agg(F.collect_list(F.struct("block", "digest")).alias("digests"))
-        .select("set_id", _digest("digests", "digest").alias("signature"))
+        words.where(F.col("word") != 0)
+        .select("set_id", entry.alias("entry"))
+        .select("set_id", *parts)
+        .groupBy("set_id")
+        .agg(*sums, F.count("*").cast("string").alias("n"))
+        .select("set_id", F.concat_ws(":", "n", *[f"sum_{i}" for i in range(4)]).alias("signature"))
     )
 
 
-def _digest(array: str, field: str) -> Column:
-    return F.sha2(F.array_join(F.sort_array(array)[field], ","), 256)
-
-
 def equal_groups(words: DataFrame) -> DataFrame:
     """``(set_id, leader, n_sets)``: sets of equal content share the smallest ``set_id``.
 
-    Equality is decided on the SHA-256 of the whole content, without comparing pairs.
+    Equality is decided on the signature of the whole content, without comparing pairs.
     """
     signed = signatures(words)
     groups = signed.groupBy("signature").agg(

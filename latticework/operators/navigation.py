@@ -1,12 +1,15 @@
 """Nearest members, free gaps and runs of sets stored as tables.
 
-A set may hold most of the data, so no window runs over a whole set. Positions
-are cut into blocks of 2^16; windows run per block, and a small table with one
-row per block carries results over block borders.
+A set may hold most of the data, so no window runs over the members of a set. Positions
+are cut into blocks of 2^16; windows run per block, and a table with one row per block
+carries results over block borders. As a sparse set has as many blocks as members, that table
+is itself cut into blocks of 2^22 of its rows, so that one row is left for each 2^38 positions.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,10 @@ from latticework.operators.bitset import pack
 from latticework.operators.joins import lookup
 
 BLOCK_SHIFT = 16
+# Blocks that one window of the next level takes, and bits of a block number that a set's own window may have.
+LEVEL_SHIFT, LAST_BITS = 22, 25
+# Bits of a position and of a word's index.
+POSITION_BITS, WORD_IX_BITS = 63, 57
 
 
 def asof(
@@ -24,6 +31,7 @@ def asof(
     forward: bool,
     block_shift: int = BLOCK_SHIFT,
     own: str | None = None,
+    position_bits: int = POSITION_BITS,
 ) -> DataFrame:
     """Nearest point at or before (``forward``: at or after) each distinct probe.
 
@@ -36,7 +44,6 @@ def asof(
     """
     nearest = F.min if forward else F.max
     position = F.col("position").desc() if forward else F.col("position").asc()
-    block_order = F.col("block").desc() if forward else F.col("block").asc()
     kept = [own] if own else []
     tagged = points.select(
         "set_id", F.col("bit").alias("position"), *values, *kept, F.lit(False).alias("asked")
@@ -63,14 +70,8 @@ def asof(
         "set_id", "block", "position", "asked", *kept,
         *[nearest(v).over(in_block).alias(v) for v in values],
     ).where("asked")
-    earlier_blocks = (
-        Window.partitionBy("set_id").orderBy(block_order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        rows.groupBy("set_id", "block")
-        .agg(*[nearest(v).alias(v) for v in values])
-        .select("set_id", "block", *[nearest(v).over(earlier_blocks).alias(f"carried_{v}") for v in values])
-    )
+    blocks = rows.groupBy("set_id", "block").agg(*[nearest(v).alias(v) for v in values])
+    carried = _carried(blocks, values, forward, position_bits - block_shift)
     return near.join(carried, ["set_id", "block"], "left").select(
         "set_id",
         F.col("position").alias("from_bit"),
@@ -79,6 +80,31 @@ def asof(
     )
 
 
+def _carried(blocks: DataFrame, values: list[str], forward: bool, n_bits: int) -> DataFrame:
+    """``(set_id, block, carried_*)``: what comes to each block from those before (after) it in its set.
+
+    ``blocks`` has one row a block, whose numbers have ``n_bits`` bits at most.
+    """
+    nearest = F.min if forward else F.max
+    order = F.col("block").desc() if forward else F.col("block").asc()
+    names = [f"carried_{v}" for v in values]
+    last = n_bits <= LAST_BITS
+    upper = F.shiftright("block", LEVEL_SHIFT) if not last else bits.long_lit(0)
+    leveled = blocks.withColumn("upper", upper)
+    keys = ["set_id"] if last else ["set_id", "upper"]
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    near = leveled.select("set_id", "upper", "block", *[nearest(v).over(earlier).alias(n) for v, n in zip(values, names)])
+    if last:
+        return near.drop("upper")
+    uppers = leveled.groupBy("set_id", F.col("upper").alias("block")).agg(*[nearest(v).alias(v) for v in values])
+    above = _carried(uppers, values, forward, n_bits - LEVEL_SHIFT).select(
+        "set_id", F.col("block").alias("upper"), *[F.col(n).alias(f"upper_{n}") for n in names]
+    )
+    return near.join(above, ["set_id", "upper"], "left").select(
+        "set_id", "block", *[F.coalesce(F.col(n), F.col(f"upper_{n}")).alias(n) for n in names]
+    )
+
+
 # The four lookups work on words. The words that probes fall into are few and
 # distinct; for them the neighbourhood is found, and each probe then reads its
 # answer off its word or takes that of the neighbourhood.
@@ -118,7 +144,7 @@ def _nearest_set(members: DataFrame, probes: DataFrame, forward: bool, block_shi
     points = words.select(
         "set_id", F.col("word_ix").alias("bit"), end_of(F.col("word")).alias("found"), "word"
     )
-    near = asof(points, _probe_words(probes, F.col("word_ix")), ["found"], forward, block_shift, own="word")
+    near = asof(points, _probe_words(probes, F.col("word_ix")), ["found"], forward, block_shift, "word", WORD_IX_BITS)
     reach = bits.from_position if forward else bits.up_to_position
     inside = _own_word().bitwiseAND(reach(_position()))
     answer = F.when(inside != 0, end_of(inside)).otherwise(
@@ -200,7 +226,7 @@ def runs_of_words(
 
     Runs are read off each word with bit operations, joined within blocks by a
     window, and only the runs that touch a block border (at most two per
-    block) are joined across blocks.
+    block) are joined across blocks, level by level.
     """
     pieces = _word_runs(words)
     if at_word_borders:
@@ -208,15 +234,19 @@ def runs_of_words(
             (bits.word_position(F.col("run_start")) == 0)
             | (bits.word_position(F.col("run_end")) == bits.WORD_BITS - 1)
         )
-    block = F.shiftright("run_start", block_shift).alias("block")
-    in_block = _join_runs(pieces.select("*", block), ["set_id", "block"])
-    mask = bits.long_lit((1 << block_shift) - 1)
-    at_border = (F.col("run_start").bitwiseAND(mask) == 0) | (
-        F.col("run_end").bitwiseAND(mask) == mask
-    )
-    inner = in_block.where(~at_border).select("set_id", "run_start", "run_end")
-    border = in_block.where(at_border).select("set_id", "run_start", "run_end")
-    return inner.unionByName(_join_runs(border, ["set_id"]).select("set_id", "run_start", "run_end"))
+    found, shift = [], block_shift
+    # Runs that touch the border of a block, two at most, go on to the next level.
+    while shift <= block_shift + LEVEL_SHIFT:
+        block = F.shiftright("run_start", shift).alias("block")
+        joined = _join_runs(pieces.select("*", block), ["set_id", "block"]).select("set_id", "run_start", "run_end")
+        mask = bits.long_lit((1 << shift) - 1)
+        at_border = (F.col("run_start").bitwiseAND(mask) == 0) | (F.col("run_end").bitwiseAND(mask) == mask)
+        found.append(joined.where(~at_border))
+        pieces = joined.where(at_border)
+        shift += LEVEL_SHIFT
+    # What is left of a set are the runs at the borders of its largest blocks.
+    found.append(_join_runs(pieces, ["set_id"]).select("set_id", "run_start", "run_end"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _word_runs(words: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ def build_session(app: str = "latticework", master: str | None = None, **conf) -
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of the machine.
+    Only a local session without that setting falls back to a temporary folder of the machine.
+    Nothing below is removed here; :func:`drop_scratch` removes a path once its readers are done.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -47,3 +48,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a stored table below the scratch folder; other paths are refused."""
+    if "/latticework/" not in path:
+        raise ValueError(f"{path} is not below a scratch folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

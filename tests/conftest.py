@@ -9,7 +9,7 @@ from latticework.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[*]",
@@ -17,6 +17,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -101,3 +101,28 @@ def test_previous_clear_before_zero(spark):
     probes = spark.createDataFrame([(1, 1), (1, -1)], "set_id int, from_bit bigint")
     assert row_set(nav.previous_clear(members, probes)) == {(1, 1, -1), (1, -1, -1)}
     assert row_set(nav.previous_set(members, probes)) == {(1, 1, 1), (1, -1, -1)}
+
+
+@pytest.mark.parametrize("bits", [[(i * 7919) << 24 for i in range(400)], list(range(3_000)) + [1 << 40, (1 << 62) + 5]])
+def test_no_window_holds_a_whole_set(spark, monkeypatch, bits):
+    """Sparse and dense sets through all levels of small blocks."""
+    monkeypatch.setattr(nav, "LEVEL_SHIFT", 6)
+    monkeypatch.setattr(nav, "LAST_BITS", 8)
+    members = spark.createDataFrame([(1, b) for b in bits], "set_id int, bit bigint")
+    asked = sorted({b + d for b in bits[::37] + bits[-2:] for d in (-1, 0, 1) if b + d >= 0})
+    probes = spark.createDataFrame([(1, a) for a in asked], "set_id int, from_bit bigint")
+    inside = set(bits)
+
+    def clear(at, step):
+        while at in inside:
+            at += step
+        return at
+
+    got = {r["from_bit"]: r["next_set"] for r in nav.next_set(members, probes, 8).collect()}
+    assert got == {a: min((b for b in bits if b >= a), default=-1) for a in asked}
+    got = {r["from_bit"]: r["previous_set"] for r in nav.previous_set(members, probes, 8).collect()}
+    assert got == {a: max((b for b in bits if b <= a), default=-1) for a in asked}
+    got = {r["from_bit"]: r["next_clear"] for r in nav.next_clear(members, probes, None, 8).collect()}
+    assert got == {a: clear(a, 1) for a in asked}
+    got = {r["from_bit"]: r["previous_clear"] for r in nav.previous_clear(members, probes, None, 8).collect()}
+    assert got == {a: clear(a, -1) for a in asked}

@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 from latticework.plans.inputs import ALL_TABLES  # noqa: E402
+from latticework.plans.registry import ORACLES, QUERIES  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -23,14 +24,15 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
-    got = queries()[name](spark, SF_DIR)
+    got = QUERIES[name](spark, SF_DIR)
     columns = sorted(got.columns)
-    want = oracle.sql(oracle_sql()[name])
+    want = oracle.sql(ORACLES[name])
     assert columns == sorted(want.columns)
     order = [want.columns.index(c) for c in columns]
     expected = sorted((tuple(row[i] for i in order) for row in want.fetchall()), key=repr)
