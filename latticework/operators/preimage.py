@@ -233,10 +233,12 @@ def _hint_matches(
         size = (total, int(row["m"] or 0))
         candidates = hashed_permutations(records.select("alphabet"), max_candidates=max_candidates, size=size)
     else:
-        # Only candidates of the records' alphabets take part, and these are counted.
-        candidates = candidates.join(alphabets.select("alphabet"), "alphabet", "left_semi")
-        total = candidates.count()
         n_hints = int(alphabets.agg(F.sum("hints")).first()[0] or 0)
+        total = n_hints
+        if n_hints > broadcast_rows:
+            # Only candidates of the records' alphabets take part, and these are counted.
+            candidates = candidates.join(alphabets.select("alphabet"), "alphabet", "left_semi")
+            total = candidates.count()
     found = candidates.withColumnRenamed("cand_hash", "hint_hash")
     keys = ["alphabet", "hint_hash"]
     if total <= broadcast_rows and total < n_hints:

@@ -125,12 +125,16 @@ def bitset_prev_set(spark, sf_dir):
     return nav.previous_set(line_sets(spark, sf_dir), _probes(spark, sf_dir))
 
 
+# Below the range of the order keys, so that answers do run out of it.
+CAPACITY = 1_024
+
+
 def bitset_next_clear(spark, sf_dir):
-    return nav.next_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir))
+    return nav.next_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir), CAPACITY)
 
 
 def bitset_prev_clear(spark, sf_dir):
-    return nav.previous_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir))
+    return nav.previous_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir), CAPACITY)
 
 
 QUERIES = {
@@ -218,9 +222,11 @@ FROM priority_sets p ASOF LEFT JOIN line_sets l ON l.set_id = p.set_id AND p.bit
 SELECT p.set_id, p.bit AS from_bit, coalesce(l.bit, -1) AS previous_set
 FROM priority_sets p ASOF LEFT JOIN line_sets l ON l.set_id = p.set_id AND p.bit >= l.bit""",
     "bitset_next_clear": f"""{_WITH}, {_RUNS}
-SELECT p.set_id, p.bit AS from_bit, CASE WHEN r.run_end >= p.bit THEN r.run_end + 1 ELSE p.bit END AS next_clear
+SELECT p.set_id, p.bit AS from_bit,
+  CASE WHEN coalesce(r.run_end + 1, p.bit) < {CAPACITY} THEN coalesce(r.run_end + 1, p.bit) ELSE -1 END AS next_clear
 FROM priority_sets p LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
     "bitset_prev_clear": f"""{_WITH}, {_RUNS}
-SELECT p.set_id, p.bit AS from_bit, CASE WHEN r.run_end >= p.bit THEN r.run_start - 1 ELSE p.bit END AS previous_clear
+SELECT p.set_id, p.bit AS from_bit,
+  CASE WHEN p.bit >= {CAPACITY} OR r.run_start IS NULL THEN p.bit ELSE r.run_start - 1 END AS previous_clear
 FROM priority_sets p LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
 }

@@ -13,7 +13,6 @@ from latticework.plans.readers import write_record_files
 from latticework.session import materialize, scratch_dir
 from latticework.sources.records import record_schema, stream_records, with_hint_array
 from latticework.streaming.hints import stream_hint_match as match_stream
-from latticework.streaming.runs import run_available
 
 
 # Candidates of one alphabet or domain that the query enumerates at most.
@@ -73,8 +72,7 @@ def stream_hint_match(spark, sf_dir):
     candidates = materialize(
         ops.hashed_permutations(hashed_records(spark, sf_dir).select("alphabet")), "candidates"
     )
-    matched = match_stream(with_hint_array(records), candidates)
-    return run_available(matched.select("id", "hint_ix", "excluded"), "hint-match")
+    return match_stream(with_hint_array(records), candidates).select("id", "hint_ix", "excluded")
 
 
 QUERIES = {

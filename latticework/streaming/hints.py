@@ -3,25 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from latticework.operators.preimage import hint_rows
+from latticework.operators.preimage import match_hints
 from latticework.session import BROADCAST_ROWS
+from latticework.streaming.runs import run_batches
 
 
 def stream_hint_match(
-    records: DataFrame, candidates: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+    records: DataFrame, candidates: DataFrame, label: str = "hint-match", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``(id, hint_ix, hint_hash, excluded)`` for a stream of records.
+    """``(id, hint_ix, hint_hash, excluded)`` for all records that a stream has available.
 
-    ``candidates`` is a stored table of hashed permutations, enumerated once and not
-    per batch; it is broadcast only if its row count allows.
+    ``candidates`` is a stored table of hashed permutations, enumerated once and not per batch. The hints
+    of a batch are broadcast while their exact number allows, and the candidates stream by without a
+    shuffle; a larger batch is matched by a join whose hot keys can be split.
     """
-    found = candidates.withColumnRenamed("cand_hash", "hint_hash")
-    small = candidates.count() <= broadcast_rows
-    found = F.broadcast(found) if small else found.hint("shuffle_merge")
-    return (
-        hint_rows(records)
-        .join(found, ["alphabet", "hint_hash"], "left")
-        .select("id", "hint_ix", "hint_hash", "excluded")
+    return run_batches(
+        records, label, lambda batch: match_hints(batch, candidates=candidates, broadcast_rows=broadcast_rows)
     )

@@ -6,6 +6,7 @@ import pytest
 from conftest import row_set
 
 from latticework.operators import preimage as ops
+from latticework.streaming.hints import stream_hint_match
 
 
 def sha(text):
@@ -131,3 +132,21 @@ def test_empty_input(spark, records):
     nothing = records.where("id < 0")
     assert ops.recover(nothing).collect() == []
     assert ops.match_hints(nothing).collect() == []
+
+
+def test_stream_matches_without_shuffling_the_candidates(spark, tmp_path):
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    stored = f"{tmp_path}/candidates"
+    ops.hashed_permutations(spark.createDataFrame([("ABCD",), ("XYZ",)], "alphabet string")).write.parquet(stored)
+    candidates = spark.read.parquet(stored)
+    schema = "id int, alphabet string, plen int, value_hash string, hints array<string>"
+    rows = [(i, "ABCD", 2, sha("AA"), [sha("BCA"), sha("?")]) for i in range(20)] + [(99, "XYZ", 2, sha("XX"), [])]
+    records = spark.createDataFrame(rows, schema)
+    records.repartition(4).write.parquet(f"{tmp_path}/records")
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/records")
+    want = {(i, 1, "D") for i in range(20)} | {(i, 2, None) for i in range(20)}
+    for rows_to_broadcast in (1_000_000, 5):
+        got = stream_hint_match(stream, candidates, broadcast_rows=rows_to_broadcast)
+        assert row_set(got.select("id", "hint_ix", "excluded")) == want
+    plan = ops.match_hints(records, candidates=candidates)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
