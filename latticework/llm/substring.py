@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from latticework.llm.text import Windows, as_bytes, covered, hasher, in_blocks, parts, word_hashes
+from latticework.llm.text import Windows, as_bytes, block_number, count_blocks, covered, hasher, parts, word_hashes
 
 # For any two positions some shift below PERIOD brings both into COVER modulo PERIOD: the differences of
 # these six numbers are all residues of 31.
@@ -93,9 +93,8 @@ def _window_rows(id: str, text: str, window: int, width: int):
             {
                 "one": one[firsts].view(np.int64),
                 "two": two[firsts].view(np.int32),
-                "block": pa.array(np.full(len(firsts), key[0].as_py()), pa.int32()),
                 "least": least,
-                "most": most,
+                "span": most - least,
             }
         )
 
@@ -170,7 +169,9 @@ def remove_repeats(
         raise ValueError(f"windows need {PERIOD} words at least")
     block = "__block"
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    blocked = in_blocks(docs.select(*names).withColumn(id, F.col(id).cast("long")), text, id, block, block_bytes)
+    n_blocks = count_blocks(docs, text, block_bytes)
+    blocked = docs.select(*names).withColumn(id, F.col(id).cast("long"))
+    blocked = blocked.withColumn(block, block_number(F.col(id), n_blocks))
     groups = blocked.groupBy(block)
 
     anchors = groups.applyInArrow(_anchor_rows(id, text, width), "hash long, code long")
@@ -180,12 +181,12 @@ def remove_repeats(
         .select(F.shiftright("code", 1).cast("int").alias(block), "hash")
     )
     rows = groups.cogroup(shared.groupBy(block)).applyInArrow(
-        _window_rows(id, text, window, width), "one long, two int, block int, least long, most long"
+        _window_rows(id, text, window, width), "one long, two int, least long, span long"
     )
     verdicts = (
-        rows.withColumn("least", F.min("least").over(Window.partitionBy("one", "two")))
-        .where("most > least")
-        .select(F.col("block").alias(block), "one", "two", "least")
+        rows.withColumn("first", F.min("least").over(Window.partitionBy("one", "two")))
+        .where("least + span > first")
+        .select(block_number(F.col("least"), n_blocks).alias(block), "one", "two", F.col("first").alias("least"))
     )
     schema = T.StructType(
         [f for f in blocked.schema.fields if f.name != block]

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words are runs of anything but ASCII white space; bytes.split() has the same six separators.
@@ -120,14 +120,17 @@ def smaller_batches(batches: Iterator[pa.RecordBatch], column: str, most: int =
             at = end
 
 
-def in_blocks(docs: DataFrame, text: str, key: str, block: str, block_bytes: int) -> DataFrame:
-    """``docs`` with an even split in blocks of about ``block_bytes`` of text, by a hash of ``key``.
+def block_number(key: Column, n_blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n_blocks)).cast("int")
+
+
+def count_blocks(docs: DataFrame, text: str, block_bytes: int) -> int:
+    """How many blocks of about ``block_bytes`` of text ``docs`` make.
 
     A block is what one call handles; their number follows the whole input.
     """
     total = docs.select(F.sum(F.octet_length(F.col(text))).alias("n")).first()["n"] or 0
-    n_blocks = max(1, -(-total // block_bytes))
-    return docs.withColumn(block, F.pmod(F.xxhash64(F.col(key)), F.lit(n_blocks)).cast("int"))
+    return max(1, -(-total // block_bytes))
 
 
 def repeated_words(hashes: np.ndarray, windows: Windows, width: int) -> int:
