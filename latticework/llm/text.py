@@ -102,11 +102,6 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list:
     return column.cast(kind).to_pylist()
 
 
-def as_text(df: DataFrame, text: str = "text"):
-    """The text column; null counts as empty."""
-    return F.coalesce(F.col(text), F.lit(""))
-
-
 def smaller_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``most`` bytes, one row at least."""
     for batch in batches:
