@@ -171,7 +171,8 @@ def remove_repeats(
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     n_blocks = count_blocks(docs, text, block_bytes)
     blocked = docs.select(*names).withColumn(id, F.col(id).cast("long"))
-    blocked = blocked.withColumn(block, block_number(F.col(id), n_blocks))
+    # Rows without id, however many, are spread by their text.
+    blocked = blocked.withColumn(block, block_number(F.coalesce(F.col(id), F.xxhash64(text)), n_blocks))
     groups = blocked.groupBy(block)
 
     anchors = groups.applyInArrow(_anchor_rows(id, text, width), "hash long, code long")
