@@ -137,6 +137,28 @@ def bitset_prev_clear(spark, sf_dir):
     return nav.previous_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir), CAPACITY)
 
 
+def bitset_next_clear_unbounded(spark, sf_dir):
+    return nav.next_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir))
+
+
+def bitset_prev_clear_unbounded(spark, sf_dir):
+    return nav.previous_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir))
+
+
+def _half_of_keys(spark, sf_dir) -> int:
+    """Half of the largest order key, in whole words: about half of the probes lie past it, whatever the data."""
+    largest = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0
+    return largest // 128 * 64
+
+
+def bitset_next_clear_half(spark, sf_dir):
+    return nav.next_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir), _half_of_keys(spark, sf_dir))
+
+
+def bitset_prev_clear_half(spark, sf_dir):
+    return nav.previous_clear(line_sets(spark, sf_dir), _probes(spark, sf_dir), _half_of_keys(spark, sf_dir))
+
+
 QUERIES = {
     name: globals()[name]
     for name in [
@@ -144,6 +166,7 @@ QUERIES = {
         "bitset_xor", "bitset_andnot", "bitset_intersects", "bitset_set_range", "bitset_update",
         "bitset_flip", "bitset_hash", "bitset_equal_groups", "bitset_to_string", "bitset_runs",
         "bitset_next_set", "bitset_prev_set", "bitset_next_clear", "bitset_prev_clear",
+        "bitset_next_clear_unbounded", "bitset_prev_clear_unbounded", "bitset_next_clear_half", "bitset_prev_clear_half",
     ]
 }
 
@@ -153,6 +176,7 @@ _RUNS = """islands AS (
   SELECT set_id, bit, bit - row_number() OVER (PARTITION BY set_id ORDER BY bit) AS island FROM line_sets),
 runs AS (
   SELECT set_id, min(bit) AS run_start, max(bit) AS run_end FROM islands GROUP BY set_id, island)"""
+_HALF = "half AS (SELECT coalesce(max(o_orderkey), 0) // 128 * 64 AS capacity FROM orders)"
 
 ORACLES = {
     "bitset_build": f"{_WITH} SELECT set_id, bit FROM line_sets",
@@ -229,4 +253,20 @@ FROM priority_sets p LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r
 SELECT p.set_id, p.bit AS from_bit,
   CASE WHEN p.bit >= {CAPACITY} OR r.run_start IS NULL THEN p.bit ELSE r.run_start - 1 END AS previous_clear
 FROM priority_sets p LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
+    "bitset_next_clear_unbounded": f"""{_WITH}, {_RUNS}
+SELECT p.set_id, p.bit AS from_bit, coalesce(r.run_end + 1, p.bit) AS next_clear
+FROM priority_sets p LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
+    "bitset_prev_clear_unbounded": f"""{_WITH}, {_RUNS}
+SELECT p.set_id, p.bit AS from_bit, coalesce(r.run_start - 1, p.bit) AS previous_clear
+FROM priority_sets p LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
+    "bitset_next_clear_half": f"""{_WITH}, {_RUNS}, {_HALF}
+SELECT p.set_id, p.bit AS from_bit,
+  CASE WHEN coalesce(r.run_end + 1, p.bit) < capacity THEN coalesce(r.run_end + 1, p.bit) ELSE -1 END AS next_clear
+FROM half CROSS JOIN priority_sets p
+LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
+    "bitset_prev_clear_half": f"""{_WITH}, {_RUNS}, {_HALF}
+SELECT p.set_id, p.bit AS from_bit,
+  CASE WHEN p.bit >= capacity OR r.run_start IS NULL THEN p.bit ELSE r.run_start - 1 END AS previous_clear
+FROM half CROSS JOIN priority_sets p
+LEFT JOIN runs r ON r.set_id = p.set_id AND p.bit BETWEEN r.run_start AND r.run_end""",
 }
