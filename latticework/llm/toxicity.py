@@ -41,15 +41,23 @@ _BASES = {c: base for c in LETTERS if (base := unicodedata.normalize("NFKD", c)[
 
 _LETTER = r"[^\W\d_]"
 _SIGNS = "".join(map(re.escape, LEET))
-_DISGUISED = re.compile(
-    rf"{_LETTER}[{_SIGNS}]+{_LETTER}|^[{_SIGNS}]+{_LETTER}|{_LETTER}[\d$]+$|({_LETTER})\1\1"
-    rf"|(?:^|{_LETTER})[.\-_*~/:]+{_LETTER}[.\-_*~/:]+{_LETTER}"
-)
-# Three or more single letters or signs with gaps between them.
+# A word with letters is decoded if it also has a separator, a sign or a letter twice in a row.
+_LETTERED = re.compile(_LETTER)
+_ODD = re.compile(rf"[\W\d_{_SIGNS}]|(.)\1")
+# Three or more single letters or signs with gaps between them; brackets and quotes may stand around them.
 _ONE = rf"[^\W_]|[@$!|+€£]"
-SPACED = re.compile(rf"(?<![^\s])(?:{_ONE})(?:[\s.\-_*~/:]+(?:{_ONE})){{2,}}(?![^\s.,;:!?])")
+SPACED = re.compile(
+    rf"(?<![^\s(\[{{<\"'“‘«])(?:{_ONE})(?:[\s.\-_*~/:]+(?:{_ONE})){{2,}}(?![^\s.,;:!?)\]}}>\"'”’»])"
+)
 # Punctuation around a word; one or two signs of money may be letters.
 _EDGES = re.compile(r"^(?:[^\w@$€£]|[@$€£]{2,})+|(?:[^\w$]|\${3,})+$")
+# The same without the signs at an edge that may be letters.
+_OUTER = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
+
+# A lexicon word may hide in a text at this channel cost for each of its letters at most.
+HIDING = 3.0
+# Words in a thousandth of the clean rows, and in three at least, are ordinary; so many of them at most.
+ORDINARY, ORDINARY_SHARE = 20_000, 1e-3
 
 # Labelled rows, and features, that the scorer is fitted on at most.
 LEXICON = 4_000
@@ -81,6 +89,30 @@ def gram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("gram").agg(F.sum("times").alias("times"))
 
 
+def disguised(core: str) -> bool:
+    """Whether a word without signs at its edges is decoded."""
+    return _ODD.search(core) is not None and _LETTERED.search(core) is not None
+
+
+def options(seen: str, at: int) -> list[tuple[int, float]]:
+    """What the sign at ``at`` may stand for, with its cost; -1 is nothing, 0 the border of a word."""
+    sign, found = seen[at], []
+    if sign in _INDEX:
+        found.append((_INDEX[sign], 0.0))
+        if sign in _BASES:
+            found.append((_INDEX[_BASES[sign]], ACCENT))
+    found += [(_INDEX[letter], SIGN) for letter in LEET.get(sign, "")]
+    if sign in SEPARATORS:
+        found += [(0, BORDER), (-1, 0.0)]
+    elif at and seen[at - 1] == sign:
+        longer = seen[at - 2 : at - 1] == sign or seen[at + 1 : at + 2] == sign
+        found.append((-1, RUN if longer else SECOND))
+    elif sign not in _INDEX:
+        cost = NO_LETTER if sign in LEET else NOISE
+        found += [(0, cost), (-1, cost)]
+    return found
+
+
 class Restorer:
     """Viterbi decoder of disguised words under a character model of three letters."""
 
@@ -106,22 +138,7 @@ class Restorer:
         self.log, self.known = state["log"].tolist(), Remembered(self._decode)
 
     def _options(self, seen: str, at: int) -> list[tuple[int, float]]:
-        """What the sign at ``at`` may stand for, with its cost; -1 is nothing, 0 the border of a word."""
-        sign, found = seen[at], []
-        if sign in _INDEX:
-            found.append((_INDEX[sign], 0.0))
-            if sign in _BASES:
-                found.append((_INDEX[_BASES[sign]], ACCENT))
-        found += [(_INDEX[letter], SIGN) for letter in LEET.get(sign, "")]
-        if at and seen[at - 1] == sign:
-            longer = seen[at - 2 : at - 1] == sign or seen[at + 1 : at + 2] == sign
-            found.append((-1, RUN if longer else SECOND))
-        elif sign in SEPARATORS:
-            found += [(0, BORDER), (-1, 0.0)]
-        elif sign not in _INDEX:
-            cost = NO_LETTER if sign in LEET else NOISE
-            found += [(0, cost), (-1, cost)]
-        return found
+        return options(seen, at)
 
     def _decode(self, seen: str) -> str:
         # The best way to each pair of last letters: its value and what it reads.
@@ -147,12 +164,12 @@ class Restorer:
     def word(self, word: str) -> str:
         """A word between white space, in lower case and without signs at its edges; restored if disguised."""
         core = _EDGES.sub("", word)
-        return self.known[core] if _DISGUISED.search(core) else core
+        return self.known[core] if disguised(core) else core
 
     def text(self, text: str | None) -> str:
         """The whole text in lower case, its disguised words and spaced-out letters restored."""
         spaced = SPACED.sub(lambda m: self.known[" ".join(m[0].split())], (text or "").lower())
-        return re.sub(r"\S+", lambda m: self.known[c] if _DISGUISED.search(c := _EDGES.sub("", m[0])) else m[0], spaced)
+        return re.sub(r"\S+", lambda m: self.known[c] if disguised(c := _EDGES.sub("", m[0])) else m[0], spaced)
 
     def spaced(self, text: str) -> set[str]:
         """The words that spaced-out letters of a lower-case text read."""
@@ -169,6 +186,64 @@ def features_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n)]
 
 
+class Hidden:
+    """Finds the words of a lexicon that the channel may have turned into what is seen, whole or in pieces."""
+
+    def __init__(self, weights: dict[str, float], ordinary: frozenset[str]):
+        self.words = {f for f in weights if not f.endswith("*")}
+        self.begins = {word[:n] for word in self.words for n in range(len(word) + 1)}
+        self.ordinary = ordinary
+        self.starts = Remembered(self._start)
+
+    def _walk(self, ways: dict[str, float], seen: str) -> dict[str, float]:
+        """The beginnings of lexicon words that ``ways`` and then ``seen`` read, with what they cost."""
+        for at in range(len(seen)):
+            following: dict[str, float] = {}
+            for code, cost in options(seen, at):
+                if code == 0:
+                    continue
+                letter = LETTERS[code - 1] if code > 0 else ""
+                for read, value in ways.items():
+                    now, total = read + letter, value + cost
+                    if now in self.begins and total < following.get(now, np.inf):
+                        following[now] = total
+            if not following:
+                return following
+            ways = following
+        return ways
+
+    def _read(self, ways: dict[str, float]) -> set[str]:
+        return {word for word, cost in ways.items() if word in self.words and cost <= HIDING * len(word)}
+
+    def whole(self, word: str) -> set[str]:
+        """Lexicon words that a disguised word between white space may stand for; ordinary words stand for themselves."""
+        found: set[str] = set()
+        for core in {_EDGES.sub("", word), _OUTER.sub("", word)}:
+            parts = re.findall(r"\w+", core)
+            if disguised(core) and not self.ordinary.issuperset(parts):
+                found |= self._read(self._walk({"": 0.0}, core))
+        return found
+
+    def _start(self, word: str) -> tuple[str, bool, dict[str, float]]:
+        """A word's core, whether it is ordinary, and the beginnings of lexicon words that it reads."""
+        core = _EDGES.sub("", word)
+        return core, core in self.ordinary, self._walk({"": 0.0}, core) if core else {}
+
+    def joined(self, words: list[str]) -> set[str]:
+        """Lexicon words that are split in pieces by white space; one piece at least is no ordinary word."""
+        found: set[str] = set()
+        starts = list(map(self.starts.__getitem__, words))
+        for i, (_, plain, ways) in enumerate(starts):
+            at = i + 1
+            while ways and at < len(starts) and starts[at][0]:
+                core, ordinary, _ = starts[at]
+                plain, ways = plain and ordinary, self._walk(ways, core)
+                if not plain:
+                    found |= self._read(ways)
+                at += 1
+        return found
+
+
 @dataclass
 class Scorer:
     """A lexicon of toxic features and a logistic model of how many a text has."""
@@ -176,16 +251,18 @@ class Scorer:
     restorer: Restorer
     weights: dict[str, float]
     model: np.ndarray
+    ordinary: frozenset[str] = frozenset()
     found: Remembered = field(init=False)
+    hidden: Hidden = field(init=False)
 
     def __post_init__(self):
-        self.found = Remembered(self._found)
+        self.found, self.hidden = Remembered(self._found), Hidden(self.weights, self.ordinary)
 
     def __getstate__(self):
-        return self.restorer, self.weights, self.model
+        return self.restorer, self.weights, self.model, self.ordinary
 
     def __setstate__(self, state):
-        self.restorer, self.weights, self.model = state
+        self.restorer, self.weights, self.model, self.ordinary = state
         self.__post_init__()
 
     def _weigh(self, words: list[str] | set[str]) -> tuple[tuple[str, float], ...]:
@@ -193,13 +270,15 @@ class Scorer:
         return tuple(pair for pair in best if pair[1] > 0)
 
     def _found(self, word: str) -> tuple[tuple[str, float], ...]:
-        return self._weigh(self.restorer.word(word).split())
+        return self._weigh(self.restorer.word(word).split()) or self._weigh(self.hidden.whole(word))
 
     def evidence(self, text: str | None) -> list[float]:
         """One, and how many distinct toxic words there are, what they weigh together, and the heaviest."""
         text = (text or "").lower()
-        found = dict(chain.from_iterable(map(self.found.__getitem__, set(text.split()))))
+        words = text.split()
+        found = dict(chain.from_iterable(map(self.found.__getitem__, set(words))))
         found.update(self._weigh(self.restorer.spaced(text)))
+        found.update(self._weigh(self.hidden.joined(words)))
         weights = found.values()
         return [1.0, float(np.log1p(len(weights))), float(np.log1p(sum(weights))), max(weights, default=0.0)]
 
@@ -280,8 +359,8 @@ def train(
 
     The character model counts every word of every document. The lexicon comes from four fifths of at most
     ``sample`` labelled documents, none held out and without near copies: features that are far more frequent in toxic ones, by
-    a likelihood ratio, at most ``lexicon`` of them. The rest fits how much evidence makes a text
-    toxic. Tasks count; the driver gets the grams, the lexicon and the numbers of the fit, all bounded.
+    a likelihood ratio, at most ``lexicon`` of them; their most common clean words are ordinary. The rest fits how much evidence makes a text
+    toxic. Tasks count; the driver gets the grams, the lexicon, the ordinary words and the numbers of the fit, all bounded.
     """
     restorer = Restorer.of(gram_counts(docs, text))
     rows = materialize(training_rows(docs, labels, label, id, text, sample), "toxicity-sample")
@@ -303,6 +382,7 @@ def train(
     ratio = 2 * (
         t * F.log(share / base) + F.when(c > 0, c * F.log((1 - share) / (1 - base))).otherwise(F.lit(0.0))
     )
+    counts = materialize(counts, "toxicity-counts")
     chosen = (
         counts.where((F.col("feature") != "") & (t > 2))
         .select("feature", odds.alias("odds"), ratio.alias("ratio"))
@@ -311,7 +391,11 @@ def train(
         .limit(lexicon)
         .collect()
     )
-    scorer = Scorer(restorer, {r["feature"]: r["odds"] for r in chosen}, np.zeros(4))
+    weights = {r["feature"]: r["odds"] for r in chosen}
+    plain = counts.where((F.col("feature") != "") & ~F.col("feature").endswith("*"))
+    common = plain.where(c >= max(3.0, ORDINARY_SHARE * n_clean)).orderBy(c.desc(), "feature").limit(ORDINARY)
+    ordinary = frozenset(r["feature"] for r in common.select("feature").collect()) - weights.keys()
+    scorer = Scorer(restorer, weights, np.zeros(4), ordinary)
     fitted = rows.where(fifth).mapInArrow(_evidence(scorer), "label int, x array<double>").collect()
     x = np.array(sorted((*r["x"], r["label"]) for r in fitted)).reshape(-1, 5)
     scorer.model = _logistic(x[:, :4], x[:, 4]) if len(np.unique(x[:, 4])) > 1 else np.array([-4.0, 2.0, 2.0, 0.0])

@@ -57,6 +57,35 @@ def test_disguised_words_are_restored_and_scored(fitted, spark):
         assert all(word in text for word in words)
 
 
+FORMS = [
+    "mo.ron", "m.oron", "mo-ron", "st_upid", "mo..ron", "m,o,r,o,n", "m'o'r'o'n", "morron", "stuupid", "mo ron",
+    "st up id", "(lown", "(m o r o n)", '"m o r o n"', "m0 ron", "mor-r0n",
+]
+
+
+@pytest.fixture(scope="module")
+def insults(spark):
+    rows, truth = corpus()
+    rng = random.Random(9)
+    more = [(i, t if not toxic else f"{t} {rng.choice(['clown', 'stupid'])}") for (i, t), (_, toxic) in zip(rows, truth)]
+    return toxicity.train(spark.createDataFrame(more, SCHEMA), spark.createDataFrame(truth, "doc_id long, toxic int"))
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_each_form_of_disguise_is_evidence(insults, form):
+    plain = "hathe anre onst {} tileou reshin the shti erstha inre"
+    word = "clown" if "lown" in form else "stupid" if "st" in form else "moron"
+    assert insults.evidence(plain.format(form)) == insults.evidence(plain.format(word))
+
+
+def test_ordinary_words_side_by_side_are_not_joined(insults):
+    hidden = toxicity.Hidden({"onst": 3.0, "moron": 3.0}, frozenset({"on", "st"}))
+    assert hidden.joined("the on st re".split()) == set()
+    assert hidden.joined("the on sst re".split()) == {"onst"}
+    assert hidden.whole("on-st") == set() and hidden.whole("mo-ron") == {"moron"}
+    assert insults.evidence("hathe anre onst, tileou (the) on the 455 re-on st's")[1] == 0
+
+
 def all_readings(restorer, seen):
     """The best reading by trying every choice for every sign."""
     best = (-math.inf, "")
