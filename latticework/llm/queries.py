@@ -9,7 +9,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticework.llm import ann, chat, host_rules, mixing, packing, quality, simhash, substring, token_files, toxicity
+from latticework.llm import (
+    ann,
+    chat,
+    decontaminate,
+    host_rules,
+    merkle,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    simhash,
+    substring,
+    token_files,
+    toxicity,
+)
 from latticework.session import scratch_dir
 
 # A vocabulary of the public tokenizers, and the ids that end a document.
@@ -307,3 +321,161 @@ def op8_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", mixing.number_domain().alias("domain"), "lang", "source", mixing.word_tokens().alias("n_tokens")
     )
     return mixing.copies(docs, MIXTURE, budget=BUDGET).select("doc_id", "domain", "lang", "source", "tokens", "copies")
+
+
+def _with_periodic_tail(doc_id, text):
+    """The words of some texts, chosen by the CRC-32 of the id, from a position on as repeats of what starts there."""
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    crc = F.crc32(doc_id.cast("string"))
+    n, g = F.size(words), F.floor(crc / 10)
+    at = (g % n).cast("int")
+    period = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - at) / period).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, at + 1, period), times))
+    planted = F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), at), tail), F.lit(1), n), " ")
+    return F.when((crc % 10 == 0) & (n > 0), planted).otherwise(text)
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", _with_periodic_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs)
+    best = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-best.less * 1000 DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(map(_field_sql, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def _siblings_sql(nodes: str) -> str:
+    run = "OVER (PARTITION BY source, level, ix // 3 ORDER BY ix ROWS BETWEEN"
+    return f"""
+      SELECT source, level, ix,
+        coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+      FROM {nodes} WHERE n > 1"""
+
+
+def _nodes_sql(first: str, nodes: str) -> str:
+    return f"""
+      {first} UNION ALL
+      SELECT source, level + 1, ix // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY ix))
+      FROM {nodes} WHERE n > 1 GROUP BY source, level, ix // 3, n"""
+
+
+def _fold_sql(first: str, fold: str, siblings: str) -> str:
+    return f"""
+      {first} UNION ALL
+      SELECT f.leaf_no, f.source, f.level + 1, f.ix // 3, (f.n + 2) // 3, sha256(s.l || f.h || s.r), f.proof || s.l || s.r
+      FROM {fold} f JOIN {siblings} s ON f.source IS NOT DISTINCT FROM s.source AND f.level = s.level AND f.ix = s.ix
+      WHERE f.n > 1"""
+
+
+@query(
+    f"""
+    WITH RECURSIVE steps AS (
+      SELECT list(v ORDER BY i) AS steps FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+          lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) AS t(i))
+    ), crc AS (
+      SELECT *, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+      FROM documents, steps
+    ), leaves AS (
+      SELECT row_number() OVER () AS leaf_no, doc_id, source, {_leaf_sql("text")} AS leaf,
+        CASE WHEN crc % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS claimed
+      FROM crc
+    ), numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS ix,
+        count(*) OVER (PARTITION BY source) AS n
+      FROM leaves
+    ), nodes AS ({_nodes_sql("SELECT source, 0 AS level, ix, n, leaf AS h FROM numbered", "nodes")}
+    ), subroots AS (
+      SELECT source AS grp, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS ix, count(*) OVER () AS n
+      FROM nodes WHERE n = 1
+    ), upper_nodes AS ({_nodes_sql("SELECT 'all' AS source, 0 AS level, ix, n, h FROM subroots", "upper_nodes")}
+    ), siblings AS ({_siblings_sql("nodes")}
+    ), upper_siblings AS ({_siblings_sql("upper_nodes")}
+    ), folds AS ({_fold_sql(
+        "SELECT leaf_no, source, 0 AS level, ix, n, claimed AS h, '' AS proof FROM numbered", "folds", "siblings")}
+    ), upper_folds AS ({_fold_sql(
+        "SELECT leaf_no, 'all' AS source, 0 AS level, s.ix, s.n, f.h, f.proof FROM folds f JOIN subroots s "
+        "ON f.source IS NOT DISTINCT FROM s.grp WHERE f.n = 1", "upper_folds", "upper_siblings")}
+    )
+    SELECT doc_id, leaf, s.h AS subroot, u.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root,
+      f.h = u.h AS verified
+    FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.grp
+    JOIN (SELECT * FROM upper_folds WHERE n = 1) f ON l.leaf_no = f.leaf_no, (SELECT h FROM upper_nodes WHERE n = 1) u
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.prove(merkle.manifest(merkle.document_leaves(table(spark, sf_dir, "documents"))))
+    return proved.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+_CASES = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), {_CASES}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    f"""
+    WITH item_words AS (
+      SELECT item_id, {_WORDS_SQL} AS w FROM benchmark
+    ), windows AS (
+      SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[p:p + 9], ' ') AS passage
+      FROM item_words, LATERAL unnest(generate_series(1, greatest(len(w) - 9, 1))) AS t(p) WHERE len(w) > 0
+    ), sizes AS (
+      SELECT DISTINCT size FROM windows
+    ), words AS (
+      SELECT doc_id, {_WORDS_SQL} AS w FROM documents
+    ), stretches AS (
+      SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS passage
+      FROM words, sizes, LATERAL unnest(generate_series(1, len(w) - size + 1)) AS t(p)
+    ), found AS (
+      SELECT doc_id, item_id, size, p FROM stretches JOIN windows USING (size, passage)
+    ), hits AS (
+      SELECT doc_id, count(DISTINCT q) AS n_hit FROM found, LATERAL unnest(generate_series(p, p + size - 1)) AS t(q)
+      GROUP BY doc_id
+    ), items AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """
+)
+def op13_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

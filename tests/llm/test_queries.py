@@ -12,7 +12,7 @@ from latticework.llm.queries import ORACLES, QUERIES
 
 ROOT = Path(__file__).resolve().parents[2]
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ["documents", "conversations", "labels", "embeddings"]
+TABLES = ["documents", "conversations", "labels", "embeddings", "benchmark"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -31,7 +31,7 @@ def test_query(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_the_rest_works_without_this_subpackage(tmp_path):
