@@ -19,6 +19,8 @@ CAPACITY = 4096
 LINEAR, QUADRATIC = 1.0, 1.0 / 12288
 # Sequences that are balanced together.
 GROUP = 256
+# Ids that a task sends on at once.
+BATCH_BYTES = 2 << 20
 
 FIELDS = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -104,15 +106,16 @@ def _pack(tokenizer: str, end_id: int, *settings):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        packer, rows = _Packer(TaskContext.get().partitionId() << 40, *settings), []
-        for batch in smaller_batches(batches, "text"):
-            for doc_id, data in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
-                for more in packer.add(doc_id, encode(data) + end):
+        encode = encoder(tokenizer).encode_all
+        packer, rows, held = _Packer(TaskContext.get().partitionId() << 40, *settings), [], 0
+        for batch in smaller_batches(batches, "text", 2 << 20):
+            for doc_id, ids in zip(batch.column("id").to_pylist(), encode(as_bytes(batch.column("text")))):
+                for more in packer.add(doc_id, ids + end):
                     rows.extend(more)
-                    if len(rows) >= 1024:
+                    held += sum(len(row[-1]) for row in more)
+                    if held >= BATCH_BYTES:
                         yield _batch(rows)
-                        rows = []
+                        rows, held = [], 0
         for more in packer.finish():
             rows.extend(more)
         if rows:

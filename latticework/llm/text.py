@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,8 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 # Texts are cut at white space in parts of this size, so that a very long one is never a list of words.
 PART_BYTES = 1 << 20
-# Distinct words whose hashes a task remembers.
-REMEMBERED = 1 << 19
+# Distinct words that a task remembers, and the longest of them in characters: some 50 MB in all.
+REMEMBERED, LONGEST = 1 << 18, 64
 
 
 def parts(data: bytes) -> Iterator[bytes]:
@@ -34,16 +35,19 @@ def parts(data: bytes) -> Iterator[bytes]:
 
 
 class Remembered(dict):
-    """``compute(key)``, remembered for a bounded number of keys."""
+    """``compute(key)``, remembered for a bounded number of keys that are not too long; the older half goes if full."""
 
-    def __init__(self, compute: Callable, limit: int = REMEMBERED):
+    def __init__(self, compute: Callable, limit: int = REMEMBERED, longest: int = LONGEST):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.longest = compute, limit, longest
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.compute(key)
+        value = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                for old in list(islice(self, (self.limit + 1) // 2)):
+                    del self[old]
+            self[key] = value
         return value
 
 
@@ -102,7 +106,7 @@ def as_bytes(column: pa.Array | pa.ChunkedArray) -> list:
     return column.cast(kind).to_pylist()
 
 
-def smaller_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def smaller_batches(batches: Iterator[pa.RecordBatch], column: str | int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``column`` holds about ``most`` bytes, one row at least."""
     for batch in batches:
         at, n = 0, batch.num_rows

@@ -24,9 +24,9 @@ def _encode(tokenizer: str, end_id: int):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard, at = encoder(tokenizer).encode, TaskContext.get().partitionId(), 0
+        encode, shard, at = encoder(tokenizer).encode_all, TaskContext.get().partitionId(), 0
         for batch in smaller_batches(batches, "text", 2 << 20):
-            ids = [encode(data) + end for data in as_bytes(batch.column("text"))]
+            ids = [found + end for found in encode(as_bytes(batch.column("text")))]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             ends = np.cumsum(sizes)
             values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
@@ -65,15 +65,17 @@ def write_tokens(
     indexed by their least and largest values, so that readers of some ids or of the metadata alone skip
     the rest.
 
-    Rows without id come first; rows of one id are ordered by their text. A null or empty text is ``end_id``
+    Rows without id come first; rows of one id, however many, are spread and ordered by a hash of their text, then by the text. A null or empty text is ``end_id``
     alone. Other columns are not read. No rows: files without rows.
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"encoding is one of {ENCODINGS}")
     ordered = (
         docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-        .repartitionByRange("id")
-        .sortWithinPartitions("id", "text")
+        .withColumn("spread", F.xxhash64("text"))
+        .repartitionByRange("id", "spread")
+        .sortWithinPartitions("id", "spread", "text")
+        .drop("spread")
     )
     options = {
         "parquet.writer.version": "PARQUET_2_0",

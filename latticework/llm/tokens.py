@@ -1,4 +1,4 @@
-"""Token ids of whole texts by the tokenizers library, each distinct chunk encoded once."""
+"""Token ids of whole texts by the tokenizers library, each distinct run of characters encoded once."""
 
 from __future__ import annotations
 
@@ -6,35 +6,68 @@ import functools
 import json
 import re
 import string
+from collections.abc import Sequence
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from latticework.llm.text import Remembered, parts
+from latticework.llm.text import LONGEST, parts
 
-# Chunks that a Python worker remembers, the longest ones, and how many new ones one call encodes.
-CHUNKS, CHUNK_BYTES, AT_ONCE = 600_000, 64, 200
-# Runs of characters, as the tokenizer splits chunks, that a worker remembers.
-RUNS = 200_000
+# Runs of characters, as the tokenizer splits a text, and chunks of other characters that a Python worker remembers.
+RUNS, CHUNKS = 300_000, 50_000
+# New chunks that one call of the library encodes, and bytes of plain text that are split together.
+AT_ONCE, PLAIN_BYTES = 200, 4 << 20
 
-# The pattern by which lower-casing byte-level word tokenizers split a text into runs, the same for
-# the visible characters of Latin-1 in lower case, and how such tokenizers write bytes, visible ones as
-# themselves and the others from 256 on.
+# The pattern by which lower-casing byte-level word tokenizers split a text into runs, and how such
+# tokenizers write bytes, visible ones as themselves and the others from 256 on.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_WRITTEN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_WRITTEN = np.arange(256, dtype="<u4")
+_WRITTEN[[b for b in range(256) if b not in _VISIBLE]] = np.arange(256, 512 - len(_VISIBLE))
+_WRITTEN[ord("\n")] = ord("\n")
+
+# A character that is neither ASCII white space nor plain, and a chunk between white space that has one.
+_OTHER = re.compile(r"[^\x09-\x0D -~À-ÖØ-öø-ÿ]")
+_OTHER_CHUNK = re.compile(r"(?<![^\x09-\x0D ])([!-~À-ÖØ-öø-ÿ]*+[^\x09-\x0D ]+)")
+_CONTROL = re.compile(rb"[^\x09-\x0D -~]")
+_SPACES = re.compile(r"[\x09-\x0D ]+")
+
+# Kinds of bytes of plain text in lower case; visible letters of Latin-1 are a byte of 0xC3 and one from 0x80 on.
+_GAP, _LETTER, _DIGIT, _SIGN = range(4)
+_KIND = np.full(256, _SIGN, np.int8)
+_KIND[list(b" \t\n\x0b\x0c\r")] = _GAP
+_KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 256)]] = _LETTER
+_KIND[list(b"0123456789")] = _DIGIT
+
+
+def run_starts(raw: np.ndarray) -> np.ndarray:
+    """Where the runs of plain text in lower case start, gaps included; ``raw`` ends with three gaps."""
+    kind = _KIND[raw]
+    new = np.append(True, kind[1:] != kind[:-1])
+    new |= kind == _DIGIT
+    # An apostrophe that starts a run, before the letters of a short form, takes these along.
+    quote = np.flatnonzero((raw == ord("'")) & new)
+    quote = quote[new[quote + 1] & (kind[quote + 1] == _LETTER)]
+    one, two = raw[quote + 1], raw[quote + 2]
+    short = np.isin(one, list(b"stmd"))
+    long = np.isin(one, list(b"rv")) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    new[quote[short | long] + 1] = False
+    new[quote[short] + 2] = True
+    new[quote[long] + 3] = True
+    return np.flatnonzero(new)
 
 
 class Encoder:
     """Little-endian unsigned 32-bit ids of texts, equal to ``Tokenizer.encode`` of the whole text.
 
-    For tokenizers that drop white space: it ends every token, so a text is encoded chunk by chunk
-    between ASCII white space, by the library. Strings of special tokens have no white space either.
-    New chunks of a text are encoded together; those of plain characters, which its normalizer leaves as
-    they are but for case, are split into runs and the library's model encodes each run once.
+    For tokenizers that drop white space: it ends every token, so a text may be encoded chunk by chunk
+    between ASCII white space. Strings of special tokens have no white space either. Plain characters, which
+    the tokenizer's normalizer leaves as they are but for case, are split into runs by its own pattern, a long stretch of
+    the text at once, and the library's model encodes each distinct run once. Chunks of other characters are
+    encoded by the library, new ones of a part of the text together.
     """
 
     def __init__(self, path: str):
@@ -42,8 +75,11 @@ class Encoder:
         for one, two in (("a", "b"), ("it's", "'s ."), ("1", "2"), ("é", "́a")):
             if self._ids(f"{one} \n{two}") != self._ids(one) + self._ids(two):
                 raise ValueError(f"{path}: white space is part of this tokenizer's tokens")
-        self.known: dict[bytes, bytes] = {}
-        self.model, self.runs = self.tokenizer.model, Remembered(self._run, RUNS)
+        # The model alone, for runs between white space.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.runs: dict[bytes, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
         steps = json.loads(self.tokenizer.to_str())
         kinds = [step["type"] for step in (steps["normalizer"] or {}).get("normalizers", [])]
         splits = [step.get("pattern") for step in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
@@ -55,46 +91,112 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _run(self, run: str) -> bytes:
-        written = run if run.isascii() else run.encode().decode("latin-1").translate(_WRITTEN)
-        return np.array([token.id for token in self.model.tokenize(written)], "<u4").tobytes()
-
-    def _encode_chunks(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        found, other, runs = {}, [], self.runs
-        for chunk in chunks:
-            text = chunk.decode()
-            if self.plain and len(chunk) <= CHUNK_BYTES and _PLAIN.fullmatch(text) and "<|" not in text:
-                found[chunk] = b"".join([runs[run] for run in _RUNS.findall(text.lower())])
-            else:
-                other.append(text)
-        for at in range(0, len(other), AT_ONCE):
-            some = other[at : at + AT_ONCE]
+    def _look_up(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of distinct runs, gaps included; the model encodes all new ones in one call."""
+        known = self.runs
+        found = list(map(known.get, runs))
+        new = [at for at, ids in enumerate(found) if ids is None]
+        if new:
+            joined = b"\n".join(runs[at] for at in new)
+            written = _WRITTEN[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
+            encoded = self.model.encode(written, add_special_tokens=False)
+            ids, of = np.array(encoded.ids, "<u4").tobytes(), np.array(encoded.word_ids, np.int64)
+            borders = (4 * np.searchsorted(of, np.arange(len(new) + 1))).tolist()
+            for at, a, b in zip(new, borders, borders[1:]):
+                found[at] = ids[a:b]
+                if len(runs[at]) <= LONGEST:
+                    known[runs[at]] = found[at]
+            if len(known) > RUNS:
+                # The older half goes.
+                for run in list(islice(known, len(known) // 2)):
+                    del known[run]
+        return found
+
+    def _plain(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece of plain text in lower case, all split and looked up together."""
+        joined = b"\n".join([*pieces, b"\n\n"])
+        starts = run_starts(np.frombuffer(joined, np.uint8))
+        borders = pa.array(np.append(starts, len(joined)), pa.int32()).buffers()[1]
+        runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, borders, pa.py_buffer(joined)]).dictionary_encode()
+        which = np.asarray(runs.indices)
+        _, cuts, kept = runs.dictionary.buffers()
+        cuts, kept = np.frombuffer(cuts, np.int32)[: len(runs.dictionary) + 1].tolist(), kept.to_pybytes()
+        distinct = [kept[a:b] for a, b in zip(cuts, cuts[1:])]
+        # A gap has no ids.
+        words = [at for at, run in enumerate(distinct) if not run.isspace()]
+        ids = [b""] * len(distinct)
+        for at, found in zip(words, self._look_up([distinct[at] for at in words])):
+            ids[at] = found
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, counts = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        upto = np.append(0, np.cumsum(counts))
+        at = np.repeat(first - upto[:-1], counts) + np.arange(upto[-1])
+        found = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        ends = np.cumsum([len(piece) + 1 for piece in pieces])
+        cuts = (4 * upto[np.searchsorted(starts, np.append(0, ends))]).tolist()
+        return [found[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk, by the library."""
+        known = self.chunks
+        new = list(dict.fromkeys(chunk for chunk in chunks if chunk not in known))
+        found = {}
+        for at in range(0, len(new), AT_ONCE):
+            some = new[at : at + AT_ONCE]
             encoded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
             ids, of = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
             borders = np.searchsorted(of, np.arange(len(some) + 1)).tolist()
-            found.update((c.encode(), ids[a:b].tobytes()) for c, a, b in zip(some, borders, borders[1:]))
+            found.update((c, ids[a:b].tobytes()) for c, a, b in zip(some, borders, borders[1:]))
+        out = [known[chunk] if chunk in known else found[chunk] for chunk in chunks]
+        if len(known) + len(found) > CHUNKS:
+            known.clear()
+        known.update((chunk, ids) for chunk, ids in found.items() if len(chunk) <= LONGEST)
+        return out
+
+    def _pieces(self, part: bytes) -> list[tuple[bool, bytes]]:
+        """A part of a text as plain pieces in lower case (true) and the ids of what is between them."""
+        if self.plain and b"<|" not in part and part.isascii() and not _CONTROL.search(part):
+            return [(True, part.lower())]
+        text = part.decode()
+        if not self.plain or "<|" in text:
+            return [(False, ids) for ids in self._chunks([chunk for chunk in _SPACES.split(text) if chunk])]
+        if not _OTHER.search(text):
+            return [(True, text.lower().encode())]
+        # Plain stretches and other chunks take turns.
+        pieces = _OTHER_CHUNK.split(text)
+        found = [(True, piece.lower().encode()) for piece in pieces]
+        found[1::2] = [(False, ids) for ids in self._chunks(pieces[1::2])]
         return found
 
-    def _part(self, part: bytes) -> bytes:
-        chunks, known = part.split(), self.known
-        if len(known) > CHUNKS:
-            # The older half goes.
-            for chunk in list(islice(known, CHUNKS // 2)):
-                del known[chunk]
-        new = list(set(chunks).difference(known))
-        if new:
-            fresh = self._encode_chunks(new)
-            long = {chunk: ids for chunk, ids in fresh.items() if len(chunk) > CHUNK_BYTES}
-            known.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= CHUNK_BYTES)
-            if long:
-                return b"".join([long[c] if len(c) > CHUNK_BYTES else known[c] for c in chunks])
-        return b"".join(map(known.__getitem__, chunks))
+    def encode_all(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """The ids of each text; a null or empty text has none."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[list[bytes], int, bytes]] = []
+
+        def settle():
+            for (ids, at, _), found in zip(waiting, self._plain([piece for *_, piece in waiting])):
+                ids[at] = found
+            waiting.clear()
+
+        held = 0
+        for ids, data in zip(out, texts):
+            data = data or b""
+            if self.lower and not any(text in (low := data.lower()) for text in self.special):
+                data = low
+            for part in parts(data):
+                for plain, piece in self._pieces(part):
+                    if plain:
+                        waiting.append((ids, len(ids), piece))
+                        held += len(piece)
+                    ids.append(piece)
+                if held >= PLAIN_BYTES:
+                    settle()
+                    held = 0
+        settle()
+        return [b"".join(ids) for ids in out]
 
     def encode(self, data: bytes | None) -> bytes:
-        data = data or b""
-        if self.lower and not any(text in (low := data.lower()) for text in self.special):
-            data = low
-        return b"".join(map(self._part, parts(data)))
+        return self.encode_all([data])[0]
 
 
 @functools.lru_cache(maxsize=2)

@@ -41,7 +41,14 @@ def test_special_strings_and_long_words():
 def test_plain_runs_are_used():
     assert CHUNKED.plain and CHUNKED.lower
     CHUNKED.encode("Straße l'Été%%% 42nd don't ÀÖØß".encode())
-    assert {"straße", "été", "%%%", "4", "'t", "àöøß"} <= CHUNKED.runs.keys()
+    assert {run.encode() for run in ("straße", "été", "%%%", "4", "'t", "àöøß")} <= CHUNKED.runs.keys()
+
+
+def test_many_texts_at_once():
+    texts = ["It's 'story''s", None, "", "x 'r 're 'real ''re", "œ’s plain 12", "\t", "A\x01b <| c", "'l'll'lx", "d'"] * 50
+    texts.append("don't 'd " * 600_000)
+    got = CHUNKED.encode_all([None if t is None else t.encode() for t in texts])
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [ids_of(t) for t in texts]
 
 
 def test_other_tokenizers_are_refused():
@@ -117,7 +124,8 @@ def test_files_read_back(spark, tmp_path, encoding):
     token_files.write_tokens(docs, path, PATH, 1, encoding=encoding, row_group_bytes=1 << 20, page_rows=5)
     got = token_files.checksums(token_files.read_tokens(spark, path)).orderBy("start").collect()
     at = 0
-    ordered = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    hashed = spark.createDataFrame(ROWS, SCHEMA).withColumn("hash", F.xxhash64("text")).collect()
+    ordered = [r[:2] for r in sorted(hashed, key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[1] is not None, r[1] or ""))]
     for r, (doc_id, text) in zip(got, ordered, strict=True):
         ids = ids_of(text) + [1]
         assert (r.doc_id, r.start, r.n_tokens) == (doc_id, at, len(ids))
