@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from latticework.llm.quality import SAMPLE, training_rows
 from latticework.llm.text import Remembered, Windows, as_bytes, hasher, smaller_batches, word_hashes
+from latticework.operators.joins import fresh
 from latticework.session import materialize
 
 # Letters of the language model; 0 stands for the border of a word.
@@ -49,6 +51,11 @@ _ONE = rf"[^\W_]|[@$!|+€£]"
 SPACED = re.compile(
     rf"(?<![^\s(\[{{<\"'“‘«])(?:{_ONE})(?:[\s.\-_*~/:]+(?:{_ONE})){{2,}}(?![^\s.,;:!?)\]}}>\"'”’»])"
 )
+# Such a letter or sign inside a word; ``SPACED`` takes none else.
+_ALONE = re.compile(rf"(?<![^\s(\[{{<\"'“‘«.\-_*~/:])(?:{_ONE})(?![^\s.,;:!?)\]}}>\"'”’»\-_*~/])")
+# Marks at the edges of a word that stand for no letter, and a letter said twice or more.
+_MARKS, _RUN = ".,;:?\"')", re.compile(r"(.)\1+")
+_LETTERS_ONLY, _BARE = re.compile(f"[{LETTERS}]+"), str.maketrans(_BASES)
 # Punctuation around a word; one or two signs of money may be letters.
 _EDGES = re.compile(r"^(?:[^\w@$€£]|[@$€£]{2,})+|(?:[^\w$]|\${3,})+$")
 # The same without the signs at an edge that may be letters.
@@ -61,6 +68,8 @@ ORDINARY, ORDINARY_SHARE = 20_000, 1e-3
 
 # Labelled rows, and features, that the scorer is fitted on at most.
 LEXICON = 4_000
+# Distinct words that a task knows what they stand for.
+WORDS = 200_000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 # A feature is toxic if the likelihood ratio of its counts and its log-odds are this high at least.
 RATIO, ODDS = 24.0, 2.5
@@ -181,6 +190,17 @@ class Restorer:
         return self.spaced(text).union(*(self.word(word).split() for word in set(text.split())))
 
 
+def _three_alone(some: list[tuple[int, Seen]]) -> bool:
+    """Whether neighbouring words have three signs that stand alone, and no other words between them."""
+    last, total = -1, 0
+    for at, seen in some:
+        if seen.alone:
+            last, total = at, (total if at == last + 1 else 0) + seen.alone
+            if total > 2:
+                return True
+    return False
+
+
 def features_of(word: str) -> list[str]:
     """The word, and its beginnings marked with a star."""
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n)]
@@ -193,9 +213,13 @@ class Hidden:
         self.words = {f for f in weights if not f.endswith("*")}
         self.begins = {word[:n] for word in self.words for n in range(len(word) + 1)}
         self.ordinary = ordinary
-        self.starts = Remembered(self._start)
+        # Without accents: beginnings of words; with runs of a letter as one letter: words and other features.
+        self.bare_begins = {word.translate(_BARE) for word in self.begins}
+        self.single = {_single(word) for word in self.words}
+        self.single_begins = {_single(f[:-1]) for f in weights if f.endswith("*")}
+        self.starts = Remembered(self._start, WORDS)
 
-    def _walk(self, ways: dict[str, float], seen: str) -> dict[str, float]:
+    def walk(self, ways: dict[str, float], seen: str) -> dict[str, float]:
         """The beginnings of lexicon words that ``ways`` and then ``seen`` read, with what they cost."""
         for at in range(len(seen)):
             following: dict[str, float] = {}
@@ -212,38 +236,68 @@ class Hidden:
             ways = following
         return ways
 
-    def _read(self, ways: dict[str, float]) -> set[str]:
+    def read(self, ways: dict[str, float]) -> set[str]:
         return {word for word, cost in ways.items() if word in self.words and cost <= HIDING * len(word)}
 
     def whole(self, word: str) -> set[str]:
         """Lexicon words that a disguised word between white space may stand for; ordinary words stand for themselves."""
         found: set[str] = set()
         for core in {_EDGES.sub("", word), _OUTER.sub("", word)}:
-            parts = re.findall(r"\w+", core)
-            if disguised(core) and not self.ordinary.issuperset(parts):
-                found |= self._read(self._walk({"": 0.0}, core))
+            if disguised(core) and not self.ordinary.issuperset(re.findall(r"\w+", core)):
+                found |= self.read(self.walk({"": 0.0}, core))
         return found
 
+    def reachable(self, core: str) -> bool:
+        """Whether a word of letters may read a feature if letters are said twice or lose their accents: neither
+        changes what is left without accents and with runs of a letter as one letter."""
+        single = _single(core)
+        return single in self.single or any(single[:n] in self.single_begins for n in range(1, PREFIXES[-1] + 1))
+
     def _start(self, word: str) -> tuple[str, bool, dict[str, float]]:
         """A word's core, whether it is ordinary, and the beginnings of lexicon words that it reads."""
+        core = bare_core(word)
+        if core is not None and not _RUN.search(core):
+            # Only accents can be lost.
+            some = core.translate(_BARE) in self.bare_begins
+            return core, core in self.ordinary, self.walk({"": 0.0}, core) if some else {}
         core = _EDGES.sub("", word)
-        return core, core in self.ordinary, self._walk({"": 0.0}, core) if core else {}
+        return core, core in self.ordinary, self.walk({"": 0.0}, core) if core else {}
 
-    def joined(self, words: list[str]) -> set[str]:
-        """Lexicon words that are split in pieces by white space; one piece at least is no ordinary word."""
+    def joined(self, words: list[str], begin: Iterable[int] | None = None) -> set[str]:
+        """Lexicon words that are split in pieces by white space, from the words number ``begin`` on, all by
+        default; one piece at least is no ordinary word."""
         found: set[str] = set()
-        starts = list(map(self.starts.__getitem__, words))
-        for i, (_, plain, ways) in enumerate(starts):
-            at = i + 1
-            while ways and at < len(starts) and starts[at][0]:
-                core, ordinary, _ = starts[at]
-                plain, ways = plain and ordinary, self._walk(ways, core)
+        for i in range(len(words)) if begin is None else begin:
+            (_, plain, ways), at = self.starts[words[i]], i + 1
+            while ways and at < len(words):
+                core, ordinary, _ = self.starts[words[at]]
+                if not core:
+                    break
+                plain, ways, at = plain and ordinary, self.walk(ways, core), at + 1
                 if not plain:
-                    found |= self._read(ways)
-                at += 1
+                    found |= self.read(ways)
         return found
 
 
+def _single(word: str) -> str:
+    return _RUN.sub(r"\1", word.translate(_BARE))
+
+
+def bare_core(word: str) -> str | None:
+    """The letters of a word that has only letters between marks that stand for none; None for other words."""
+    core = word if word.isalpha() else word.strip(_MARKS)
+    return core if _LETTERS_ONLY.fullmatch(core) else None
+
+
+class Seen(NamedTuple):
+    """What a word between white space may say: whether lexicon words may begin with it, how many signs stand alone
+    in it, and the toxic words it stands for, with their weights."""
+
+    begins: bool
+    alone: int
+    found: tuple[tuple[str, float], ...]
+
+
 @dataclass
 class Scorer:
     """A lexicon of toxic features and a logistic model of how many a text has."""
@@ -252,11 +306,13 @@ class Scorer:
     weights: dict[str, float]
     model: np.ndarray
     ordinary: frozenset[str] = frozenset()
-    found: Remembered = field(init=False)
+    known: Remembered = field(init=False)
     hidden: Hidden = field(init=False)
+    heads: set[str] = field(init=False)
 
     def __post_init__(self):
-        self.found, self.hidden = Remembered(self._found), Hidden(self.weights, self.ordinary)
+        self.known, self.hidden = Remembered(self._see, WORDS), Hidden(self.weights, self.ordinary)
+        self.heads = {f[: PREFIXES[0]] for f in self.weights if f.endswith("*")}
 
     def __getstate__(self):
         return self.restorer, self.weights, self.model, self.ordinary
@@ -266,19 +322,36 @@ class Scorer:
         self.__post_init__()
 
     def _weigh(self, words: list[str] | set[str]) -> tuple[tuple[str, float], ...]:
-        best = ((word, max(self.weights.get(f, 0.0) for f in features_of(word))) for word in words)
+        some = (word for word in words if word in self.weights or word[: PREFIXES[0]] in self.heads)
+        best = ((word, max(self.weights.get(f, 0.0) for f in features_of(word))) for word in some)
         return tuple(pair for pair in best if pair[1] > 0)
 
-    def _found(self, word: str) -> tuple[tuple[str, float], ...]:
-        return self._weigh(self.restorer.word(word).split()) or self._weigh(self.hidden.whole(word))
+    def _see(self, word: str) -> Seen | None:
+        core = bare_core(word)
+        if core is None:
+            found = self._weigh(self.restorer.word(word).split()) or self._weigh(self.hidden.whole(word))
+            alone = len(_ALONE.findall(word))
+        elif word != core:
+            # Marks say nothing.
+            return self.known[core]
+        else:
+            found, alone = (), len(core) == 1
+            if not disguised(core):
+                found = self._weigh((core,))
+            elif self.hidden.reachable(core):
+                found = self._weigh(self.restorer.known[core].split()) or self._weigh(self.hidden.whole(core))
+        seen = Seen(bool(self.hidden.starts[word][2]), alone, found)
+        return seen if any(seen) else None
 
     def evidence(self, text: str | None) -> list[float]:
         """One, and how many distinct toxic words there are, what they weigh together, and the heaviest."""
         text = (text or "").lower()
         words = text.split()
-        found = dict(chain.from_iterable(map(self.found.__getitem__, set(words))))
-        found.update(self._weigh(self.restorer.spaced(text)))
-        found.update(self._weigh(self.hidden.joined(words)))
+        some = [(at, seen) for at, seen in enumerate(map(self.known.__getitem__, words)) if seen]
+        found = dict(chain.from_iterable({seen.found for _, seen in some if seen.found}))
+        if _three_alone(some):
+            found.update(self._weigh(self.restorer.spaced(text)))
+        found.update(self._weigh(self.hidden.joined(words, [at for at, seen in some if seen.begins])))
         weights = found.values()
         return [1.0, float(np.log1p(len(weights))), float(np.log1p(sum(weights))), max(weights, default=0.0)]
 
@@ -404,12 +477,9 @@ def train(
 
 def _scores(scorer: Scorer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in smaller_batches(batches, "__text"):
-            found = scorer.score(batch.column("__text").to_pylist())
-            names = [name for name in batch.schema.names if name != "__text"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in names), pa.array(found)], [*names, "score"]
-            )
+        for batch in smaller_batches(batches, -1):
+            found = scorer.score(batch.column(-1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], [*batch.schema.names[:-1], "score"])
 
     return run
 
@@ -417,11 +487,12 @@ def _scores(scorer: Scorer):
 def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
     """``docs`` with the column score, 0 to 1, higher where a toxic label is likelier.
 
-    Whole texts are read; null and empty texts have no evidence. All columns stay, but one named score
-    is replaced. Repeated rows and null ids stay. No rows: no rows.
+    Whole texts are read; null and empty texts have no evidence. All columns stay, whatever their names, but one named
+    score, in any case, is replaced. Repeated rows and null ids stay. No rows: no rows.
     """
-    kept = docs.drop("score").withColumn("__text", F.col(text))
-    return kept.mapInArrow(_scores(scorer), docs.drop("score").schema.add("score", "double"))
+    rows = docs.drop("score")
+    kept = rows.select("*", docs[text].alias(fresh("text", rows.columns)))
+    return kept.mapInArrow(_scores(scorer), rows.schema.add("score", "double"))
 
 
 def restore(docs: DataFrame, restorer: Restorer, text: str = "text") -> DataFrame:
