@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,9 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # A document fails a rule where its condition holds.
 BASE_RULES = {"short": "n_words < 10", "repeats": "100 * n_repeat_words > 20 * n_words"}
 RULES = BASE_RULES | {"symbols": "5 * n_symbols > word_chars", "lines": "2 * n_dup_lines > n_words"}
-# A host is refused if most of its documents fail a rule, by the shrunk rate.
-HOST_LIMIT = 0.5
+# A host is refused if most of its documents fail a rule, by the shrunk rate. It is also refused if a tenth of them do and
+# even the lower bound of its rate, so many standard deviations below, is above this multiple of all hosts' rate.
+HOST_LIMIT, LEAST_RATE, BELOW, TIMES_MEAN = 0.5, 0.1, 2.0, 3.0
 # Documents that the prior weighs at most, where all hosts have the same rate.
 MOST_PRIOR = 10_000.0
 
@@ -57,12 +59,16 @@ def counts(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str =
 
 
 def host_verdicts(judged: DataFrame, rules: list[str], limit: float = HOST_LIMIT) -> DataFrame:
-    """(host, n_docs, rate_RULE..., host_ok): failure rates of each host under each rule, shrunk.
+    """(host, n_docs, rate_RULE..., least_RULE..., host_ok): failure rates of each host under each rule, shrunk, and
+    lower bounds of them.
 
     ``judged`` has the column host and a boolean column per rule. All hosts give a beta prior by the
     method of moments: its mean is the overall rate and its weight ``m (1 - m) / v - 1`` documents, where
-    ``v`` is the variance between hosts (at most ``MOST_PRIOR``, and at least one). A host is not ok if a
-    shrunk rate is above ``limit``. Rows without host are one host. One row a host leaves each task.
+    ``v`` is the variance between hosts beyond what chance gives hosts of one rate (at most ``MOST_PRIOR``, and at least
+    one). The lower bound is ``BELOW`` standard deviations of the posterior below its mean, the shrunk rate. A host is not
+    ok if a shrunk rate is above ``limit``, or if it is ``LEAST_RATE`` at least and its lower bound is above
+    ``TIMES_MEAN`` times the rate of all hosts: hosts are judged against each other, and none is refused where all are
+    alike. Rows without host are one host. One row a host leaves each task.
     """
     fails = [F.sum(F.col(rule).cast("double")).alias(f"fails_{rule}") for rule in rules]
     hosts = judged.groupBy("host").agg(F.count("*").cast("double").alias("n_docs"), *fails)
@@ -70,18 +76,34 @@ def host_verdicts(judged: DataFrame, rules: list[str], limit: float = HOST_LIMIT
     def moments(rule: str) -> list[Column]:
         f, n = F.sum(f"fails_{rule}"), F.sum("n_docs")
         square = F.sum(F.col(f"fails_{rule}") * F.col(f"fails_{rule}") / F.col("n_docs"))
-        return [(f / n).alias(f"mean_{rule}"), (square / n - (f / n) * (f / n)).alias(f"var_{rule}")]
+        chance = (f / n) * (1 - f / n) * (F.count("*") - 1) / n
+        return [(f / n).alias(f"mean_{rule}"), (square / n - (f / n) * (f / n) - chance).alias(f"var_{rule}")]
 
     # One row for all hosts.
     prior = hosts.agg(*(c for rule in rules for c in moments(rule))).first()
 
-    def shrunk(rule: str) -> Column:
+    def weight(rule: str) -> tuple[float, float]:
         mean, variance = prior[f"mean_{rule}"] or 0.0, max(prior[f"var_{rule}"] or 0.0, 1e-12)
-        weight = min(max(mean * (1 - mean) / variance - 1, 1.0), MOST_PRIOR)
-        return ((F.col(f"fails_{rule}") + weight * mean) / (F.col("n_docs") + weight)).alias(f"rate_{rule}")
+        return mean, min(max(mean * (1 - mean) / variance - 1, 1.0), MOST_PRIOR)
 
-    rated = hosts.select("host", F.col("n_docs").cast("long"), *map(shrunk, rules))
-    return rated.withColumn("host_ok", F.greatest(*(F.col(f"rate_{rule}") for rule in rules), F.lit(0.0)) <= limit)
+    def shrunk(rule: str) -> Column:
+        mean, documents = weight(rule)
+        return (F.col(f"fails_{rule}") + documents * mean) / (F.col("n_docs") + documents)
+
+    def least(rule: str) -> Column:
+        rate, documents = F.col(f"rate_{rule}"), weight(rule)[1]
+        return rate - BELOW * F.sqrt(rate * (1 - rate) / (F.col("n_docs") + documents + 1))
+
+    def refused(rule: str) -> Column:
+        rate = F.col(f"rate_{rule}")
+        far = (rate >= LEAST_RATE) & (F.col(f"least_{rule}") > TIMES_MEAN * weight(rule)[0])
+        return (rate > limit) | far
+
+    rated = hosts.withColumns({f"rate_{rule}": shrunk(rule) for rule in rules})
+    rated = rated.withColumns({f"least_{rule}": least(rule) for rule in rules})
+    ok = ~functools.reduce(lambda a, b: a | b, map(refused, rules), F.lit(False))
+    kept = [f"{kind}_{rule}" for kind in ("rate", "least") for rule in rules]
+    return rated.select("host", F.col("n_docs").cast("long"), *kept, ok.alias("host_ok"))
 
 
 def judge(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from latticework.operators.joins import lookup
+from latticework.operators.joins import fresh, lookup
 from latticework.session import materialize
 
 # Hexadecimal digits of the order key that make a bucket: 65,536 buckets a leaf.
@@ -36,7 +37,8 @@ class Level:
 def budgets(leaves: DataFrame, levels: list[Level], budget: int, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """``leaves`` (a column a level, supply) with target: the tokens that each leaf shall give.
 
-    A leaf can give ``max_epochs`` times its supply, an inner node what its leaves can. From the root down,
+    A leaf can give ``max_epochs`` times its supply, an inner node what those of its leaves can that have weight on
+    their whole path. From the root down,
     a node's budget goes to its children by weight; what a child cannot give goes to its siblings by
     their weights, and only what all of them cannot give was never sent down, since the siblings of the node
     took it before. Among children ordered by capacity over weight, the level that fills is
@@ -46,7 +48,10 @@ def budgets(leaves: DataFrame, levels: list[Level], budget: int, max_epochs: int
     Rows here are nodes of the tree, never documents.
     """
     columns = [level.column for level in levels]
-    nodes = leaves.withColumn("capacity", F.col("supply") * max_epochs)
+    # Weights by value are known at the leaves; supplies are never zero here.
+    weighed = [level.weight(F.col("supply")) > 0 for level in levels if level.weights is not None]
+    able = functools.reduce(lambda a, b: a & b, weighed, F.lit(True))
+    nodes = leaves.withColumn("capacity", F.when(able, F.col("supply") * max_epochs).otherwise(F.lit(0)))
     given = None
     for depth, level in enumerate(levels):
         path, parent = columns[: depth + 1], columns[:depth]
@@ -116,18 +121,18 @@ def copies(
 
 
 def mix(docs: DataFrame, levels: list[Level], tokens: str = "n_tokens", id: str = "doc_id", **settings) -> DataFrame:
-    """``docs``, each row as often as ``copies`` says. All columns stay; rows of a document that is in no
-    epoch go."""
+    """``docs``, each row as often as ``copies`` says. All columns stay, whatever their names; rows of a document that
+    is in no epoch go."""
     found = copies(docs, levels, tokens, id, **settings).where("copies > 0")
     columns = [level.column for level in levels]
     # One hash of the key joins along, so that null parts meet and a hot id can be split.
     key = F.sha2(F.concat_ws("|", *(F.coalesce(F.hex(F.col(c).cast("string")), F.lit("-")) for c in [*columns, id])), 256)
-    times = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")
+    named, times, copy = (fresh(name, docs.columns) for name in ("key", "copies", "copy"))
     return (
-        docs.withColumn("__key", key)
-        .join(found.select(key.alias("__key"), F.col("copies").alias("__copies")), "__key")
-        .select(*docs.columns, times)
-        .drop("__copy")
+        docs.withColumn(named, key)
+        .join(found.select(key.alias(named), F.col("copies").alias(times)), named)
+        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))).alias(copy))
+        .drop(copy)
     )
 
 

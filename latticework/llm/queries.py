@@ -131,11 +131,16 @@ def op10_token_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 _HOST_RULES = ("short", "repeats", "symbols", "lines")
 
 
-def _shrunk_sql(rule: str) -> str:
-    mean = f"(sum(f_{rule}) OVER () / sum(n) OVER ())"
-    variance = f"greatest(sum(f_{rule} * f_{rule} / n) OVER () / sum(n) OVER () - {mean} * {mean}, 1e-12)"
-    weight = f"least(greatest({mean} * (1 - {mean}) / {variance} - 1, 1.0), 10000.0)"
-    return f"(f_{rule} + {weight} * {mean}) / (n + {weight})"
+def _prior_sql(rule: str) -> str:
+    mean = f"sum(f_{rule}) / sum(n)"
+    chance = f"{mean} * (1 - {mean}) * (count(*) - 1) / sum(n)"
+    variance = f"greatest(sum(f_{rule} * f_{rule} / n) / sum(n) - {mean} * {mean} - {chance}, 1e-12)"
+    return f"{mean} AS m_{rule}, least(greatest({mean} * (1 - {mean}) / {variance} - 1, 1.0), 10000.0) AS w_{rule}"
+
+
+def _refused_sql(rule: str) -> str:
+    bound = f"r_{rule} - 2 * sqrt(r_{rule} * (1 - r_{rule}) / (n + w_{rule} + 1))"
+    return f"(r_{rule} > 0.5 OR r_{rule} >= 0.1 AND {bound} > 3 * m_{rule})"
 
 
 @query(
@@ -170,8 +175,12 @@ def _shrunk_sql(rule: str) -> str:
       SELECT source, CAST(count(*) AS DOUBLE) AS n,
         {", ".join(f"CAST(sum(CAST({r} AS INT)) AS DOUBLE) AS f_{r}" for r in _HOST_RULES)}
       FROM judged GROUP BY source
+    ), prior AS (
+      SELECT {", ".join(map(_prior_sql, _HOST_RULES))} FROM hosts
+    ), rates AS (
+      SELECT *, {", ".join(f"(f_{r} + w_{r} * m_{r}) / (n + w_{r}) AS r_{r}" for r in _HOST_RULES)} FROM hosts, prior
     ), verdicts AS (
-      SELECT source, greatest({", ".join(_shrunk_sql(r) for r in _HOST_RULES)}) <= 0.5 AS host_ok FROM hosts
+      SELECT source, NOT ({" OR ".join(map(_refused_sql, _HOST_RULES))}) AS host_ok FROM rates
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
       short OR repeats AS base_failed, NOT (short OR repeats) AND host_ok AS kept
@@ -261,6 +270,9 @@ def _weight_sql(level: mixing.Level) -> str:
     return f"CASE {cases} ELSE CAST({level.default} AS DOUBLE) END"
 
 
+_ABLE_SQL = " AND ".join(f"{_weight_sql(level)} > 0" for level in MIXTURE if level.weights is not None)
+
+
 def _level_sql(depth: int) -> str:
     path = [level.column for level in MIXTURE[: depth + 1]]
     parent, column, upper = path[:-1], path[-1], f"level{depth - 1}"
@@ -269,7 +281,8 @@ def _level_sql(depth: int) -> str:
     order = f"{by} ORDER BY capacity / weight, {column} NULLS FIRST"
     return f"""
     nodes{depth} AS (
-      SELECT {', '.join(path)}, sum(supply) AS supply, sum(supply) * {mixing.MAX_EPOCHS} AS capacity,
+      SELECT {', '.join(path)}, sum(supply) AS supply,
+        sum(CASE WHEN {_ABLE_SQL} THEN supply ELSE 0 END) * {mixing.MAX_EPOCHS} AS capacity,
         {_weight_sql(MIXTURE[depth])} AS weight
       FROM leaves WHERE supply > 0 GROUP BY {', '.join(path)}
     ), given{depth} AS (

@@ -50,15 +50,28 @@ def test_rates_are_shrunk_towards_all_hosts(spark):
     n = len(judged)
     mean = sum(f for _, f in judged) / n
     fails, size = Counter(h for h, f in judged if f), Counter(h for h, _ in judged)
-    variance = sum(size[h] * (fails[h] / size[h] - mean) ** 2 for h in size) / n
+    variance = sum(size[h] * (fails[h] / size[h] - mean) ** 2 for h in size) / n - mean * (1 - mean) * (len(size) - 1) / n
     weight = max(mean * (1 - mean) / variance - 1, 1.0)
     for h, r in by_host.items():
         assert r.rate_rule == pytest.approx((fails[h] + weight * mean) / (size[h] + weight))
-        assert r.host_ok == (r.rate_rule <= 0.5)
+        rate = r.rate_rule
+        assert r.least_rule == pytest.approx(rate - 2 * (rate * (1 - rate) / (size[h] + weight + 1)) ** 0.5)
+        assert r.host_ok == (not (rate > 0.5 or rate >= 0.1 and r.least_rule > 3 * mean))
     assert mean < by_host["tiny"].rate_rule < 1
     assert not by_host["bad"].host_ok and by_host["big"].host_ok
 
 
+def test_hosts_are_judged_against_each_other(spark):
+    judged = [(f"h{h}", k < 2) for h in range(30) for k in range(100)] + [("far", k < 30) for k in range(100)]
+    judged += [("small", True), ("small", False)]
+    found = host_rules.host_verdicts(spark.createDataFrame(judged, "host string, rule boolean"), ["rule"]).collect()
+    # Half of the documents of two are no evidence; three tenths of a hundred are, where others have a fiftieth.
+    assert [r.host for r in found if not r.host_ok] == ["far"]
+    alike = [(f"h{h}", k < 30) for h in range(30) for k in range(100)]
+    found = host_rules.host_verdicts(spark.createDataFrame(alike, "host string, rule boolean"), ["rule"]).collect()
+    assert all(r.host_ok for r in found)
+
+
 def test_documents_of_a_bad_host_go(spark):
     good = " ".join(f"w{i}" for i in range(30))
     data = [(i, good, "good") for i in range(50)] + [(100 + i, "x", "bad") for i in range(50)] + [(200, good, "bad")]

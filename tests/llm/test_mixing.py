@@ -82,8 +82,18 @@ def test_shortages_go_to_siblings_first(spark):
     assert target == {("a", "x"): 10, ("a", "y"): 998, ("b", "x"): 1000}
 
 
+def test_leaves_without_weight_are_no_capacity(spark):
+    rows = [("a", "en", 100), ("a", "xx", 900), ("b", "en", 1000)]
+    leaves = spark.createDataFrame(rows, "domain string, lang string, supply long")
+    levels = [Level("domain", {"a": 0.5, "b": 0.5}), Level("lang", {"en": 1.0})]
+    target = {(r.domain, r.lang): r.target for r in mixing.budgets(leaves, levels, 2000, 4).collect()}
+    assert target == {("a", "en"): 400, ("b", "en"): 1600}
+    levels = [Level("domain", {"a": 0.5, "b": 0.5}), Level("lang", {"yy": 1.0})]
+    assert mixing.budgets(leaves, levels, 2000, 4).collect() == []
+
+
 def test_rows_are_repeated_with_all_columns(spark):
-    docs = spark.createDataFrame(ROWS, SCHEMA).withColumn("copies", F.lit("clash"))
+    docs = spark.createDataFrame(ROWS, SCHEMA).withColumns({c: F.lit("clash") for c in ("copies", "__key", "key", "Copy")})
     levels = [Level("lang", {"en": 1.0, "de": 1.0}), Level("source")]
     want = {(r.lang, r.source, r.doc_id): r.copies for r in mixing.copies(docs, levels, budget=1.2).collect()}
     mixed = mixing.mix(docs, levels, budget=1.2)
