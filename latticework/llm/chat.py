@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticework.operators.joins import fresh
+
 # Template: TURN role TEXT content END, turn after turn. No escaped text holds a control string.
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 # Starts of control strings, of this template and of others that models know.
@@ -61,8 +63,9 @@ def flatten(turns: DataFrame, parts: str = "parts") -> DataFrame:
     Parts are visited in order. A text part adds its escaped text (null: none), an attachment the placeholder of
     its kind; attachments lists (type, ref, tokens, place), place being the number of the placeholder in its
     turn, and expanded_tokens sums their tokens. A null array has no parts; null parts, and parts of a type
-    that is none of the four, add nothing.
+    that is none of the four, add nothing. Columns of these three names are replaced, others stay whatever their names.
     """
+    name = fresh("known", [*turns.columns, "content", "attachments", "expanded_tokens"])
     known = F.filter(
         F.coalesce(F.col(parts), F.array().cast(T.ArrayType(PART))),
         lambda p: F.coalesce(p["type"].isin("text", *PLACEHOLDERS), F.lit(False)),
@@ -74,10 +77,10 @@ def flatten(turns: DataFrame, parts: str = "parts") -> DataFrame:
             written = F.when(part["type"] == kind, F.lit(placeholder)).otherwise(written)
         return written
 
-    attached = F.filter("__known", lambda p: p["type"] != "text")
+    attached = F.filter(name, lambda p: p["type"] != "text")
     return (
-        turns.withColumn("__known", known)
-        .withColumn("content", F.array_join(F.transform("__known", visited), ""))
+        turns.withColumn(name, known)
+        .withColumn("content", F.array_join(F.transform(name, visited), ""))
         .withColumn(
             "attachments",
             F.transform(
@@ -90,7 +93,7 @@ def flatten(turns: DataFrame, parts: str = "parts") -> DataFrame:
         .withColumn(
             "expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a["tokens"])
         )
-        .drop("__known", parts)
+        .drop(name, parts)
     )
 
 

@@ -19,6 +19,7 @@ from latticework.llm.text import (
     smaller_batches,
     word_hashes,
 )
+from latticework.operators.joins import fresh
 
 FEATURES = (
     "log_words", "log_chars", "word_length", "word_spread", "letters", "capitals", "digits", "spaces", "symbols",
@@ -159,7 +160,8 @@ def held_out(id: str = "doc_id") -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str, sample: int) -> DataFrame:
     """(id, label, text) of at most ``sample`` labelled rows, none held out, by the order of a hash of their id.
 
-    Labels that are null are left out; of several labels of one id the majority counts, 1 on a tie.
+    Labels that are null are left out; of several labels of one id the majority counts, 1 on a tie. Of several
+    texts of one id the least one trains.
     """
     chosen = (
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull() & ~held_out(id))
@@ -168,11 +170,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, id: str, text:
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(sample)
     )
-    # At most ``sample`` rows of two numbers. Of repeated documents one trains.
+    # At most ``sample`` rows of two numbers.
     rows = docs.select(F.col(id).cast("long").alias("__id"), F.col(text).alias("text"))
-    return rows.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"]).select(
-        F.col("__id").alias("id"), "label", "text"
-    )
+    return rows.join(F.broadcast(chosen), "__id").groupBy(F.col("__id").alias("id"), "label").agg(F.min("text").alias("text"))
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,11 +199,9 @@ def train(
 
 def _scores(model: Trees):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in smaller_batches(batches, "__text"):
-            found = model.probability(table_of(as_bytes(batch.column("__text"))))
-            columns = [c for name, c in zip(batch.schema.names, batch.columns) if name != "__text"]
-            names = [name for name in batch.schema.names if name != "__text"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], [*names, "score"])
+        for batch in smaller_batches(batches, -1):
+            found = model.probability(table_of(as_bytes(batch.column(-1))))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], [*batch.schema.names[:-1], "score"])
 
     return run
 
@@ -212,8 +210,9 @@ def score(docs: DataFrame, model: Trees, text: str = "text") -> DataFrame:
     """``docs`` with the column score, 0 to 1, higher where label 1 is likelier.
 
     Each task reads whole texts and walks all trees at once in arrays. Null and empty texts are scored as a
-    text without words. All columns stay, but one named score is replaced. No rows: no rows.
+    text without words. All columns stay, whatever their names, but one named score, in any case, is replaced. No
+    rows: no rows.
     """
-    kept = docs.drop("score").withColumn("__text", F.col(text))
-    schema = docs.drop("score").schema.add("score", "double")
-    return kept.mapInArrow(_scores(model), schema)
+    rows = docs.drop("score")
+    kept = rows.select("*", docs[text].alias(fresh("text", rows.columns)))
+    return kept.mapInArrow(_scores(model), rows.schema.add("score", "double"))

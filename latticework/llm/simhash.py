@@ -212,7 +212,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", dis
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: that of the smallest id.
 
-    All columns stay. Of repeated rows with one id one stays. Rows without id all stay.
+    All columns stay. Of rows with the same id and text one stays; different texts under the id that is kept all stay,
+    since the id does not tell which is meant. Rows without id all stay.
     """
     keepers = (
         near_duplicates(docs, id, text, distance)
@@ -220,5 +221,5 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", distance:
         .select(F.col("id").alias(id))
         .distinct()
     )
-    kept = docs.join(keepers, id, "left_semi").dropDuplicates([id])
+    kept = docs.join(keepers, id, "left_semi").dropDuplicates([id, text])
     return kept.unionByName(docs.where(F.col(id).isNull()))

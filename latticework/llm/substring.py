@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from latticework.llm.text import Windows, as_bytes, block_number, count_blocks, covered, hasher, parts, word_hashes
+from latticework.operators.joins import fresh
 
 # For any two positions some shift below PERIOD brings both into COVER modulo PERIOD: the differences of
 # these six numbers are all residues of 31.
@@ -30,16 +31,19 @@ class _Block:
         self.words = np.concatenate(each) if each else np.empty(0, np.uint64)
         ids = docs.column(id)
         named = np.asarray(ids.is_valid())
-        # A document without id is neither cut nor evidence.
-        self.ids = np.repeat(np.asarray(ids.fill_null(0)).astype(np.int64), self.sizes)
-        self.named = np.repeat(named, self.sizes)
-        starts = np.cumsum(self.sizes) - self.sizes
-        self.at = np.arange(len(self.words)) - np.repeat(starts, self.sizes)
-        self.left = np.repeat(self.sizes, self.sizes) - self.at
+        self.doc_ids = np.asarray(ids.fill_null(0)).astype(np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.at = np.arange(len(self.words), dtype=np.int32) - np.repeat((self.ends - self.sizes).astype(np.int32), self.sizes)
+        # Words from here to the end; a document without id is neither cut nor evidence.
+        self.left = np.repeat(np.where(named, self.sizes, 0).astype(np.int32), self.sizes) - self.at
 
     def starts(self, width: int) -> np.ndarray:
         """Whether a window of ``width`` words of one document starts here."""
-        return (self.left >= width) & self.named
+        return self.left >= width
+
+    def ids(self, at: np.ndarray) -> np.ndarray:
+        """The documents of the words at ``at``."""
+        return self.doc_ids[np.searchsorted(self.ends, at, side="right")]
 
     def anchors(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the windows of ``width`` words at cover positions."""
@@ -61,9 +65,10 @@ def _anchor_rows(id: str, text: str, width: int):
     def run(key, docs):
         block = _Block(docs, id, text)
         at, hashes = block.anchors(width)
-        ids = block.ids[at]
+        ids = block.ids(at)
         order = np.argsort(hashes, kind="stable")
         hashes, ids = hashes[order], ids[order]
+        del block, order
         firsts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
         several = np.zeros(0, np.int64)
         if len(firsts):
@@ -83,7 +88,8 @@ def _window_rows(id: str, text: str, window: int, width: int):
         np.add.at(steps, hit + 1, -1)
         near = np.flatnonzero((np.cumsum(steps[:-1]) > 0) & block.starts(window))
         one, two = block.windows(window, near)
-        ids = block.ids[near]
+        ids = block.ids(near)
+        del block, steps
         order = np.lexsort((two, one))
         one, two, ids = one[order], two[order], ids[order]
         new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(one)]
@@ -118,7 +124,7 @@ def _repeated(block: _Block, window: int, verdicts: pa.Table) -> np.ndarray:
             inside[inside] = one[place[inside]] == first[inside]
             at, first, second, place = (x[inside] for x in (at, first, second, place))
             same = two[place] == second
-            found.append(at[same][least[place[same]] < block.ids[at[same]]])
+            found.append(at[same][least[place[same]] < block.ids(at[same])])
             place = place + 1
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
@@ -162,13 +168,13 @@ def remove_repeats(
 
     ``kept_text`` joins what stays by one space; a null or empty text keeps the empty text. Rows without
     id lose nothing and prove nothing. Repeated rows of one id do not remove each other. Other columns
-    stay; those named n_words, n_removed or kept_text are replaced. No rows: no rows.
+    stay, whatever their names; those named n_words, n_removed or kept_text, in any case, are replaced. No rows: no rows.
     """
     width = window - PERIOD + 1
     if width < 1:
         raise ValueError(f"windows need {PERIOD} words at least")
-    block = "__block"
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
+    names = [c for c in docs.columns if c.lower() not in ("n_words", "n_removed", "kept_text")]
+    block = fresh("block", names)
     n_blocks = count_blocks(docs, text, block_bytes)
     blocked = docs.select(*names).withColumn(id, F.col(id).cast("long"))
     # Rows without id, however many, are spread by their text.

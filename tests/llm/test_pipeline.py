@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -68,6 +69,17 @@ def test_pipeline_matches_brute_force(spark):
         assert (held == n).all()
 
 
+def test_other_columns_go_along(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["score", "N_Words", "kept_text", "n_removed", "domain", "n_tokens", "__text", "key"]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide = docs.select("*", *(F.concat(F.lit(f"{n}:"), "doc_id").alias(n) for n in names))
+        result = stage(spark, wide, SF)
+        assert result.columns == wide.columns
+        rows = result.collect()
+        assert rows and all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
+
+
 def test_stages_keep_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_filter", "near_dedup", "substring_dedup", "mix", "pack"]

@@ -63,6 +63,13 @@ def test_other_columns_and_no_rows(spark):
     assert substring.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_names_in_any_case_and_of_the_block(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x", "y")], SCHEMA + ", N_Words int, __block string, block string")
+    got = substring.remove_repeats(docs)
+    assert got.columns == ["doc_id", "text", "__block", "block", "n_words", "n_removed", "kept_text"]
+    assert tuple(got.first()) == (1, "a b", "x", "y", 2, 0, "a b")
+
+
 def test_very_long_text(spark):
     rng = random.Random(4)
     text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(300_000))
