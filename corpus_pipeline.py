@@ -1,4 +1,7 @@
-"""A training corpus from documents: filtered, deduplicated, mixed and packed, stage by stage."""
+"""A training corpus from documents: filtered, deduplicated, mixed and packed, stage by stage.
+
+Columns beside those of documents go along to the last stage, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +10,25 @@ from pyspark.sql import functions as F
 
 from latticework.llm import mixing, packing, quality, simhash, substring
 from latticework.llm.queries import BUDGET, MIXTURE, PACKED_END, ship, table, vocabulary
+from latticework.operators.joins import fresh
 from latticework.session import materialize
 
 # Documents below this score are rejected.
 LEAST_QUALITY = 0.7
 
 
+def aside(docs: DataFrame, *made: str) -> DataFrame:
+    """``docs`` with columns out of the way that a stage makes under the same name, in any case."""
+    taken = [*docs.columns, *made]
+    return docs.withColumnsRenamed({c: fresh(c, taken) for c in docs.columns if c.lower() in made})
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     ship(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).where(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+    rows = aside(docs, "score")
+    return quality.score(rows, model).where(F.col("score") >= LEAST_QUALITY).select(*rows.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,17 +40,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that start in a document of a smaller id go, and documents of which nothing is left."""
     ship(spark)
-    found = substring.remove_repeats(docs).where("n_removed = 0 OR n_removed < n_words")
+    rows = aside(docs, "n_words", "n_removed", "kept_text")
+    found = substring.remove_repeats(rows).where("n_removed = 0 OR n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("text", text).withColumn("n_chars", chars).select(*docs.columns)
+    return found.withColumn("text", text).withColumn("n_chars", chars).select(*rows.columns).toDF(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their domain, language and source ask for."""
     ship(spark)
-    sized = docs.withColumn("domain", mixing.number_domain()).withColumn("n_tokens", mixing.word_tokens())
-    return mixing.mix(sized, MIXTURE, budget=BUDGET).select(*docs.columns)
+    rows = aside(docs, "domain", "n_tokens")
+    sized = rows.withColumn("domain", mixing.number_domain()).withColumn("n_tokens", mixing.word_tokens())
+    return mixing.mix(sized, MIXTURE, budget=BUDGET).select(*rows.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
