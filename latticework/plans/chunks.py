@@ -15,6 +15,8 @@ CHUNK = 1_000
 # Send time of the streamed messages, and a time past the watermark delay.
 SENT_AT = "2024-01-01 00:00:00"
 END_AT = "2024-01-01 02:00:00"
+# A day after the streamed messages.
+LATER = "2024-01-02 00:00:00"
 
 
 def _split(spark, sf_dir, unit="chars"):
@@ -66,7 +68,41 @@ def stream_reassemble(spark, sf_dir):
     return whole.select(F.col("msg_id").alias("doc_id"), "n_seen", F.col("value").alias("text"))
 
 
+def _assembled(spark, sf_dir):
+    """Messages in three deliveries: first all but some last chunks, with each first chunk twice; then, within the
+    delay, the last chunks of two messages of five and whole messages again; and a day later one more
+    chunk, which ends the open messages, and what was missing, too late."""
+    path = scratch_dir(spark, "assembly-files")
+    parts = _split(spark, sf_dir)
+    schema = parts.withColumn("sent_at", F.lit(SENT_AT).cast("timestamp")).schema
+    assembly = streams.Assembly(spark, scratch_dir(spark, "assembly"), schema)
+    late = "msg_id % 5 IN (1, 3, 4) AND key = n_chunks"
+    again = parts.where("msg_id % 5 IN (1, 3) AND key = n_chunks").unionByName(parts.where("msg_id % 10 = 0"))
+    mark = parts.where("msg_id % 5 = 4 AND key = n_chunks").limit(0).unionByName(
+        spark.sql("SELECT -1L AS msg_id, 1 AS n_chunks, 1 AS key, 'later' AS chunk")
+    )
+    first = parts.where(f"NOT ({late})").unionByName(parts.where("key = 1 AND n_chunks > 1"))
+    lost = parts.where("msg_id % 5 = 4 AND key = n_chunks")
+    for rows, sent_at in ((first, SENT_AT), (again, SENT_AT), (mark, LATER), (lost, SENT_AT)):
+        streams.write_chunks(rows, path, sent_at)
+        assembly.run(streams.stream_chunks(spark, path, schema, files_per_batch=8))
+    return assembly
+
+
+def stream_messages(spark, sf_dir):
+    """Each message once, in the batch that completes it or ends its time."""
+    messages = _assembled(spark, sf_dir).messages()
+    return messages.select(F.col("msg_id").alias("doc_id"), "n_seen", F.col("value").alias("text"))
+
+
+def stream_chunk_account(spark, sf_dir):
+    """Chunks that came in, and how many were used, repeated, stray and late."""
+    return _assembled(spark, sf_dir).account()
+
+
 QUERIES = {
+    "stream_messages": stream_messages,
+    "stream_chunk_account": stream_chunk_account,
     "chunk_split": chunk_split,
     "chunk_split_bytes": chunk_split_bytes,
     "chunk_reassemble": chunk_reassemble,
@@ -83,7 +119,20 @@ _DOCUMENTS = f"""SELECT doc_id,
 FROM (SELECT doc_id, text, greatest(1, (length(text) + {CHUNK - 1}) // {CHUNK}) AS n FROM documents)
 WHERE n > 1 OR doc_id % 5 <> 4 OR doc_id % 7 = 3 OR doc_id % 11 = 5"""
 
+_SIZES = f"""SELECT doc_id, text, greatest(1, (length(text) + {CHUNK - 1}) // {CHUNK}) AS n FROM documents"""
+
 ORACLES = {
+    # Messages that lost their only chunk never arrive in time.
+    "stream_messages": f"""SELECT doc_id, CAST(CASE WHEN doc_id % 5 = 4 THEN n - 1 ELSE n END AS INTEGER) AS n_seen,
+  CASE WHEN doc_id % 5 <> 4 THEN text END AS text
+FROM ({_SIZES}) WHERE doc_id % 5 <> 4 OR n > 1
+UNION ALL SELECT -1, 1, 'later'""",
+    "stream_chunk_account": f"""WITH sizes AS ({_SIZES}), counts AS (
+  SELECT sum(n) AS parts, count(*) FILTER (n > 1) AS firsts, count(*) FILTER (doc_id % 5 = 4) AS lost,
+    coalesce(sum(n) FILTER (doc_id % 10 = 0), 0) AS again FROM sizes)
+SELECT CAST(parts + firsts + again + 1 AS BIGINT) AS n_in, CAST(parts - lost + 1 AS BIGINT) AS n_used,
+  CAST(firsts + again AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_stray, CAST(lost AS BIGINT) AS n_late
+FROM counts""",
     "chunk_split": f"""SELECT msg_id, n_chunks, CAST(k AS INTEGER) AS key,
        substring(text, (k - 1) * {CHUNK} + 1, {CHUNK}) AS chunk
 FROM (SELECT doc_id AS msg_id, text,

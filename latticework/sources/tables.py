@@ -6,10 +6,13 @@ from collections import Counter
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticework.operators.joins import lookup
+from latticework.session import materialize
+
 # Fixed value: field separator of the table files.
 TABLE_SEPARATOR = ";"
 
@@ -26,7 +29,7 @@ TABLE_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
-_READ_OPTIONS = TABLE_OPTIONS | {"multiLine": True, "nullValue": "\u0000", "emptyValue": ""}
+_READ_OPTIONS = TABLE_OPTIONS | {"nullValue": "\u0000", "emptyValue": ""}
 _WRITE_OPTIONS = TABLE_OPTIONS | {"nullValue": "", "emptyValue": '""'}
 
 
@@ -71,26 +74,110 @@ def read_tables(
 
     Header names; types are inferred from all rows, which costs one pass per table,
     unless ``schemas`` names the type of a table. Line breaks, quotes, blanks and empty texts inside
-    fields are read as :func:`write_table` writes them, so one file is one task; with
-    ``multiLine=False`` files are split, and no field may hold a line break.
+    fields are read as :func:`write_table` writes them.
+
+    Files are split, whatever they hold: a pass over the quotes tells whether any line ends inside a field. If
+    none does, the lines are the records; else :func:`records` finds these, and they are stored once. With
+    ``multiLine=False`` there is no such pass, and no field may hold a line break; with ``multiLine=True`` a file is one task.
     """
     paths = list_tables(spark, source) if isinstance(source, str) else dict(source)
 
     def read(name: str) -> DataFrame:
         reader = spark.read.options(sep=sep, **_READ_OPTIONS | options)
         schema = (schemas or {}).get(name)
-        reader = reader.schema(schema) if schema is not None else reader.options(inferSchema=True)
-        return reader.csv(paths[name])
+        typed = reader.schema(schema) if schema is not None else reader.options(inferSchema=True)
+        found = None if "multiLine" in options else records(spark, paths[name])
+        if found is None:
+            return typed.csv(paths[name])
+        found = materialize(found, "table-records")
+        # The first record of a file names the columns.
+        first = found.where("first").orderBy("file").select("value").limit(1)
+        names = schema.fieldNames() if schema is not None else _parsed(reader, first).columns
+        return _parsed(typed.option("header", False), found.where("NOT first").select("value")).toDF(*names)
 
     # Inference runs a job per table; small tables share the cluster meanwhile.
     with ThreadPoolExecutor(_PARALLEL_READS) as pool:
         return dict(zip(paths, pool.map(read, paths)))
 
 
+def _parsed(reader, values: DataFrame) -> DataFrame:
+    """Records, each a text of one column, as ``reader`` reads the lines of a file."""
+    spark = values.sparkSession
+    texts = getattr(values._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(reader._jreader.csv(texts), spark)
+
+
+def records(spark: SparkSession, path: str, quote: str = TABLE_OPTIONS["quote"]) -> DataFrame | None:
+    """(file, first, value): the records of the files at ``path``, which may go on over lines inside quotes.
+
+    None if no line has an odd number of quotes, so that lines are records. ``first`` marks the
+    first record of a file. Quotes inside quotes are doubled, so whether a line starts inside a field is the parity of all
+    quotes before it in its file. Quotes are summed by file split; a running sum over the splits, one
+    row each, gives the parity where a split begins; inside a split lines are numbered in their order. A record that
+    goes on in the next split is put together from one piece a split. No task holds more than a split
+    and one record.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    splits = materialize(
+        lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"), F.max(quotes % 2).alias("some")),
+        "table-splits",
+    )
+    if not splits.agg(F.max("some")).first()[0]:
+        return None
+    of_file = Window.partitionBy("file").orderBy("block")
+    before = F.coalesce(F.sum("odd").over(of_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    borders = splits.select("file", "block", before.alias("inside"), ((before + F.col("odd")) % 2).alias("goes_on"))
+
+    split = Window.partitionBy("file", "block")
+    ordered = split.orderBy("pos")
+    earlier = F.coalesce(F.sum(quotes).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = ((F.col("inside") + earlier) % 2 == 0).cast("long")
+    placed = lookup(lines, borders, ["file", "block"], "inner").withColumn("starts", starts)
+    placed = placed.withColumn("number", F.sum("starts").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def joined(entries: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(entries), lambda e: e["value"]), "\n")
+
+    pieces = placed.groupBy("file", "block", "number", "goes_on").agg(
+        F.collect_list(F.struct("pos", "value")).alias("entries")
+    )
+    last = F.max("number").over(split)
+    pieces = materialize(
+        pieces.select(
+            "file", "block", "number", joined("entries").alias("value"),
+            ((F.col("number") == 0) | (F.col("goes_on") == 1) & (F.col("number") == last)).alias("cut"),
+        ),
+        "table-pieces",
+    )
+    # Two pieces a split at most; a record begins with a piece that has a number.
+    chain = F.sum((F.col("number") > 0).cast("long")).over(of_file.orderBy("block", "number"))
+    stitched = (
+        pieces.where("cut")
+        .select("file", F.struct("block", "number", "value").alias("piece"), chain.alias("chain"))
+        .groupBy("file", "chain")
+        .agg(F.array_sort(F.collect_list("piece")).alias("entries"))
+        .select(
+            "file",
+            F.array_join(F.transform("entries", lambda e: e["value"]), "\n").alias("value"),
+            ((F.col("entries")[0]["block"] == 0) & (F.col("entries")[0]["number"] == 1)).alias("first"),
+        )
+    )
+    whole = pieces.where("NOT cut").withColumn("first", (F.col("block") == 0) & (F.col("number") == 1))
+    found = whole.select("file", "first", "value").unionByName(stitched)
+    # A record may end with the line break of another system.
+    return found.withColumn("value", F.regexp_replace("value", "\r$", ""))
+
+
 def write_table(df: DataFrame, path: str, sep: str = TABLE_SEPARATOR, **options) -> None:
     """Write a table in the form :func:`read_tables` reads, nested columns as JSON and binary ones as hex.
 
-    One file a task, each of ``ROWS_PER_FILE`` rows at most, since a reader takes a file whole.
+    One file a task, each of ``ROWS_PER_FILE`` rows at most.
     """
     df.select(*(_as_field(f) for f in df.schema.fields)).write.options(
         sep=sep, maxRecordsPerFile=ROWS_PER_FILE, **_WRITE_OPTIONS | options

@@ -125,3 +125,51 @@ def test_conflicts_gaps_and_extra_chunks_are_not_complete(spark):
     got = {r["msg_id"]: (r["n_seen"], r["value"]) for r in run_available(stream, "test-conflicts-out").collect()}
     del want[7]
     assert got == want
+
+
+def test_messages_are_handed_on_when_complete(spark):
+    schema = "msg_id int, n_chunks int, sent_at timestamp, key int, chunk string"
+    day, next_day = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+
+    def batch(rows):
+        texts = spark.createDataFrame(rows, schema.replace("timestamp", "string"))
+        return texts.withColumn("sent_at", F.col("sent_at").cast("timestamp"))
+
+    assembly = streams.Assembly(spark, scratch_dir(spark, "test-assembly"), batch([(1, 1, day, 1, "")]).schema)
+    assert assembly.messages().collect() == [] and tuple(assembly.account().first()) == (0, 0, 0, 0, 0)
+    batches = [
+        # One message complete, one open, one with an empty chunk; a replay, a key without a place and nulls.
+        [(1, 2, day, 2, "b"), (1, 2, day, 1, "a"), (1, 2, day, 1, "a"), (2, 2, day, 1, "c"), (3, 1, day, 1, ""), (4, 3, day, 1, "x"),
+         (4, 3, day, 4, "?"), (None, 1, day, 1, "n"), (5, 1, None, 1, "n"), (5, 1, day, None, "n")],
+        # The open one is completed; a replay of an ended message, another content of a known key.
+        [(2, 2, day, 2, "d"), (1, 2, day, 2, "b"), (4, 3, day, 1, "y")],
+        [],
+        # A day later the open message ends, and what is sent of the old time is late.
+        [(6, 1, next_day, 1, "z")],
+        [(4, 3, day, 2, "x"), (1, 2, day, 1, "a")],
+    ]
+    seen = []
+    for number, rows in enumerate(batches):
+        # A batch that is repeated after a failure changes nothing.
+        for _ in range(2):
+            assembly.add(batch(rows), number)
+        seen.append(sorted((r.msg_id, r.n_chunks, r.n_seen, r.value) for r in assembly.table("messages", number).collect()))
+    assert seen == [[(1, 2, 2, "ab"), (3, 1, 1, "")], [(2, 2, 2, "cd")], [], [(4, 3, 1, None), (6, 1, 1, "z")], []]
+    assert assembly.messages().count() == 5
+    assert tuple(assembly.account().first()) == (16, 7, 3, 4, 2)
+    assert assembly.table("open", 4).count() == 0 and assembly.table("ended", 4).count() == 1
+
+
+def test_assembly_goes_on_where_a_run_ended(spark, messages):
+    path = scratch_dir(spark, "test-runs")
+    parts = ops.split(messages, "msg", "body", 4, "bytes")
+    schema = parts.withColumn("sent_at", F.lit("2024-01-01").cast("timestamp")).schema
+    where = scratch_dir(spark, "test-runs-state")
+    for rows in (parts.where("key < n_chunks"), parts):
+        streams.write_chunks(rows, path, "2024-01-01 00:00:00")
+        streams.Assembly(spark, where, schema).run(streams.stream_chunks(spark, path, schema, files_per_batch=3))
+    assembly = streams.Assembly(spark, where, schema)
+    got = {r.msg_id: bytes(r.value).decode() for r in assembly.messages().collect()}
+    assert got == dict(enumerate(TEXTS)) and assembly.messages().count() == len(TEXTS)
+    n, again = parts.count(), parts.where("key < n_chunks").count()
+    assert tuple(assembly.account().first()) == (n + again, n, again, 0, 0)

@@ -1,3 +1,4 @@
+import random
 import pytest
 from conftest import row_set
 from pyspark.sql import functions as F
@@ -38,6 +39,30 @@ def test_tables_come_back_as_written(spark, tmp_path):
     assert row_set(got) == row_set(want)
 
 
+def test_a_file_is_split_between_and_inside_its_records(spark, tmp_path):
+    rng = random.Random(1)
+    texts = ["a", "x\ny", 'q"q', ' "lead', ";\n\n;", "\r\n", "", None, "é\n" * 20, '"\n"']
+    rows = [(i, "\n" * rng.randrange(6000) if rng.random() < 0.01 else rng.choice(texts), rng.random()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, text string, v double").coalesce(1)
+    tables.write_table(df, f"{tmp_path}/in/many.csv")
+    tables.write_table(df.select("id", "v"), f"{tmp_path}/in/plain.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(f"{tmp_path}/in/many.csv").select("_metadata.file_block_start").distinct().count() > 20
+        got = tables.read_tables(spark, f"{tmp_path}/in")
+        assert got["many"].schema == df.schema
+        assert sorted(map(tuple, got["many"].collect())) == rows
+        # Without line breaks in fields a file is read in splits as it is.
+        assert tables.records(spark, f"{tmp_path}/in/plain.csv") is None
+        assert got["plain"].rdd.getNumPartitions() > 5
+        assert sorted(map(tuple, got["plain"].collect())) == [(i, v) for i, _, v in rows]
+        # A record over many splits, alone and after another.
+        tables.write_table(spark.createDataFrame([(1, "x"), (2, "\n" * 30_000)], "id int, text string").coalesce(1), f"{tmp_path}/long")
+        assert sorted(tables.read_tables(spark, {"t": f"{tmp_path}/long"})["t"].collect()) == [(1, "x"), (2, "\n" * 30_000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_tables_of_one_name_are_an_error(spark, tmp_path):
     lines(tmp_path / "tmp" / "tmp", "t.csv", ["k", "1"])
     assert list(tables.list_tables(spark, str(tmp_path / "tmp" / "tmp"))) == ["t"]
