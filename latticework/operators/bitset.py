@@ -16,6 +16,7 @@ from latticework.functions.arrays import each
 from latticework.functions import bits
 from latticework.functions.hashing import HASH_SEED
 from latticework.operators.joins import lookup
+from latticework.session import materialize
 
 KEYS = ["set_id", "word_ix"]
 
@@ -305,16 +306,53 @@ def signatures(words: DataFrame) -> DataFrame:
     )
 
 
-def equal_groups(words: DataFrame) -> DataFrame:
+def equal_groups(words: DataFrame, signed: DataFrame | None = None) -> DataFrame:
     """``(set_id, leader, n_sets)``: sets of equal content share the smallest ``set_id``.
 
-    Equality is decided on the signature of the whole content, without comparing pairs.
+    Sets of one signature (``signed``, by default :func:`signatures`) are compared word by word: their words are
+    aligned by group and place in one aggregation, and a group is one if each place has a word of every set,
+    all the same. In a group that is not, each set is compared with the smallest, and those that differ are grouped anew
+    among themselves, so two sets that only share a signature stay apart. No pairs are formed.
     """
-    signed = signatures(words)
-    groups = signed.groupBy("signature").agg(
-        F.min("set_id").alias("leader"), F.count(F.lit(1)).alias("n_sets")
-    )
-    return lookup(signed, groups, ["signature"], "inner").select("set_id", "leader", "n_sets")
+    words = words.where(F.col("word") != 0).select("set_id", "word_ix", "word")
+    left = signatures(words) if signed is None else signed
+    found = None
+    while True:
+        leaders = left.groupBy("signature").agg(F.min("set_id").alias("leader"), F.count("*").alias("n_sets"))
+        led = materialize(lookup(left, leaders, ["signature"], "inner"), "set-leaders")
+        aligned = (
+            lookup(words, led.where("n_sets > 1").select("set_id", "leader", "n_sets"), ["set_id"], "inner")
+            .groupBy("leader", "n_sets", "word_ix")
+            .agg(F.count("*").alias("n"), F.min("word").alias("least"), F.max("word").alias("most"))
+        )
+        mixed = aligned.where("n != n_sets OR least != most").select("leader").distinct()
+        mixed = materialize(mixed.withColumn("mixed", F.lit(True)), "set-mixed")
+        members = lookup(led.where("set_id != leader"), mixed, ["leader"], "inner")
+        if mixed.isEmpty():
+            same, different = led, None
+        else:
+            of_leaders = lookup(words, members.select(F.col("leader").alias("set_id")).distinct(), ["set_id"], "inner")
+            sizes = of_leaders.groupBy(F.col("set_id").alias("leader")).agg(F.count("*").alias("n_leader"))
+            of_leaders = of_leaders.select(F.col("set_id").alias("leader"), "word_ix", F.col("word").alias("other"))
+            own = lookup(words, members.select("set_id", "leader"), ["set_id"], "inner")
+            agreed = (
+                lookup(own, of_leaders, ["leader", "word_ix"])
+                .groupBy("set_id", "leader")
+                .agg(F.count("*").alias("n"), F.count_if(F.col("word") == F.col("other")).alias("n_same"))
+            )
+            agreed = lookup(agreed, sizes, ["leader"]).select(
+                "set_id", ((F.col("n") == F.col("n_same")) & (F.col("n") == F.col("n_leader"))).alias("same")
+            )
+            # Sets of other groups are the same as their leader.
+            judged = materialize(lookup(led, agreed, ["set_id"]), "set-judged")
+            same, different = judged.where("coalesce(same, true)"), judged.where("NOT same")
+        same = same.select("set_id", "leader")
+        found = same if found is None else found.unionByName(same)
+        if different is None or different.isEmpty():
+            break
+        left = different.select("set_id", "signature")
+    sizes = found.groupBy("leader").agg(F.count("*").alias("n_sets"))
+    return lookup(found, sizes, ["leader"], "inner").select("set_id", "leader", "n_sets")
 
 
 def to_text(words: DataFrame, sets: DataFrame | None = None) -> DataFrame:

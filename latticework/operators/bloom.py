@@ -48,6 +48,15 @@ def set_buckets(words: DataFrame, size: int) -> DataFrame:
     return hash_code(words).select("set_id", bucket_of_hash(F.col("hash_code"), size).alias("bucket"))
 
 
+def size_for(df: DataFrame, key: str, bits_per_key: int = 16) -> int:
+    """A size for a filter of the distinct keys of ``df``: a power of two of ``bits_per_key`` bits a key at least.
+
+    With one hash that many bits let one of ``bits_per_key`` other keys pass at most.
+    """
+    n_keys = df.agg(F.countDistinct(key)).first()[0]
+    return max(64, 1 << (bits_per_key * n_keys - 1).bit_length()) if n_keys else 64
+
+
 def build(
     df: DataFrame, key: str, size: int = DEFAULT_FILTER_BITS, by: str | None = None
 ) -> DataFrame:

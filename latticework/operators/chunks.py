@@ -89,8 +89,8 @@ def reassemble(chunks: DataFrame, as_text: bool = False) -> DataFrame:
     """``(msg_id, n_chunks, n_seen, value)`` per message; ``n_seen`` counts distinct keys.
 
     A message is complete if its keys are exactly 1 to ``n_chunks`` and no key has two contents;
-    else ``value`` is null. Repeated chunks count once. The chunks of a message meet in one task, as
-    the result is one cell; they are shuffled once, and repeats are reduced before they are gathered.
+    else ``value`` is null. Repeated chunks count once, and replays, however many, are reduced by their key, in each task
+    first, before a message is gathered. The distinct chunks of a message meet in one task, as the result is one cell.
     """
     binary = is_binary(chunks)
     value = joined_value(F.col("parts"), binary)
@@ -98,7 +98,6 @@ def reassemble(chunks: DataFrame, as_text: bool = False) -> DataFrame:
         value = value.cast("string")
     by_key = (
         chunks.where(F.col("key").isNotNull())
-        .repartition("msg_id")
         .groupBy("msg_id", "n_chunks", "key")
         .agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("other"))
     )

@@ -32,12 +32,19 @@ def bloom_merge(spark, sf_dir):
     return ops.buckets(ops.merge(segments, _users(spark, sf_dir)))
 
 
+def _sized_users(spark, sf_dir):
+    """A filter of the event users that is sized for them, so that it tells keys apart at any scale."""
+    events = table(spark, sf_dir, "events")
+    size = ops.size_for(events, "user_id")
+    return ops.build(events, "user_id", size), size
+
+
 def bloom_semi_join(spark, sf_dir):
-    return ops.semi_join(_orders(spark, sf_dir), "o_custkey", _users(spark, sf_dir), SIZE)
+    return ops.semi_join(_orders(spark, sf_dir), "o_custkey", *_sized_users(spark, sf_dir))
 
 
 def bloom_anti_join(spark, sf_dir):
-    return ops.anti_join(_orders(spark, sf_dir), "o_custkey", _users(spark, sf_dir), SIZE)
+    return ops.anti_join(_orders(spark, sf_dir), "o_custkey", *_sized_users(spark, sf_dir))
 
 
 def bloom_prefilter_join(spark, sf_dir):
@@ -93,12 +100,14 @@ QUERIES = {
 }
 
 
-def _bucket(key: str) -> str:
+def _bucket(key: str, size: object = SIZE) -> str:
     # For keys below 2^31 the fold of the hash to 32 bits changes nothing.
-    return f"xor({key}, 1234) % {SIZE}"
+    return f"xor({key}, 1234) % {size}"
+
 
+_SIZED_USERS = f"""WITH sized AS (SELECT greatest(64, CAST(pow(2, ceil(log2(16 * count(DISTINCT user_id)))) AS BIGINT)) AS size FROM events),
+filter AS (SELECT DISTINCT {_bucket('user_id', 'size')} AS bucket FROM events, sized)"""
 
-_USER_BUCKETS = f"WITH filter AS (SELECT DISTINCT {_bucket('user_id')} AS bucket FROM events)"
 
 _SET_BUCKETS = f"""WITH {SETS_SQL},
 sets AS (SELECT set_id, xor(sum(1 << bit)::BIGINT, 1234) % {SIZE} AS bucket FROM order_line_sets GROUP BY set_id),
@@ -113,10 +122,12 @@ SELECT set_id, bucket, row_number() OVER (PARTITION BY bucket ORDER BY set_id) =
     "bloom_build": f"SELECT DISTINCT c_mktsegment AS set_id, {_bucket('c_custkey')} AS bucket FROM customer",
     "bloom_merge": f"""SELECT {_bucket('c_custkey')} AS bucket FROM customer
 UNION SELECT {_bucket('user_id')} FROM events""",
-    "bloom_semi_join": f"""{_USER_BUCKETS}
-SELECT o_orderkey, o_custkey FROM orders WHERE {_bucket('o_custkey')} IN (SELECT bucket FROM filter)""",
-    "bloom_anti_join": f"""{_USER_BUCKETS}
-SELECT o_orderkey, o_custkey FROM orders WHERE {_bucket('o_custkey')} NOT IN (SELECT bucket FROM filter)""",
+    "bloom_semi_join": f"""{_SIZED_USERS}
+SELECT o_orderkey, o_custkey FROM orders, sized
+WHERE {_bucket('o_custkey', 'size')} IN (SELECT bucket FROM filter)""",
+    "bloom_anti_join": f"""{_SIZED_USERS}
+SELECT o_orderkey, o_custkey FROM orders, sized
+WHERE {_bucket('o_custkey', 'size')} NOT IN (SELECT bucket FROM filter)""",
     "bloom_prefilter_join": """SELECT o_orderkey, user_id, n_events
 FROM orders JOIN (SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id) ON o_custkey = user_id""",
     "bloom_first_seen": f"""SELECT event_id, user_id, {_bucket('user_id')} AS bucket,

@@ -179,6 +179,14 @@ def test_equal_groups(spark):
     assert got == {3: (1, 3), 1: (1, 3), 9: (1, 3), 2: (2, 1), 4: (4, 1), 5: (5, 2), 6: (5, 2)}
 
 
+def test_sets_that_share_a_signature_only_stay_apart(spark):
+    sets = {3: {1, 70}, 1: {1, 70}, 2: {1}, 9: {1, 70}, 4: {1, 71}, 5: {1 << 21, 4}, 6: {1 << 21, 4}, 7: {1, 70, 900}, 8: {1}}
+    forced = spark.createDataFrame([(i, "one" if i != 8 else "other") for i in sets], "set_id int, signature string")
+    got = {r[0]: (r[1], r[2]) for r in row_set(ops.equal_groups(ops.pack(members(spark, sets)), forced))}
+    want = {3: (1, 3), 1: (1, 3), 9: (1, 3), 2: (2, 1), 4: (4, 1), 5: (5, 2), 6: (5, 2), 7: (7, 1), 8: (8, 1)}
+    assert got == want
+
+
 def test_to_text(spark):
     sets = {1: {1, 2, 5}, 2: {64, 63, 200}, 3: {0}}
     ids = spark.createDataFrame([(1,), (2,), (3,), (4,)], "set_id int")

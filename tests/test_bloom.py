@@ -132,3 +132,9 @@ def test_whole_sets_as_elements(spark):
     assert row_set(ops.semi_join_sets(words, held, 10_007)) == {(1,), (2,), (4,)}
     assert row_set(ops.anti_join_sets(words, held, 10_007)) == {(3,), (5,)}
     assert {r["set_id"] for r in ops.added_sets(words, 10_007).where("added").collect()} == {1, 3, 4, 5}
+
+
+def test_size_follows_the_number_of_keys(spark):
+    keys = spark.range(1000).selectExpr("id % 300 AS k")
+    assert ops.size_for(keys, "k") == 8192 and ops.size_for(keys, "k", 8) == 4096
+    assert ops.size_for(keys.limit(0), "k") == 64 and ops.size_for(keys.selectExpr("nullif(k, k) AS k"), "k") == 64
