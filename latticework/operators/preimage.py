@@ -28,6 +28,9 @@ _TEMPLATE_SYMBOLS = "12345"
 # Candidates one task should enumerate.
 _ROWS_PER_TASK = 250_000
 
+# Numbers that one row stands for until it is expanded: beginnings of permutations, and strings.
+_PREFIXES_PER_BLOCK, _STRINGS_PER_BLOCK = 256, 16_384
+
 
 def _symbols(text: Column) -> Column:
     return F.split(text, "")
@@ -80,18 +83,10 @@ def _within(count: Column, limit: int | None) -> Column:
     return F.lit(True) if limit is None else count <= F.lit(float(limit))
 
 
-def permutation_count(alphabets: DataFrame) -> tuple[int, int]:
-    """(number of permutation candidates, longest alphabet) of distinct alphabets."""
-    row = (
-        alphabets.select("alphabet")
-        .distinct()
-        .agg(
-            F.sum(n_permutations(F.col("alphabet"))).alias("n"),
-            F.max(F.length(distinct_symbols(F.col("alphabet")))).alias("m"),
-        )
-        .first()
-    )
-    return _whole(row["n"]), int(row["m"] or 0)
+def permutation_count(alphabets: DataFrame) -> int:
+    """Number of permutation candidates of distinct alphabets."""
+    distinct = alphabets.select("alphabet").distinct()
+    return _whole(distinct.agg(F.sum(n_permutations(F.col("alphabet"))).alias("n")).first()["n"])
 
 
 def _whole(count: float | None) -> int:
@@ -99,62 +94,105 @@ def _whole(count: float | None) -> int:
     return int(min(count or 0, 1e18))
 
 
-def permutations(
-    alphabets: DataFrame,
-    max_candidates: int | None = None,
-    size: tuple[int, int] | None = None,
-) -> DataFrame:
-    """``(alphabet, cand, excluded)``: every ordering of every alphabet minus one symbol.
+def _last_number(count: Column) -> Column:
+    """Number of the last of ``count`` (a double) candidates; counts beyond a long end at its largest value."""
+    return F.when(count < 9e18, count.cast("bigint") - 1).otherwise(F.lit(2**63 - 2))
 
-    A symbol that an alphabet repeats counts once. With ``max_candidates`` an alphabet that
-    has more is left out; all others are enumerated.
 
-    The first symbols are chosen in rounds of ``explode``; the started rows are
-    spread over the cluster, and each is completed by all orderings of the few
-    symbols it has left. Rows stream through and are never held as a whole. An
-    alphabet of ``n`` symbols gives ``n!`` rows.
+def _blocks(ranges: DataFrame, first: Column, last: Column, width: int, total: int, *keys: str) -> DataFrame:
+    """A row for each of the numbers ``first`` to ``last``, in the column ``number``.
+
+    Blocks of ``width`` numbers are spread over the cluster as one row each and expanded there.
     """
-    alphabets = alphabets.where(_within(n_permutations(F.col("alphabet")), max_candidates))
-    total, longest = size or permutation_count(alphabets)
-    at_once = len(_TEMPLATE_SYMBOLS)
-    left = F.length("rest")
-    rows = alphabets.select("alphabet").distinct().select(
-        "alphabet", F.lit("").alias("cand"), distinct_symbols(F.col("alphabet")).alias("rest")
-    )
-    for _ in range(longest - at_once):
-        # Shorter alphabets wait: place 0 takes nothing.
-        places = F.when(left > at_once, F.sequence(F.lit(1), left)).otherwise(F.array(F.lit(0)))
-        place = F.col("place")
-        rows = rows.select("alphabet", "cand", "rest", each(places).alias("place")).select(
-            "alphabet",
-            F.when(place == 0, F.col("cand"))
-            .otherwise(F.concat("cand", F.substring(F.col("rest"), place, F.lit(1))))
-            .alias("cand"),
-            F.when(place == 0, F.col("rest"))
-            .otherwise(
-                F.concat(
-                    F.substring(F.col("rest"), F.lit(1), place - 1),
-                    F.substring(F.col("rest"), place + 1, left),
-                )
-            )
-            .alias("rest"),
+    rows = ranges.withColumns({"block": first, "until": last}).where("block <= until")
+    rows = rows.withColumn("block", F.explode(F.sequence("block", "until", F.lit(width).cast("bigint"))))
+    end = F.least(F.col("block") + F.lit(width - 1), F.col("until"))
+    rows = _spread(rows, total, *keys, "block")
+    return rows.withColumn("number", each(F.sequence("block", end))).drop("block", "until")
+
+
+def permutations_between(ranges: DataFrame, total: int | None = None) -> DataFrame:
+    """``(alphabet, number, cand, excluded)``: the candidates that ``ranges (alphabet, first, last)`` ask for.
+
+    The orderings of an alphabet of ``n`` distinct symbols are numbered from 0 in lexicographic order of the
+    symbols' places in it, up to ``n! - 1``. Both ends of a range belong to it, and what lies outside is cut off;
+    ranges that overlap give a candidate each. A null alphabet or end gives nothing.
+
+    A number is read in the factorial number system, so any range is computed alone. Only the number of the
+    symbols before the last five is read so, once for all orderings of these. Numbers are ``bigint``: of
+    an alphabet of more than 20 symbols the first 2^63 candidates can be asked for.
+    """
+    if total is None:
+        total = _whole(ranges.agg(F.sum(F.col("last").cast("double") - F.col("first") + 1).alias("n")).first()["n"])
+    left, at_once = F.length("rest"), len(_TEMPLATE_SYMBOLS)
+    tail = F.factorial(F.least(left, F.lit(at_once)))
+    end = _last_number(n_permutations(F.col("alphabet")))
+    rows = ranges.select(
+        "alphabet",
+        F.when(F.col("first") > 0, F.col("first").cast("bigint")).when(F.col("first") <= 0, F.lit(0)).alias("first"),
+        F.when(F.col("last") < end, F.col("last").cast("bigint")).when(F.col("last") >= end, end).alias("last"),
+        distinct_symbols(F.col("alphabet")).alias("rest"),
+    ).where("alphabet IS NOT NULL AND first <= last")
+    rows = rows.withColumn("tail", tail)
+    whole = lambda a, b: F.call_function("div", a, b)
+    begin, until = whole(F.col("first"), F.col("tail")), whole(F.col("last"), F.col("tail"))
+    rows = _blocks(rows, begin, until, _PREFIXES_PER_BLOCK, total, "alphabet")
+
+    def place(state: Column, step: Column) -> Column:
+        rest, number = state["rest"], state["number"]
+        # Orderings that begin alike; where these exceed a bigint the number picks the first symbol.
+        alike = whole(F.factorial(F.length(rest) - 1), F.col("tail"))
+        at = F.coalesce(whole(number, alike), F.lit(0)).cast("int")
+        return F.struct(
+            F.concat(state["cand"], F.substring(rest, at + 1, F.lit(1))).alias("cand"),
+            F.concat(F.substring(rest, F.lit(1), at), F.substring(rest, at + 2, F.length(rest))).alias("rest"),
+            F.coalesce(number % alike, number).alias("number"),
         )
-    rows = _spread(rows, total, "alphabet", "cand")
+
+    steps = F.when(left > at_once, F.sequence(F.lit(1), left - at_once)).otherwise(F.array().cast("array<int>"))
+    begun = F.struct(F.lit("").alias("cand"), F.col("rest"), F.col("number"))
+    rows = rows.withColumn("begun", F.aggregate(steps, begun, place)).select(
+        "alphabet", "first", "last", "tail", "number", "begun.cand", "begun.rest"
+    )
     templates = F.when(left == 1, _templates(1))
     for n in range(2, at_once + 1):
         templates = templates.when(left == n, _templates(n))
     ordered = F.expr(f"translate(template, substring('{_TEMPLATE_SYMBOLS}', 1, length(rest)), rest)")
     return (
-        rows.select("alphabet", "cand", "rest", each(templates).alias("template"))
-        .select("alphabet", "cand", "rest", ordered.alias("ordered"))
+        rows.select("*", F.posexplode_outer(templates).alias("at", "template"))
+        .select("*", (F.col("number") * F.col("tail") + F.coalesce("at", F.lit(0))).alias("nth"), ordered.alias("ordered"))
+        .where("nth BETWEEN first AND last")
         .select(
             "alphabet",
+            F.col("nth").alias("number"),
             F.concat("cand", F.substring(F.col("ordered"), F.lit(1), left - 1)).alias("cand"),
             F.substring("ordered", -1, 1).alias("excluded"),
         )
     )
 
 
+def permutations(
+    alphabets: DataFrame,
+    max_candidates: int | None = None,
+    total: int | None = None,
+) -> DataFrame:
+    """``(alphabet, cand, excluded)``: every ordering of every alphabet minus one symbol.
+
+    A symbol that an alphabet repeats counts once. With ``max_candidates`` an alphabet that
+    has more is left out; all others are enumerated. ``total`` is their number, if known.
+
+    The candidates come by number (see :func:`permutations_between`): blocks of numbers are
+    spread over the cluster, and rows stream through and are never held as a whole. An
+    alphabet of ``n`` symbols gives ``n!`` rows.
+    """
+    alphabets = alphabets.where(_within(n_permutations(F.col("alphabet")), max_candidates))
+    total = permutation_count(alphabets) if total is None else total
+    ranges = alphabets.select("alphabet").distinct().select(
+        "alphabet", F.lit(0).alias("first"), _last_number(n_permutations(F.col("alphabet"))).alias("last")
+    )
+    return permutations_between(ranges, total).drop("number")
+
+
 def hashed_permutations(alphabets: DataFrame, **options) -> DataFrame:
     """``(alphabet, cand_hash, excluded)``."""
     return permutations(alphabets, **options).select(
@@ -225,13 +263,10 @@ def _hint_matches(
     if candidates is None:
         open_ = alphabets.where(_within(n_permutations(F.col("alphabet")), max_candidates))
         row = open_.agg(
-            F.sum(n_permutations(F.col("alphabet"))).alias("n"),
-            F.max(F.length(distinct_symbols(F.col("alphabet")))).alias("m"),
-            F.sum("hints").alias("h"),
+            F.sum(n_permutations(F.col("alphabet"))).alias("n"), F.sum("hints").alias("h")
         ).first()
         total, n_hints = _whole(row["n"]), int(row["h"] or 0)
-        size = (total, int(row["m"] or 0))
-        candidates = hashed_permutations(records.select("alphabet"), max_candidates=max_candidates, size=size)
+        candidates = hashed_permutations(records.select("alphabet"), max_candidates=max_candidates, total=total)
     else:
         n_hints = int(alphabets.agg(F.sum("hints")).first()[0] or 0)
         total = n_hints
@@ -326,3 +361,89 @@ def recover(
     status = F.when(~open_, F.lit("refused")).when(F.col("cand").isNull(), F.lit("unresolved"))
     value = F.when(open_, F.col("cand"))
     return joined.select("id", value.alias("value"), status.otherwise(F.lit("found")).alias("status"))
+
+
+def strings_between(ranges: DataFrame, total: int) -> DataFrame:
+    """``(universe, plen, number, cand)``: the strings ``first`` to ``last`` of ``ranges (universe, plen, first, last)``.
+
+    The strings of a domain are numbered from 0, in the order of the symbols of its universe. A number is
+    read to the base of their number, so any range is computed alone. ``total`` is the number of strings.
+    """
+    rows = _blocks(ranges, F.col("first"), F.col("last"), _STRINGS_PER_BLOCK, total, "universe", "plen")
+    base = F.length("universe").cast("bigint")
+
+    def digit(state: Column, step: Column) -> Column:
+        at = (state["left"] % base).cast("int") + 1
+        return F.struct(
+            F.concat(F.substring(F.col("universe"), at, F.lit(1)), state["cand"]).alias("cand"),
+            F.call_function("div", state["left"], base).alias("left"),
+        )
+
+    steps = F.when(F.col("plen") > 0, F.sequence(F.lit(1), F.col("plen"))).otherwise(F.array().cast("array<int>"))
+    begun = F.struct(F.lit("").alias("cand"), F.col("number").alias("left"))
+    return rows.select("universe", "plen", "number", F.aggregate(steps, begun, digit)["cand"].alias("cand"))
+
+
+def recover_in_slices(
+    records: DataFrame,
+    candidates: DataFrame | None = None,
+    universes: DataFrame | None = None,
+    max_candidates: int | None = None,
+    first_slice: int = 1_000_000,
+    growth: int = 4,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``(id, value, status, slice, n_slices)``: values and status as :func:`recover` gives them, without enumerating
+    a domain beyond the slice that solves the last of its records.
+
+    Each round takes the next slice of the strings of every domain that has an open record: ``first_slice`` strings
+    of each, then ``growth`` times as many a round, so the rounds are few however large a domain is. ``slice`` is the
+    round that found the value (from 1, null if none did), ``n_slices`` the rounds that the record's domain took
+    part in. A record without a hash, length or universe is unresolved and keeps no domain open.
+
+    What is open, and what a round found, is a stored table, so a lost executor repeats one round at most.
+    """
+    if universes is None:
+        universes = materialize(
+            remaining_universe(records, candidates, max_candidates, broadcast_rows), "universes"
+        )
+    strings = n_strings(F.col("universe"), F.col("plen"))
+    within = _within(strings, max_candidates)
+    if candidates is None:
+        within = within & _within(n_permutations(F.col("alphabet")), max_candidates)
+    allowed = F.coalesce(within, F.lit(True))
+    keys = ["universe", "plen", "value_hash"]
+    waiting = universes.where(allowed & F.col("value_hash").isNotNull()).select("id", *keys)
+    spark = universes.sparkSession
+    hits = spark.createDataFrame([], waiting.select("id").schema).selectExpr("id", "'' AS cand", "0 AS slice")
+    ran = spark.createDataFrame([], "universe string, plen int, n_slices int")
+    begin, width, number = 0, first_slice, 1
+    while True:
+        domains = waiting.select("universe", "plen").distinct().where(strings > F.lit(float(begin)))
+        ranges = domains.select(
+            "universe", "plen", F.lit(begin).cast("bigint").alias("first"),
+            F.least(F.lit(begin + width - 1).cast("bigint"), _last_number(strings)).alias("last"),
+        )
+        ranges = materialize(ranges, f"domains-{number}")
+        total = ranges.agg(F.sum(F.col("last") - F.col("first") + 1)).first()[0]
+        if not total:
+            break
+        cands = strings_between(ranges, total).withColumn("value_hash", _digest(F.col("cand"))).drop("number")
+        if total <= broadcast_rows:
+            joined = waiting.join(F.broadcast(cands), keys)
+        else:
+            joined = lookup(waiting, cands.hint(_SHUFFLED), keys, "inner")
+        found = materialize(joined.select("id", "cand", F.lit(number).alias("slice")), f"slice-{number}")
+        hits = hits.unionByName(found)
+        ran = ran.unionByName(ranges.select("universe", "plen", F.lit(number).alias("n_slices")))
+        begin, width, number = begin + width, width * growth, number + 1
+        rest = waiting.where(strings > F.lit(float(begin))).join(found.select("id"), "id", "left_anti")
+        waiting = materialize(rest.select("id", *keys), f"open-{number}")
+    rounds = ran.groupBy("universe", "plen").agg(F.max("n_slices").alias("n_slices"))
+    joined = universes.withColumn("allowed", allowed).join(hits, "id", "left")
+    joined = lookup(joined, rounds, ["universe", "plen"])
+    status = F.when(~F.col("allowed"), F.lit("refused")).when(F.col("slice").isNull(), F.lit("unresolved"))
+    return joined.select(
+        "id", F.col("cand").alias("value"), status.otherwise(F.lit("found")).alias("status"), "slice",
+        F.when(F.col("allowed"), F.coalesce("n_slices", F.lit(0))).otherwise(F.lit(0)).alias("n_slices"),
+    )

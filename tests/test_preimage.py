@@ -150,3 +150,77 @@ def test_stream_matches_without_shuffling_the_candidates(spark, tmp_path):
         assert row_set(got.select("id", "hint_ix", "excluded")) == want
     plan = ops.match_hints(records, candidates=candidates)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+
+
+@pytest.mark.parametrize("alphabet", ["A", "BA", "CAB", "DBCAE", "GFEDCBA", "AABAC"])
+def test_permutations_by_number(spark, alphabet):
+    symbols = list(dict.fromkeys(alphabet))
+    everything = list(itertools.permutations(symbols))
+    n = len(everything)
+    asked = [(0, 0), (n // 3, 2 * n // 3), (n - 1, n + 5), (-4, 1), (n, n + 9), (3, 2)]
+    df = spark.createDataFrame([(alphabet, *r) for r in asked], "alphabet string, first bigint, last bigint")
+    want = sorted(
+        (alphabet, i, "".join(everything[i][:-1]), everything[i][-1])
+        for first, last in asked
+        for i in range(max(first, 0), min(last, n - 1) + 1)
+    )
+    assert sorted(tuple(r) for r in ops.permutations_between(df).collect()) == want
+
+
+def test_permutations_by_number_of_long_and_missing_alphabets(spark):
+    long = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    twenty = long[:20]
+    rows = [(long, 0, 1), (twenty, math.factorial(20) - 2, math.factorial(20) - 1), (None, 0, 5), ("AB", None, 1), ("AB", 0, None)]
+    df = spark.createDataFrame(rows, "alphabet string, first bigint, last bigint")
+    got = {(r.alphabet, r.number): r.cand + r.excluded for r in ops.permutations_between(df).collect()}
+    back = twenty[::-1]
+    assert got == {
+        (long, 0): long,
+        (long, 1): long[:24] + "ZY",
+        (twenty, math.factorial(20) - 2): back[:18] + "AB",
+        (twenty, math.factorial(20) - 1): back,
+    }
+
+
+def test_strings_by_number(spark):
+    asked = [("AB", 3, 2, 6), ("XYZ", 2, 0, 8), ("Q", 4, 0, 0), ("AB", 0, 0, 0)]
+    df = spark.createDataFrame(asked, "universe string, plen int, first bigint, last bigint")
+    want = {
+        (u, n, i, "".join(list(itertools.product(u, repeat=n))[i])) for u, n, first, last in asked for i in range(first, last + 1)
+    }
+    assert row_set(ops.strings_between(df, 16)) == want
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
+def test_slices_give_what_recover_gives(spark, records, broadcast_rows):
+    got = ops.recover_in_slices(records, first_slice=3, growth=2, broadcast_rows=broadcast_rows).collect()
+    assert {r.id: r.value for r in got} == EXPECTED
+    assert {r.id for r in got if r.status == "unresolved"} == {1, 7}
+    assert all((r.slice is None) == (r.value is None) for r in got)
+
+
+def test_a_domain_ends_with_its_last_open_record(spark):
+    rows = [
+        (1, "ABCD", 3, sha("AAA"), []),  # number 0
+        (2, "ABCD", 3, sha("AAC"), []),  # number 2: the second slice of two
+        (3, "ABCD", 2, sha("DD"), []),  # number 15 of 16
+        (4, "AB", 2, sha("no such"), []),
+        (5, "AB", 30, sha("too many"), []),
+        (6, "ABC", 2, None, []),  # nothing to look for
+        (7, "ABCD", 3, sha("AAA"), []),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, alphabet string, plen int, value_hash string, hints array<string>")
+    got = row_set(ops.recover_in_slices(df, max_candidates=1_000, first_slice=2, growth=2))
+    assert got == {
+        (1, "AAA", "found", 1, 2),
+        (2, "AAC", "found", 2, 2),
+        (3, "DD", "found", 4, 4),
+        (4, None, "unresolved", None, 2),
+        (5, None, "refused", None, 0),
+        (6, None, "unresolved", None, 0),
+        (7, "AAA", "found", 1, 2),
+    }
+
+
+def test_slices_of_no_records(spark, records):
+    assert ops.recover_in_slices(records.limit(0)).count() == 0
