@@ -173,13 +173,24 @@ def prefilter_join(
     return thin.join(build_side, thin[probe_key] == build_side[build_key])
 
 
-def added_flags(df: DataFrame, key: str, order: str, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
+def added_flags(
+    df: DataFrame, key: str, order: str, size: int = DEFAULT_FILTER_BITS, seen: DataFrame | None = None
+) -> DataFrame:
     """``df`` with ``bucket`` and ``added``: true for the first row of each bucket.
 
     ``order`` is a unique column. A row with a null key has no bucket and is not added. The first row of a bucket is a ``min`` with
-    map-side combine; there is no window over a bucket, however full it is.
+    map-side combine; there is no window over a bucket, however full it is. With ``seen``, a filter of the same
+    size, only buckets that it has free can be added to.
     """
-    return _added(_with_bucket(df, key, size), order, size).select(*df.columns, "bucket", "added")
+    flags = _added(_with_bucket(df, key, size), order, size)
+    if seen is not None:
+        flags = _probe(flags, seen, size, "left").withColumn("added", F.col("added") & ~F.col("maybe"))
+    return flags.select(*df.columns, "bucket", "added")
+
+
+def extended(seen: DataFrame, flags: DataFrame, size: int = DEFAULT_FILTER_BITS) -> DataFrame:
+    """The filter ``seen`` with the buckets of ``added_flags`` set."""
+    return merge(seen, _filter_words(flags.where("added"), [], size))
 
 
 def added_sets(words: DataFrame, size: int = DEFAULT_FILTER_BITS) -> DataFrame:

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from latticework.operators import bloom as ops
 from latticework.operators.bitset import pack
 from latticework.plans.inputs import SETS_SQL, order_line_sets, table
+from latticework.session import scratch_dir
+from latticework.streaming.seen import Seen
+
+# Runs of the stream of events.
+RUNS = 3
 
 # Smaller than the range of customer keys, so that keys do collide.
 SIZE = 1_024
@@ -60,6 +65,18 @@ def bloom_first_seen(spark, sf_dir):
     return ops.added_flags(events, "user_id", "event_id", SIZE)
 
 
+def stream_first_seen(spark, sf_dir):
+    """As ``bloom_first_seen``, over events that arrive in several runs; the filter is stored between these."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    ends = events.agg(F.min("event_id").alias("least"), F.max("event_id").alias("most")).first()
+    path, seen = scratch_dir(spark, "events"), Seen.fresh(spark, "user_id", "event_id", SIZE)
+    part = F.floor((F.col("event_id") - ends["least"]) * RUNS / (ends["most"] - ends["least"] + 1))
+    for run in range(RUNS):
+        events.where(part == run).write.mode("append").parquet(path)
+        flags = seen.run_available(spark.readStream.schema(events.schema).parquet(path))
+    return flags
+
+
 def bloom_set_buckets(spark, sf_dir):
     """Bucket of each order, with its set of line numbers as the element."""
     return ops.set_buckets(pack(order_line_sets(spark, sf_dir)), SIZE)
@@ -93,6 +110,7 @@ QUERIES = {
     "bloom_anti_join": bloom_anti_join,
     "bloom_prefilter_join": bloom_prefilter_join,
     "bloom_first_seen": bloom_first_seen,
+    "stream_first_seen": stream_first_seen,
     "bloom_set_buckets": bloom_set_buckets,
     "bloom_semi_join_sets": bloom_semi_join_sets,
     "bloom_anti_join_sets": bloom_anti_join_sets,
@@ -114,6 +132,10 @@ sets AS (SELECT set_id, xor(sum(1 << bit)::BIGINT, 1234) % {SIZE} AS bucket FROM
 filter AS (SELECT DISTINCT xor(sum(1 << l_linenumber)::BIGINT, 1234) % {SIZE} AS bucket
   FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R') GROUP BY l_orderkey)"""
 
+_FIRST_SEEN = f"""SELECT event_id, user_id, {_bucket('user_id')} AS bucket,
+       row_number() OVER (PARTITION BY {_bucket('user_id')} ORDER BY event_id) = 1 AS added
+FROM events"""
+
 ORACLES = {
     "bloom_semi_join_sets": f"{_SET_BUCKETS} SELECT set_id FROM sets WHERE bucket IN (SELECT bucket FROM filter)",
     "bloom_anti_join_sets": f"{_SET_BUCKETS} SELECT set_id FROM sets WHERE bucket NOT IN (SELECT bucket FROM filter)",
@@ -130,9 +152,8 @@ SELECT o_orderkey, o_custkey FROM orders, sized
 WHERE {_bucket('o_custkey', 'size')} NOT IN (SELECT bucket FROM filter)""",
     "bloom_prefilter_join": """SELECT o_orderkey, user_id, n_events
 FROM orders JOIN (SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id) ON o_custkey = user_id""",
-    "bloom_first_seen": f"""SELECT event_id, user_id, {_bucket('user_id')} AS bucket,
-       row_number() OVER (PARTITION BY {_bucket('user_id')} ORDER BY event_id) = 1 AS added
-FROM events""",
+    "bloom_first_seen": _FIRST_SEEN,
+    "stream_first_seen": _FIRST_SEEN,
     "bloom_set_buckets": f"""WITH {SETS_SQL}
 SELECT set_id, xor(sum(1 << bit)::BIGINT, 1234) % {SIZE} AS bucket FROM order_line_sets GROUP BY set_id""",
 }

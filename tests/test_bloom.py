@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from latticework.functions.hashing import bucket, text_bucket
 from latticework.operators import bloom as ops
 from latticework.operators.bitset import pack
+from latticework.streaming.seen import Seen
 
 
 def plain_bucket(key, size):
@@ -138,3 +139,53 @@ def test_size_follows_the_number_of_keys(spark):
     keys = spark.range(1000).selectExpr("id % 300 AS k")
     assert ops.size_for(keys, "k") == 8192 and ops.size_for(keys, "k", 8) == 4096
     assert ops.size_for(keys.limit(0), "k") == 64 and ops.size_for(keys.selectExpr("nullif(k, k) AS k"), "k") == 64
+
+
+def _arrive(spark, path, rows):
+    spark.createDataFrame(rows, "n bigint, k bigint").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema("n bigint, k bigint").parquet(path)
+
+
+def test_a_filter_lives_between_runs(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(n, rng.choice([None, *range(150)])) for n in range(400)]
+    seen = Seen.fresh(spark, "k", "n", 64)
+    path, parts = str(tmp_path / "in"), [rows[:100], rows[100:101], rows[101:300], rows[300:]]
+    for part in parts:
+        flags = seen.run_available(_arrive(spark, path, part))
+    everything = spark.createDataFrame(rows, "n bigint, k bigint")
+    assert seen.batches(spark) == 4
+    assert row_set(flags) == row_set(ops.added_flags(everything, "k", "n", 64))
+    assert row_set(ops.buckets(seen.words(spark))) == row_set(ops.buckets(ops.build(everything, "k", 64)))
+    # A run without new input changes nothing.
+    again = seen.run_available(spark.readStream.schema("n bigint, k bigint").parquet(path))
+    assert row_set(again) == row_set(flags) and again.count() == 400
+
+
+def test_a_repeated_batch_gives_the_same_flags(spark):
+    seen = Seen.fresh(spark, "k", "n", 64)
+    batches = [[(1, 5), (2, 5), (3, None)], [(4, 5), (5, 6)], [(6, 6), (7, 7), (8, 7)]]
+    frames = [spark.createDataFrame(rows, "n bigint, k bigint") for rows in batches]
+    want = [{1}, {5}, {7}]
+    for number, frame in enumerate(frames):
+        for _ in range(3):
+            seen.add(frame, number)
+            flags = spark.read.parquet(f"{seen.path}/flags/batch={number}")
+            assert {r.n for r in flags.where("added").collect()} == want[number]
+    assert ops.buckets(seen.words(spark)).count() == 3
+
+
+def test_a_filter_without_input(spark, tmp_path):
+    seen = Seen.fresh(spark, "k", "n", 64)
+    (tmp_path / "in").mkdir()
+    flags = seen.run_available(spark.readStream.schema("n bigint, k bigint").parquet(str(tmp_path / "in")))
+    assert flags.columns == ["n", "k", "bucket", "added"] and flags.count() == 0
+    assert seen.words(spark).count() == 0
+
+
+def test_a_filter_of_another_size_is_refused(spark):
+    seen = Seen.fresh(spark, "k", "n", 64)
+    rows = spark.createDataFrame([(1, 1)], "n bigint, k bigint")
+    seen.add(rows, 0)
+    with pytest.raises(Exception, match="size"):
+        Seen(seen.path, "k", "n", 128).add(rows, 1)
