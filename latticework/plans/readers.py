@@ -34,6 +34,28 @@ def write_record_files(rows: DataFrame, path: str) -> None:
     even.withColumn("more", F.lit("x")).write.mode("append").options(**options).csv(path)
 
 
+def write_strict_files(rows: DataFrame, path: str) -> None:
+    """Records as lines whose texts are quoted, with signs outside the quotes that do not belong to them.
+
+    Names hold a separator, quotes and an escape sign. Nulls are unquoted signs. Beside each record of an even
+    number are lines of other lengths, and one that ends inside quotes.
+    """
+    named = rows.withColumn("name", F.concat("name", F.lit(';"x"\\')))
+
+    def field(name: str):
+        text = F.col(name).cast("string")
+        for sign in ("\\", '"'):
+            text = F.replace(text, F.lit(sign), F.lit("\\" + sign))
+        return F.coalesce(F.concat(F.lit(' out "'), text, F.lit('"side')), F.lit(" nothing "))
+
+    lines = named.repartition("id").select("id", F.concat_ws(";", *map(field, named.columns)).alias("line"))
+    even = lines.where("id % 2 = 0").select(
+        F.explode(F.array(F.concat("line", F.lit(';"more"')), F.lit('"cut";"line"'), F.concat("line", F.lit('"')))).alias("line")
+    )
+    lines.select("line").write.text(path)
+    even.write.mode("append").text(path)
+
+
 def _read_schema(schema: T.StructType) -> T.StructType:
     """The types of a table as its files hold them: nested columns are text."""
     nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
@@ -73,6 +95,14 @@ def read_records(spark, sf_dir):
     return record_files.read_records(spark, record_files.record_schema(MAX_HINTS), path)
 
 
+def read_records_strict(spark, sf_dir):
+    """Record files in which only what is quoted counts."""
+    path = scratch_dir(spark, "strict-files")
+    write_strict_files(record_file_rows(spark, sf_dir), path)
+    dialect = record_files.Dialect(strict_quotes=True, has_header=False)
+    return record_files.read_records(spark, record_files.record_schema(MAX_HINTS), path, dialect)
+
+
 def stream_read_records(spark, sf_dir):
     path = scratch_dir(spark, "record-files")
     write_record_files(record_file_rows(spark, sf_dir), path)
@@ -88,6 +118,7 @@ def even_split(spark, sf_dir):
 QUERIES = {
     "read_tables": read_tables,
     "read_records": read_records,
+    "read_records_strict": read_records_strict,
     "stream_read_records": stream_read_records,
     "even_split": even_split,
 }
@@ -108,6 +139,7 @@ every AS (
   UNION ALL SELECT 'benchmark.text', text FROM odd WHERE text IS NOT NULL)
 SELECT attr, value, count(*) AS n_cells FROM every GROUP BY attr, value""",
     "read_records": _RECORD_ROWS,
+    "read_records_strict": f"""SELECT * REPLACE (name || ';"x"\\' AS name) FROM ({_RECORD_ROWS})""",
     "stream_read_records": _RECORD_ROWS,
     "even_split": f"""SELECT o_orderkey,
        CAST(ntile({N_RANGES}) OVER (ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS range_no FROM orders""",

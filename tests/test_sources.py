@@ -2,6 +2,7 @@ import random
 import pytest
 from conftest import row_set
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from latticework.session import scratch_dir
 from latticework.sources import records, tables
@@ -151,3 +152,60 @@ def test_stream_of_record_files(spark, tmp_path):
     stream = records.stream_records(spark, records.record_schema(2), str(tmp_path / "s"))
     got = run_available(stream, "record-test")
     assert {r["id"] for r in got.collect()} == {0, 1, 2} and got.count() == 3
+
+
+STRICT = {
+    '"a";"b"': ["a", "b"],
+    ' x"a"y ; "b" ': ["a", "b"],
+    'a;"b"': [None, "b"],
+    '"";': ["", None],
+    "": [None],
+    ";": [None, None],
+    '"a;b";"c"': ["a;b", "c"],
+    '"say \\"hi\\"";"c\\\\"': ['say "hi"', "c\\"],
+    '"a""b";""""': ['a"b', '"'],
+    '"a" "b";"c"': ["ab", "c"],
+    '"open;"': ["open;"],
+    '"open;b': None,
+    '"\\n";"\u0001s\u0001"': ["\\n", "\u0001s\u0001"],
+    'x\u0001s;"\u0001t;\u0001q"': [None, "\u0001t;\u0001q"],
+}
+
+
+def test_strict_quotes(spark):
+    rows = spark.createDataFrame([(line,) for line in [*STRICT, None]], "line string")
+    fields = records.strict_fields(F.col("line"), records.Dialect())
+    assert {r.line: r.fields for r in rows.select("line", fields.alias("fields")).collect()} == {**STRICT, None: None}
+
+
+def test_strict_quotes_of_a_very_long_field(spark):
+    text = 'a"b\\c;' * 200_000
+    line = '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '";"z"'
+    rows = spark.createDataFrame([(line,)], "line string")
+    assert rows.select(records.strict_fields(F.col("line"), records.Dialect())).first()[0] == [text, "z"]
+
+
+def test_strict_quotes_with_other_signs(spark):
+    dialect = records.Dialect(separator="||", quote="'", escape="'")
+    rows = spark.createDataFrame([("'a''b'||x||''||'c||d'",)], "line string")
+    assert rows.select(records.strict_fields(F.col("line"), dialect)).first()[0] == ["a'b", None, "", "c||d"]
+
+
+@pytest.mark.parametrize("skip", [True, False])
+def test_strict_record_files(spark, tmp_path, skip):
+    held = ["id;name", '1"7"x;"J\xf6"', '"8"', '"9";"cut', '"10";""', 'no;"\x01\x02\x01"', "", 'y"11";z']
+    (tmp_path / "x.txt").write_bytes("\r\n".join(held).encode("latin-1"))
+    dialect = records.Dialect(
+        directory=str(tmp_path), name="x", ending="txt", charset="ISO-8859-1", strict_quotes=True, skip_differing_lines=skip
+    )
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    got = sorted(map(tuple, records.read_records(spark, schema, dialect=dialect).collect()), key=repr)
+    want = [(7, "Jö"), (10, ""), (None, "\x01\x02\x01"), (11, None)]
+    assert got == sorted(want if skip else [*want, (8, None), (None, None)], key=repr)
+    streamed = run_available(records.stream_records(spark, schema, str(tmp_path), dialect=dialect), "strict-test")
+    assert sorted(map(tuple, streamed.collect()), key=repr) == got
+
+
+def test_strict_quotes_refuse_several_lines(spark):
+    with pytest.raises(ValueError):
+        records.read_records(spark, records.record_schema(1), "x", records.Dialect(strict_quotes=True, multi_line=True))
