@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from latticework.llm.text import Windows, as_bytes, block_number, count_blocks, covered, hasher, parts, word_hashes
+from latticework.llm.text import Windows, as_bytes, block_number, count_blocks, covered, hasher, parts, release, word_hashes
 from latticework.operators.joins import fresh
 
 # For any two positions some shift below PERIOD brings both into COVER modulo PERIOD: the differences of
@@ -73,7 +73,10 @@ def _anchor_rows(id: str, text: str, width: int):
         several = np.zeros(0, np.int64)
         if len(firsts):
             several = (np.minimum.reduceat(ids, firsts) != np.maximum.reduceat(ids, firsts)).astype(np.int64)
-        return pa.table({"hash": hashes[firsts].view(np.int64), "code": 2 * key[0].as_py() + several})
+        found = pa.table({"hash": hashes[firsts].view(np.int64), "code": 2 * key[0].as_py() + several})
+        del hashes, ids, firsts, several
+        release()
+        return found
 
     return run
 
@@ -95,7 +98,7 @@ def _window_rows(id: str, text: str, window: int, width: int):
         new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))[: len(one)]
         firsts = np.flatnonzero(new)
         least, most = (f.reduceat(ids, firsts) if len(firsts) else ids for f in (np.minimum, np.maximum))
-        return pa.table(
+        found = pa.table(
             {
                 "one": one[firsts].view(np.int64),
                 "two": two[firsts].view(np.int32),
@@ -103,6 +106,9 @@ def _window_rows(id: str, text: str, window: int, width: int):
                 "span": most - least,
             }
         )
+        del one, two, ids, order, new, firsts, least, most, at, hashes, near, hit
+        release()
+        return found
 
     return run
 
@@ -149,6 +155,8 @@ def _kept(id: str, text: str, window: int, names: list[str]):
             "n_removed": pa.array(removed, pa.int64()),
             "kept_text": pa.array(texts, pa.binary()).cast(pa.string()),
         }
+        del block, gone, texts
+        release()
         return pa.table({name: out[name] for name in names})
 
     return run

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 from itertools import islice
@@ -23,6 +24,17 @@ PART_BYTES = 1 << 20
 REMEMBERED, LONGEST = 1 << 18, 64
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give memory that was freed back to the system: a Python worker lives on between the stages of a job, and
+    without this it holds the most that it ever had."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def parts(data: bytes) -> Iterator[bytes]:
     """``data`` in parts of about ``PART_BYTES``, cut at white space only."""
     start = 0
