@@ -104,6 +104,7 @@ def _window_rows(id: str, text: str, window: int, width: int):
                 "two": two[firsts].view(np.int32),
                 "least": least,
                 "span": most - least,
+                "block": np.full(len(firsts), key[0].as_py(), np.int32),
             }
         )
         del one, two, ids, order, new, firsts, least, most, at, hashes, near, hit
@@ -175,7 +176,8 @@ def remove_repeats(
     a block.
 
     ``kept_text`` joins what stays by one space; a null or empty text keeps the empty text. Rows without
-    id lose nothing and prove nothing. Repeated rows of one id do not remove each other. Other columns
+    id lose nothing and prove nothing. Rows of one id do not remove each other and are spread over blocks by
+    their texts; rows of one id and text share a block. Other columns
     stay, whatever their names; those named n_words, n_removed or kept_text, in any case, are replaced. No rows: no rows.
     """
     width = window - PERIOD + 1
@@ -185,8 +187,8 @@ def remove_repeats(
     block = fresh("block", names)
     n_blocks = count_blocks(docs, text, block_bytes)
     blocked = docs.select(*names).withColumn(id, F.col(id).cast("long"))
-    # Rows without id, however many, are spread by their text.
-    blocked = blocked.withColumn(block, block_number(F.coalesce(F.col(id), F.xxhash64(text)), n_blocks))
+    # By id and text, so that rows of one id or without id, however many, are spread.
+    blocked = blocked.withColumn(block, block_number(F.xxhash64(id, text), n_blocks))
     groups = blocked.groupBy(block)
 
     anchors = groups.applyInArrow(_anchor_rows(id, text, width), "hash long, code long")
@@ -196,12 +198,12 @@ def remove_repeats(
         .select(F.shiftright("code", 1).cast("int").alias(block), "hash")
     )
     rows = groups.cogroup(shared.groupBy(block)).applyInArrow(
-        _window_rows(id, text, window, width), "one long, two int, least long, span long"
+        _window_rows(id, text, window, width), "one long, two int, least long, span long, block int"
     )
     verdicts = (
         rows.withColumn("first", F.min("least").over(Window.partitionBy("one", "two")))
         .where("least + span > first")
-        .select(block_number(F.col("least"), n_blocks).alias(block), "one", "two", F.col("first").alias("least"))
+        .select(F.col("block").alias(block), "one", "two", F.col("first").alias("least"))
     )
     schema = T.StructType(
         [f for f in blocked.schema.fields if f.name != block]

@@ -55,6 +55,26 @@ def test_matches_brute_force(spark, seed, block_bytes):
     assert result(got) == brute(rows)
 
 
+def test_rows_of_one_id_are_spread(spark):
+    rng = random.Random(9)
+    shared = [f"s{i}" for i in range(80)]
+    rows = [(5, " ".join([f"a{i}", *shared, f"b{i}", *(f"w{rng.randrange(50)}" for _ in range(60))])) for i in range(60)]
+    rows += [(9, " ".join(shared)), (2, " ".join(shared[10:])), (5, rows[0][1]), (None, rows[1][1])]
+    seen = []
+    numbered = substring.block_number
+
+    def spy(key, n_blocks):
+        seen.append((key, n_blocks))
+        return numbered(key, n_blocks)
+
+    docs = spark.createDataFrame(rows, SCHEMA)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(substring, "block_number", spy)
+        got = result(substring.remove_repeats(docs, block_bytes=2000))
+    assert got == brute(rows)
+    assert docs.where("doc_id = 5").select(numbered(*seen[0])).distinct().count() > 5
+
+
 def test_other_columns_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a b", 5, None), (2, None, 6, "k")], SCHEMA + ", n_words int, hash string")
     got = substring.remove_repeats(docs)
