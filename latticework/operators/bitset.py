@@ -16,6 +16,7 @@ from latticework.functions.arrays import each
 from latticework.functions import bits
 from latticework.functions.hashing import HASH_SEED
 from latticework.operators.joins import lookup
+from latticework.operators.placing import begun
 from latticework.session import materialize
 
 KEYS = ["set_id", "word_ix"]
@@ -355,24 +356,59 @@ def equal_groups(words: DataFrame, signed: DataFrame | None = None) -> DataFrame
     return lookup(found, sizes, ["leader"], "inner").select("set_id", "leader", "n_sets")
 
 
-def to_text(words: DataFrame, sets: DataFrame | None = None) -> DataFrame:
-    """``(set_id, text)`` in the form ``{1, 2, 5}``; the result is one cell per set."""
+def _entries(words: DataFrame) -> DataFrame:
+    """Words with ``entry``: their place and their members as text."""
     base = F.shiftleft("word_ix", bits.WORD_SHIFT)
     in_word = F.array_join(
         F.transform(bits.set_positions(F.col("word")), lambda p: (base + p).cast("string")), ", "
     )
+    return words.where(F.col("word") != 0).withColumn("entry", F.struct("word_ix", in_word.alias("part")))
+
+
+def _joined(entries: Column) -> Column:
+    return F.array_join(F.sort_array(entries)["part"], ", ")
+
+
+def to_text(words: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """``(set_id, text)`` in the form ``{1, 2, 5}``; the result is one cell per set."""
     found = (
-        words.where(F.col("word") != 0)
-        .select("set_id", F.struct("word_ix", in_word.alias("part")).alias("entry"))
+        _entries(words)
         .groupBy("set_id")
         .agg(F.collect_list("entry").alias("entries"))
-        .select(
-            "set_id",
-            F.concat(
-                F.lit("{"),
-                F.array_join(F.sort_array("entries")["part"], ", "),
-                F.lit("}"),
-            ).alias("text"),
-        )
+        .select("set_id", F.concat(F.lit("{"), _joined(F.col("entries")), F.lit("}")).alias("text"))
     )
     return _for_sets(found, sets, {"text": "{}"})
+
+
+def to_text_segments(words: DataFrame, sets: DataFrame | None = None, words_per_segment: int = 1_024) -> DataFrame:
+    """``(set_id, segment, start, text)``: the form of :func:`to_text` in ordered segments.
+
+    For sets whose text is larger than a cell. A segment is the text of ``words_per_segment`` words by their place, with the
+    bracket or comma before it; segments without members are left out. The texts of a set in the order of ``segment`` are its
+    text form, and ``start`` is the number of characters before each. A segment is gathered alone, so no task
+    holds a set. A set of ``sets`` without members has one segment, 0, of ``{}``.
+    """
+    if words_per_segment < 1:
+        raise ValueError("words_per_segment must be at least 1")
+    # A struct, as a null in it is equal to another.
+    owner = F.struct("set_id").alias("owner")
+    segment = F.call_function("div", F.col("word_ix").cast("long"), F.lit(words_per_segment)).alias("segment")
+    parts = _entries(words).groupBy(owner, segment).agg(_joined(F.collect_list("entry")).alias("part"))
+    # Read for the ends, the places and the texts.
+    parts = materialize(parts, "text-segments")
+    ends = parts.groupBy("owner").agg(F.min("segment").alias("first"), F.max("segment").alias("last"))
+    opening = F.when(F.col("segment") == F.col("first"), F.lit("{")).otherwise(F.lit(", "))
+    closing = F.when(F.col("segment") == F.col("last"), F.lit("}")).otherwise(F.lit(""))
+    sized = lookup(parts.select("owner", "segment", F.length("part").alias("n")), ends, ["owner"], "inner")
+    sized = sized.select("owner", "segment", opening.alias("opening"), closing.alias("closing"), "n")
+    sized = sized.withColumn("size", F.col("n") + F.length("opening") + F.length("closing"))
+    placed = lookup(sized, begun(sized, "owner", "segment", "size"), ["owner", "segment"], "inner")
+    found = lookup(parts, placed, ["owner", "segment"], "inner").select(
+        "owner.set_id", "segment", F.col("begun").alias("start"), F.concat("opening", "part", "closing").alias("text")
+    )
+    if sets is None:
+        return found
+    empty = sets.select("set_id").distinct().join(ends.select("owner.set_id"), "set_id", "left_anti")
+    return found.unionByName(
+        empty.select("set_id", F.lit(0).cast("long").alias("segment"), F.lit(0).cast("long").alias("start"), F.lit("{}").alias("text"))
+    )

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from latticework.functions.arrays import each
+from latticework.operators.joins import lookup
+from latticework.operators.placing import begun
+from latticework.session import materialize
 
 # Fixed value: default chunk size in bytes.
 DEFAULT_CHUNK_SIZE = 260_001
@@ -85,6 +88,15 @@ def is_binary(chunks: DataFrame) -> bool:
     return isinstance(chunks.schema["chunk"].dataType, T.BinaryType)
 
 
+def _by_key(chunks: DataFrame) -> DataFrame:
+    """One row a key; replays are reduced on the map side."""
+    return (
+        chunks.where(F.col("key").isNotNull())
+        .groupBy("msg_id", "n_chunks", "key")
+        .agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("other"))
+    )
+
+
 def reassemble(chunks: DataFrame, as_text: bool = False) -> DataFrame:
     """``(msg_id, n_chunks, n_seen, value)`` per message; ``n_seen`` counts distinct keys.
 
@@ -96,11 +108,7 @@ def reassemble(chunks: DataFrame, as_text: bool = False) -> DataFrame:
     value = joined_value(F.col("parts"), binary)
     if binary and as_text:
         value = value.cast("string")
-    by_key = (
-        chunks.where(F.col("key").isNotNull())
-        .groupBy("msg_id", "n_chunks", "key")
-        .agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("other"))
-    )
+    by_key = _by_key(chunks)
     n = F.col("n_chunks")
     complete = (F.col("n_seen") == n) & (F.col("first") == 1) & (F.col("last") == n) & F.col("agreed")
     return (
@@ -114,3 +122,43 @@ def reassemble(chunks: DataFrame, as_text: bool = False) -> DataFrame:
         )
         .select("msg_id", "n_chunks", "n_seen", F.when(complete, value).alias("value"))
     )
+
+
+def segments(chunks: DataFrame, chunks_per_segment: int = _CHUNKS_PER_PART) -> DataFrame:
+    """``(msg_id, n_chunks, segment, start, size, part)``: the value of each complete message in ordered segments.
+
+    For values that are larger than a cell. A segment holds ``chunks_per_segment`` chunks (the last one fewer) and the
+    parts of a message in the order of ``segment``, from 0, are the value that :func:`reassemble` gives; ``start`` is the
+    number of bytes (binary chunks) or characters (text) before a part and ``size`` its own. A segment is gathered alone and
+    messages are judged from counts of their segments, so no task holds a value. Messages that are not complete, for the reasons of
+    :func:`reassemble`, have no segment; an empty value has one, of size 0. No rows: no rows.
+    """
+    if chunks_per_segment < 1:
+        raise ValueError("chunks_per_segment must be at least 1")
+    # A struct, as null parts of it are equal.
+    message = F.struct("msg_id", "n_chunks").alias("message")
+    segment = F.call_function("div", F.col("key").cast("long") - 1, F.lit(chunks_per_segment)).alias("segment")
+    agreed = F.bool_and(F.coalesce(F.col("chunk") == F.col("other"), F.lit(False)))
+    gathered = (
+        _by_key(chunks)
+        .groupBy(message, segment)
+        .agg(
+            F.collect_list(F.struct("key", "chunk")).alias("entries"),
+            F.count("*").alias("n_seen"),
+            F.min("key").alias("first"),
+            F.max("key").alias("last"),
+            agreed.alias("agreed"),
+        )
+        .withColumn("part", joined_value(F.col("entries"), is_binary(chunks)))
+        .withColumn("size", F.length("part").cast("long"))
+        .drop("entries")
+    )
+    # Read for the counts, the places and the parts.
+    gathered = materialize(gathered, "segments")
+    n = F.col("message.n_chunks")
+    complete = (F.sum("n_seen") == F.first(n)) & (F.min("first") == 1) & (F.max("last") == F.first(n)) & F.bool_and("agreed")
+    whole = gathered.groupBy("message").agg(complete.alias("complete")).where("complete").select("message")
+    parts = lookup(gathered.select("message", "segment", "size"), whole, ["message"], "inner")
+    placed = begun(parts, "message", "segment", "size", order_bits=32)
+    found = lookup(gathered.select("message", "segment", "size", "part"), placed, ["message", "segment"], "inner")
+    return found.select("message.*", "segment", F.col("begun").alias("start"), "size", "part")

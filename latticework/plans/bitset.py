@@ -8,6 +8,8 @@ from latticework.operators import bitset as ops
 from latticework.operators import navigation as nav
 from latticework.plans.inputs import SETS_SQL, line_sets, order_line_sets, priority_sets, table
 
+WORDS_PER_SEGMENT = 16
+
 
 def _a(spark, sf_dir):
     return ops.pack(line_sets(spark, sf_dir))
@@ -113,6 +115,11 @@ def bitset_to_string(spark, sf_dir):
     return ops.to_text(ops.pack(order_line_sets(spark, sf_dir)), orders)
 
 
+def bitset_text_segments(spark, sf_dir):
+    """Sets of orders by line number, written in segments of 16 words; sets of ``_all_sets`` without members too."""
+    return ops.to_text_segments(_a(spark, sf_dir), _all_sets(spark, sf_dir), WORDS_PER_SEGMENT)
+
+
 def bitset_runs(spark, sf_dir):
     return nav.runs(line_sets(spark, sf_dir))
 
@@ -164,7 +171,7 @@ QUERIES = {
     for name in [
         "bitset_build", "bitset_cardinality", "bitset_length", "bitset_get", "bitset_or", "bitset_and",
         "bitset_xor", "bitset_andnot", "bitset_intersects", "bitset_set_range", "bitset_update",
-        "bitset_flip", "bitset_hash", "bitset_equal_groups", "bitset_to_string", "bitset_runs",
+        "bitset_flip", "bitset_hash", "bitset_equal_groups", "bitset_to_string", "bitset_text_segments", "bitset_runs",
         "bitset_next_set", "bitset_prev_set", "bitset_next_clear", "bitset_prev_clear",
         "bitset_next_clear_unbounded", "bitset_prev_clear_unbounded", "bitset_next_clear_half", "bitset_prev_clear_half",
     ]
@@ -238,6 +245,17 @@ FROM contents""",
     "bitset_to_string": f"""{_WITH}
 SELECT o_orderkey AS set_id, '{{' || coalesce(string_agg(CAST(bit AS VARCHAR), ', ' ORDER BY bit), '') || '}}' AS text
 FROM orders LEFT JOIN order_line_sets ON set_id = o_orderkey GROUP BY o_orderkey""",
+    "bitset_text_segments": f"""{_WITH}, {_ALL_SETS},
+parts AS (
+  SELECT set_id, bit // {64 * WORDS_PER_SEGMENT} AS segment, string_agg(CAST(bit AS VARCHAR), ', ' ORDER BY bit) AS part
+  FROM line_sets GROUP BY ALL),
+texts AS (
+  SELECT set_id, segment, CASE WHEN lag(segment) OVER ordered IS NULL THEN '{{' ELSE ', ' END || part
+    || CASE WHEN lead(segment) OVER ordered IS NULL THEN '}}' ELSE '' END AS text
+  FROM parts WINDOW ordered AS (PARTITION BY set_id ORDER BY segment))
+SELECT set_id, CAST(segment AS BIGINT) AS segment, CAST(coalesce(sum(length(text)) OVER (
+  PARTITION BY set_id ORDER BY segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, text FROM texts
+UNION ALL SELECT set_id, 0, 0, '{{}}' FROM all_sets WHERE set_id NOT IN (SELECT set_id FROM line_sets)""",
     "bitset_runs": f"{_WITH}, {_RUNS} SELECT set_id, run_start, run_end FROM runs",
     "bitset_next_set": f"""{_WITH}
 SELECT p.set_id, p.bit AS from_bit, coalesce(l.bit, -1) AS next_set

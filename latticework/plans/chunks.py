@@ -11,6 +11,7 @@ from latticework.streaming import chunks as streams
 from latticework.streaming.runs import run_available
 
 CHUNK = 1_000
+PER_SEGMENT = 2
 
 # Send time of the streamed messages, and a time past the watermark delay.
 SENT_AT = "2024-01-01 00:00:00"
@@ -58,6 +59,13 @@ def chunk_reassemble_bytes(spark, sf_dir):
     return whole.select(F.col("msg_id").alias("page_id"), F.col("value").alias("html"))
 
 
+def chunk_segments(spark, sf_dir):
+    """The complete messages of ``chunk_reassemble`` in segments of two chunks."""
+    parts = _damaged(_split(spark, sf_dir))
+    found = ops.segments(parts.repartition(F.xxhash64("msg_id", "key")), PER_SEGMENT)
+    return found.select(F.col("msg_id").alias("doc_id"), "segment", "start", "size", F.col("part").alias("text"))
+
+
 def stream_reassemble(spark, sf_dir):
     path = scratch_dir(spark, "chunk-files")
     streams.write_chunks(_damaged(_split(spark, sf_dir)), path, SENT_AT)
@@ -107,6 +115,7 @@ QUERIES = {
     "chunk_split_bytes": chunk_split_bytes,
     "chunk_reassemble": chunk_reassemble,
     "chunk_reassemble_bytes": chunk_reassemble_bytes,
+    "chunk_segments": chunk_segments,
     "stream_reassemble": stream_reassemble,
 }
 
@@ -145,6 +154,15 @@ FROM (SELECT page_id AS msg_id, hex(encode(html)) AS hexed, strlen(html) AS n,
              CAST(greatest(1, (strlen(html) + {CHUNK - 1}) // {CHUNK}) AS INTEGER) AS n_chunks FROM pages),
      unnest(range(1, n_chunks + 1)) AS u(k)""",
     "chunk_reassemble": _DOCUMENTS,
+    "chunk_segments": f"""WITH whole AS (
+  SELECT doc_id, text, doc_id % 5 = 4 AS marked, (n + {PER_SEGMENT - 1}) // {PER_SEGMENT} AS n_segments FROM ({_SIZES})
+  WHERE text IS NOT NULL AND doc_id % 11 <> 5 AND (doc_id % 7 = 3) = (doc_id % 5 = 4)
+), parts AS (
+  SELECT doc_id, k, substring(text, k * {PER_SEGMENT * CHUNK} + 1, {PER_SEGMENT * CHUNK})
+    || CASE WHEN marked AND k = n_segments - 1 THEN '?' ELSE '' END AS part
+  FROM whole, unnest(range(0, n_segments)) AS u(k))
+SELECT doc_id, CAST(k AS BIGINT) AS segment, CAST(k * {PER_SEGMENT * CHUNK} AS BIGINT) AS start,
+  CAST(length(part) AS BIGINT) AS size, part AS text FROM parts""",
     "chunk_reassemble_bytes": "SELECT page_id, html FROM pages",
     "stream_reassemble": _DOCUMENTS,
 }

@@ -199,3 +199,18 @@ def test_capacity_is_checked(spark):
     assert as_sets(ops.unpack(ops.bounded(words, 100))) == {1: {3, 127}}
     with pytest.raises(Exception, match="outside the capacity"):
         ops.bounded(words, 64).collect()
+
+
+@pytest.mark.parametrize("words_per_segment", [1, 64, 10**6])
+def test_text_segments_join_to_the_text(spark, words_per_segment):
+    rng = random.Random(3)
+    sets = {1: EDGES, 2: [rng.randrange(10**5) for _ in range(900)], 3: [], None: [5, 70], 4: [2**62, 7]}
+    words = ops.pack(members(spark, sets))
+    wanted = spark.createDataFrame([(1,), (3,), (3,)], "set_id int")
+    rows = ops.to_text_segments(words, wanted, words_per_segment).collect()
+    for s, bits in sets.items():
+        own = sorted((r for r in rows if r["set_id"] == s), key=lambda r: r["segment"])
+        text = "".join(r["text"] for r in own)
+        assert text == "{" + ", ".join(map(str, sorted(set(bits)))) + "}"
+        assert all(text[r["start"] : r["start"] + len(r["text"])] == r["text"] for r in own)
+        assert [r["segment"] for r in own] == (sorted({b // 64 // words_per_segment for b in bits}) or [0])

@@ -173,3 +173,33 @@ def test_assembly_goes_on_where_a_run_ended(spark, messages):
     assert got == dict(enumerate(TEXTS)) and assembly.messages().count() == len(TEXTS)
     n, again = parts.count(), parts.where("key < n_chunks").count()
     assert tuple(assembly.account().first()) == (n + again, n, again, 0, 0)
+
+
+@pytest.mark.parametrize("per_segment", [1, 3, 64])
+@pytest.mark.parametrize("unit", ["bytes", "chars"])
+def test_segments_join_to_the_value(messages, unit, per_segment):
+    parts = ops.split(messages, "msg", "body", 4, unit)
+    parts = parts.unionByName(parts.where("key % 3 = 1")).orderBy(F.rand(5))
+    rows = ops.segments(parts, per_segment).collect()
+    empty = b"" if unit == "bytes" else ""
+    for i, text in enumerate(TEXTS):
+        own = sorted((r for r in rows if r["msg_id"] == i), key=lambda r: r["segment"])
+        value = text.encode() if unit == "bytes" else text
+        assert empty.join(r["part"] for r in own) == value
+        assert [r["segment"] for r in own] == list(range(len(own))) and len(own) == -(-own[0]["n_chunks"] // per_segment)
+        assert all(r["size"] == len(r["part"]) and value[r["start"] : r["start"] + r["size"]] == r["part"] for r in own)
+    assert {r["msg_id"] for r in rows} == set(range(len(TEXTS)))
+
+
+def test_segments_of_damaged_messages(spark):
+    rows = [(1, 3, k, c) for k, c in ((1, "a"), (3, "c"))] + [(2, 2, 1, "a"), (2, 2, 2, "b"), (2, 2, 2, "x")]
+    rows += [(3, 2, 1, "a"), (3, 2, 2, "b"), (3, 2, 3, "c"), (4, 2, 0, "a"), (4, 2, 1, "b"), (5, None, 1, "a"), (6, 1, 1, None)]
+    rows += [(None, 2, 2, "b"), (None, 2, 1, "a"), (None, 2, None, "z"), (None, 2, 1, "a"), (7, 1, 1, "y"), (7, 2, 1, "y")]
+    parts = spark.createDataFrame(rows, "msg_id int, n_chunks int, key int, chunk string")
+    want = {(r["msg_id"], r["value"]) for r in ops.reassemble(parts).collect() if r["value"] is not None}
+    got = ops.segments(parts, 2)
+    assert {(r["msg_id"], r["part"]) for r in got.collect()} == want == {(None, "ab"), (7, "y")}
+    assert got.columns == ["msg_id", "n_chunks", "segment", "start", "size", "part"]
+    assert ops.segments(parts.limit(0)).collect() == []
+    with pytest.raises(ValueError):
+        ops.segments(parts, 0)
