@@ -26,7 +26,7 @@ from latticework.session import BROADCAST_ROWS, materialize
 _TEMPLATE_SYMBOLS = "12345"
 
 # Candidates one task should enumerate.
-_ROWS_PER_TASK = 250_000
+ROWS_PER_TASK = 250_000
 
 # Numbers that one row stands for until it is expanded: beginnings of permutations, and strings.
 _PREFIXES_PER_BLOCK, _STRINGS_PER_BLOCK = 256, 16_384
@@ -39,7 +39,7 @@ def _symbols(text: Column) -> Column:
 def _spread(rows: DataFrame, total: int, *keys: str) -> DataFrame:
     """Spread started enumerations over as many tasks as the finished ones need."""
     parallelism = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(parallelism, -(-total // _ROWS_PER_TASK)), *keys)
+    return rows.repartition(max(parallelism, -(-total // ROWS_PER_TASK)), *keys)
 
 
 def _templates(n: int) -> Column:
@@ -56,7 +56,7 @@ def _digest(cand: Column) -> Column:
 
 # Join hint for candidates too many to broadcast: Spark underestimates exploded rows, and a sorted join
 # spills whatever their number.
-_SHUFFLED = "shuffle_merge"
+SHUFFLED = "shuffle_merge"
 
 
 def distinct_symbols(alphabet: Column) -> Column:
@@ -235,7 +235,7 @@ def tuples(
         rows = rows.select(
             "universe", "plen", "symbols", "cand", each(step).alias("symbol")
         ).select("universe", "plen", "symbols", F.concat("cand", "symbol").alias("cand"))
-        if depth == max(longest // 2, 1) and total > _ROWS_PER_TASK:
+        if depth == max(longest // 2, 1) and total > ROWS_PER_TASK:
             rows = _spread(rows, total, "universe", "plen", "cand")
     return rows.select("universe", "plen", "cand")
 
@@ -284,7 +284,7 @@ def _hint_matches(
         wanted = hints.select(*keys).distinct()
         matched = found.join(F.broadcast(wanted), keys)
         return hints.join(F.broadcast(matched), keys, "left")
-    return lookup(hints, found.hint(_SHUFFLED), keys)
+    return lookup(hints, found.hint(SHUFFLED), keys)
 
 
 def match_hints(
@@ -357,7 +357,7 @@ def recover(
     if total <= broadcast_rows:
         joined = universes.join(F.broadcast(cands), keys, "left")
     else:
-        joined = lookup(universes, cands.hint(_SHUFFLED), keys)
+        joined = lookup(universes, cands.hint(SHUFFLED), keys)
     status = F.when(~open_, F.lit("refused")).when(F.col("cand").isNull(), F.lit("unresolved"))
     value = F.when(open_, F.col("cand"))
     return joined.select("id", value.alias("value"), status.otherwise(F.lit("found")).alias("status"))
@@ -432,7 +432,7 @@ def recover_in_slices(
         if total <= broadcast_rows:
             joined = waiting.join(F.broadcast(cands), keys)
         else:
-            joined = lookup(waiting, cands.hint(_SHUFFLED), keys, "inner")
+            joined = lookup(waiting, cands.hint(SHUFFLED), keys, "inner")
         found = materialize(joined.select("id", "cand", F.lit(number).alias("slice")), f"slice-{number}")
         hits = hits.unionByName(found)
         ran = ran.unionByName(ranges.select("universe", "plen", F.lit(number).alias("n_slices")))

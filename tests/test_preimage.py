@@ -6,6 +6,7 @@ import pytest
 from conftest import row_set
 
 from latticework.operators import preimage as ops
+from latticework.streaming import hints as stream_hints
 from latticework.streaming.hints import stream_hint_match
 
 
@@ -152,6 +153,44 @@ def test_stream_matches_without_shuffling_the_candidates(spark, tmp_path):
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
 
 
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 1}])
+@pytest.mark.parametrize("alphabets", [["ABCD", "XYZ", "PQ"], []])
+def test_stream_batches_broadcast_nothing(spark, tmp_path, monkeypatch, alphabets, options):
+    rows = [(i, "ABCD", 2, sha("AA"), [sha("BCA"), sha("?"), None]) for i in range(12)] + [
+        (20, "XYZ", 2, sha("XX"), [sha("ZX"), sha("XY")]),
+        (21, "XYZ", 2, sha("XX"), [sha("BCA")]),  # a hint of another alphabet
+        (22, None, 2, sha("XX"), [sha("BCA")]),
+        (None, "XYZ", 2, sha("XX"), [sha("ZX")]),
+        (23, "XYZ", 2, sha("XX"), []),
+        (24, "XYZ", 2, sha("XX"), None),
+    ]
+    records = spark.createDataFrame(rows, "id int, alphabet string, plen int, value_hash string, hints array<string>")
+    records.repartition(4).write.parquet(f"{tmp_path}/records")
+    stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/records")
+    ops.hashed_permutations(spark.createDataFrame([(a,) for a in alphabets], "alphabet string")).write.parquet(f"{tmp_path}/candidates")
+    candidates = spark.read.parquet(f"{tmp_path}/candidates")
+
+    plans, run = [], stream_hints.run_batches
+
+    def traced(stream, label, transform):
+        def kept(batch):
+            out = transform(batch)
+            plans.append((batch.isEmpty(), out._jdf.queryExecution().executedPlan().toString()))
+            return out
+
+        return run(stream, label, kept)
+
+    monkeypatch.setattr(stream_hints, "run_batches", traced)
+    got = stream_hint_match(stream, candidates, **options)
+    want = [(r.id, r.hint_ix, r.hint_hash, r.excluded) for r in ops.match_hints(records, candidates=candidates).collect()]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert len(want) == 24 + 5 and sum(r[3] is not None for r in want) == (12 + 3 if alphabets else 0)
+    shuffles = [plan.count("Exchange hashpartitioning") for empty, plan in plans if not empty]
+    assert len(shuffles) == 4 and max(shuffles) == (2 if options else 1)
+    assert not any("Broadcast" in plan for _, plan in plans)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("latticework_")]
+
+
 @pytest.mark.parametrize("alphabet", ["A", "BA", "CAB", "DBCAE", "GFEDCBA", "AABAC"])
 def test_permutations_by_number(spark, alphabet):
     symbols = list(dict.fromkeys(alphabet))
