@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,11 +10,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from latticework.llm.text import (
     Windows,
     as_bytes,
     hasher,
+    release,
     repeated_lines,
     repeated_words,
     smaller_batches,
@@ -180,6 +183,7 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = table_of(as_bytes(batch.column("text")))
         names = ["label", *FEATURES]
         yield pa.RecordBatch.from_arrays([batch.column("label"), *map(pa.array, np.ascontiguousarray(x.T))], names)
+        release()
 
 
 def train(
@@ -197,11 +201,13 @@ def train(
     return fit(x[order], y[order])
 
 
-def _scores(model: Trees):
+def _scores(model: Trees, at: int, n_columns: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in smaller_batches(batches, -1):
-            found = model.probability(table_of(as_bytes(batch.column(-1))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], [*batch.schema.names[:-1], "score"])
+        for batch in smaller_batches(batches, at):
+            found = model.probability(table_of(as_bytes(batch.column(at))))
+            names = [*batch.schema.names[:n_columns], "score"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n_columns], pa.array(found)], names)
+            release()
 
     return run
 
@@ -214,5 +220,11 @@ def score(docs: DataFrame, model: Trees, text: str = "text") -> DataFrame:
     rows: no rows.
     """
     rows = docs.drop("score")
-    kept = rows.select("*", docs[text].alias(fresh("text", rows.columns)))
-    return kept.mapInArrow(_scores(model), rows.schema.add("score", "double"))
+    same = [at for at, name in enumerate(rows.columns) if name.lower() == text.lower()]
+    if len(same) == 1 and text == rows.columns[same[0]] and not re.search(r"[.`]", text):
+        kept, at = rows, same[0]
+    else:
+        # A field of a struct, say: it goes along once more, last.
+        kept, at = rows.select("*", docs[text].alias(fresh("text", rows.columns))), len(rows.columns)
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    return kept.mapInArrow(_scores(model, at, len(rows.columns)), schema)

@@ -14,12 +14,12 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from latticework.llm.text import LONGEST, parts
+from latticework.llm.text import LONGEST, parts, release
 
 # Runs of characters, as the tokenizer splits a text, and chunks of other characters that a Python worker remembers.
 RUNS, CHUNKS = 300_000, 50_000
-# New chunks that one call of the library encodes, and bytes of plain text that are split together.
-AT_ONCE, PLAIN_BYTES = 200, 4 << 20
+# New chunks that one call of the library encodes, new runs, and bytes of plain text that are split together.
+AT_ONCE, RUNS_AT_ONCE, PLAIN_BYTES = 200, 10_000, 4 << 20
 
 # The pattern by which lower-casing byte-level word tokenizers split a text into runs, and how such
 # tokenizers write bytes, visible ones as themselves and the others from 256 on.
@@ -87,22 +87,25 @@ class Encoder:
         # Case matters to strings of special tokens; elsewhere a lower-casing tokenizer makes one of many chunks.
         self.special = [str(t).lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lower = self._ids(string.ascii_uppercase) == self._ids(string.ascii_lowercase)
+        del steps
+        release()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _look_up(self, runs: list[bytes]) -> list[bytes]:
-        """The ids of distinct runs, gaps included; the model encodes all new ones in one call."""
+        """The ids of distinct runs, gaps included; the model encodes many new ones in one call."""
         known = self.runs
         found = list(map(known.get, runs))
         new = [at for at, ids in enumerate(found) if ids is None]
-        if new:
-            joined = b"\n".join(runs[at] for at in new)
+        for first in range(0, len(new), RUNS_AT_ONCE):
+            some = new[first : first + RUNS_AT_ONCE]
+            joined = b"\n".join(runs[at] for at in some)
             written = _WRITTEN[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
             encoded = self.model.encode(written, add_special_tokens=False)
             ids, of = np.array(encoded.ids, "<u4").tobytes(), np.array(encoded.word_ids, np.int64)
-            borders = (4 * np.searchsorted(of, np.arange(len(new) + 1))).tolist()
-            for at, a, b in zip(new, borders, borders[1:]):
+            borders = (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
+            for at, a, b in zip(some, borders, borders[1:]):
                 found[at] = ids[a:b]
                 if len(runs[at]) <= LONGEST:
                     known[runs[at]] = found[at]
@@ -193,7 +196,11 @@ class Encoder:
                     settle()
                     held = 0
         settle()
-        return [b"".join(ids) for ids in out]
+        found = [b"".join(ids) for ids in out]
+        del out
+        # What a call of the library takes is many times its text.
+        release()
+        return found
 
     def encode(self, data: bytes | None) -> bytes:
         return self.encode_all([data])[0]

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -93,3 +94,26 @@ def test_stages_keep_the_columns_of_documents(spark):
     rows = spark.createDataFrame(odd, docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, rows, SF).collect()
+
+
+def test_batches_are_small(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "src1", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    wide = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    key = corpus_pipeline.BATCH_SETTING
+    try:
+        spark.conf.unset(key)
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, SF)
+            found = [r.n for r in wide.mapInArrow(sizes, "n long").collect()]
+            assert sum(found) >= 30_000_000 and max(found) <= corpus_pipeline.BATCH_BYTES + 200_000
+            spark.conf.unset(key)
+        spark.conf.set(key, "1234567")
+        corpus_pipeline.prepare(spark)
+        assert spark.conf.get(key) == "1234567"
+    finally:
+        spark.conf.unset(key)

@@ -75,3 +75,17 @@ def test_edge_rows(spark):
         assert all(0 < r.score < 1 for r in got.collect()) and got.count() == 4
     assert quality.score(docs.limit(0), model).collect() == []
     assert quality.statistics(b"x" * 5_000_000, quality.hasher(), quality.Windows(3))[2] == 5_000_000
+
+
+def test_texts_are_sent_once(spark):
+    docs = spark.createDataFrame([(1, "a b c", 4), (2, None, 5)], "doc_id long, text string, more int")
+    model = quality.fit(np.zeros((0, len(quality.FEATURES)), np.float32), np.zeros(0))
+    scored = quality.score(docs, model)
+    sent = scored._jdf.queryExecution().analyzed().children().apply(0).output()
+    assert sent.size() == len(docs.columns)
+    want = [(r.doc_id, r.text, r.more, r.score) for r in scored.collect()]
+    assert [row[:3] for row in want] == [(1, "a b c", 4), (2, None, 5)]
+    # A field of a struct and another case work too.
+    nested = docs.selectExpr("doc_id", "struct(text) AS s", "more")
+    assert [r.score for r in quality.score(nested, model, "s.text").collect()] == [row[3] for row in want]
+    assert quality.score(docs, model, "TEXT").columns == ["doc_id", "text", "more", "score"]

@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -11,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from latticework.llm import packing, token_files
+from latticework.llm import packing, token_files, tokens
 from latticework.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -149,3 +152,31 @@ def test_selective_reads(spark, tmp_path):
     assert light.columns == ["doc_id", "start", "n_tokens"]
     assert "tokens:array" not in light._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(doc_id,9)" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_freed_memory_goes_back():
+    code = """
+import random, psutil
+import public_tokenizers
+from latticework.llm import text, tokens
+encoder = tokens.Encoder(public_tokenizers.path('word_bpe_49k.json'))
+rng = random.Random(3)
+data = b" ".join(bytes(rng.choices(b"abcdefghijklmnop", k=7)) for _ in range(250_000))
+held = lambda: psutil.Process().memory_info().rss
+for at in range(0, len(data), 500_000):
+    encoder.encode(data[at : at + 500_000])
+before = held()
+text.release()
+assert before - held() < 30e6, (before, held())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, env=os.environ | {"PYTHONPATH": ":".join(sys.path)})
+
+
+def test_new_runs_are_encoded_in_parts(monkeypatch):
+    data = " ".join(f"w{at} it's" for at in range(300)).encode()
+    want = Encoder(PATH).encode(data)
+    monkeypatch.setattr(tokens, "RUNS_AT_ONCE", 7)
+    one = Encoder(PATH)
+    calls, model = [], one.model
+    one.model = type("Model", (), {"encode": lambda self, text, **kw: calls.append(text.count("\n") + 1) or model.encode(text, **kw)})()
+    assert one.encode(data) == want and max(calls) <= 7
