@@ -7,19 +7,22 @@ import json
 import re
 import string
 from collections.abc import Sequence
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from latticework.llm.text import LONGEST, parts, release
 
 # Runs of characters, as the tokenizer splits a text, and chunks of other characters that a Python worker remembers.
-RUNS, CHUNKS = 300_000, 50_000
+RUNS, CHUNKS = 400_000, 50_000
+# Bytes of ids from which it forgets runs, however few.
+IDS_BYTES = 64 << 20
 # New chunks that one call of the library encodes, new runs, and bytes of plain text that are split together.
-AT_ONCE, RUNS_AT_ONCE, PLAIN_BYTES = 200, 10_000, 4 << 20
+AT_ONCE, RUNS_AT_ONCE, PLAIN_BYTES = 200, 1_000, 4 << 20
 
 # The pattern by which lower-casing byte-level word tokenizers split a text into runs, and how such
 # tokenizers write bytes, visible ones as themselves and the others from 256 on.
@@ -29,23 +32,28 @@ _WRITTEN = np.arange(256, dtype="<u4")
 _WRITTEN[[b for b in range(256) if b not in _VISIBLE]] = np.arange(256, 512 - len(_VISIBLE))
 _WRITTEN[ord("\n")] = ord("\n")
 
-# A character that is neither ASCII white space nor plain, and a chunk between white space that has one.
-_OTHER = re.compile(r"[^\x09-\x0D -~À-ÖØ-öø-ÿ]")
+# A chunk between white space that has a character that is neither ASCII white space nor plain.
 _OTHER_CHUNK = re.compile(r"(?<![^\x09-\x0D ])([!-~À-ÖØ-öø-ÿ]*+[^\x09-\x0D ]+)")
-_CONTROL = re.compile(rb"[^\x09-\x0D -~]")
 _SPACES = re.compile(r"[\x09-\x0D ]+")
 
+# The bytes of plain text, letters of Latin-1 being 0xC3 and one more, and each of them in lower case.
+_PLAIN = bytes({*range(0x09, 0x0E), *range(0x20, 0x7F), 0xC3, *range(0x80, 0xC0)} - {0x97, 0xB7})
+_UPPER = bytes({*range(ord("A"), ord("Z") + 1), *range(0x80, 0x9F)} - {0x97})
+_LOWER = bytes.maketrans(_UPPER, bytes(b + 0x20 for b in _UPPER))
+
 # Kinds of bytes of plain text in lower case; visible letters of Latin-1 are a byte of 0xC3 and one from 0x80 on.
 _GAP, _LETTER, _DIGIT, _SIGN = range(4)
 _KIND = np.full(256, _SIGN, np.int8)
-_KIND[list(b" \t\n\x0b\x0c\r")] = _GAP
+_GAPS = b" \t\n\x0b\x0c\r"
+_KIND[list(_GAPS)] = _GAP
 _KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 256)]] = _LETTER
 _KIND[list(b"0123456789")] = _DIGIT
 
 
-def run_starts(raw: np.ndarray) -> np.ndarray:
-    """Where the runs of plain text in lower case start, gaps included; ``raw`` ends with three gaps."""
+def run_starts(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes of plain text in lower case start a run, and which are in one; ``raw`` ends with three gaps."""
     kind = _KIND[raw]
+    inside = kind != _GAP
     new = np.append(True, kind[1:] != kind[:-1])
     new |= kind == _DIGIT
     # An apostrophe that starts a run, before the letters of a short form, takes these along.
@@ -57,7 +65,13 @@ def run_starts(raw: np.ndarray) -> np.ndarray:
     new[quote[short | long] + 1] = False
     new[quote[short] + 2] = True
     new[quote[long] + 3] = True
-    return np.flatnonzero(new)
+    return new & inside, inside
+
+
+def binary(values: np.ndarray, borders: np.ndarray) -> pa.LargeBinaryArray:
+    """The bytes of ``values`` between each two ``borders``."""
+    buffers = [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(values)]
+    return pa.Array.from_buffers(pa.large_binary(), len(borders) - 1, buffers)
 
 
 class Encoder:
@@ -78,7 +92,10 @@ class Encoder:
         # The model alone, for runs between white space.
         self.model = Tokenizer(self.tokenizer.model)
         self.model.pre_tokenizer = WhitespaceSplit()
-        self.runs: dict[bytes, bytes] = {}
+        # Where the ids of a run are, how many stretches of text had it, and the ids.
+        self.runs: dict[bytes, int] = {}
+        self.uses = np.empty(0, np.int32)
+        self.ids = binary(np.empty(0, "<u4"), np.zeros(1, np.int64))
         self.chunks: dict[str, bytes] = {}
         steps = json.loads(self.tokenizer.to_str())
         kinds = [step["type"] for step in (steps["normalizer"] or {}).get("normalizers", [])]
@@ -93,51 +110,58 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _look_up(self, runs: list[bytes]) -> list[bytes]:
-        """The ids of distinct runs, gaps included; the model encodes many new ones in one call."""
-        known = self.runs
-        found = list(map(known.get, runs))
-        new = [at for at, ids in enumerate(found) if ids is None]
+    def _look_up(self, runs: list[bytes]) -> np.ndarray:
+        """The places of distinct runs in ``self.ids``; the model encodes many new ones in one call."""
+        known, size, encoded = self.runs, len(self.ids), [self.ids]
+        found = np.fromiter(map(known.get, runs, repeat(-1)), np.int64, len(runs))
+        at = np.flatnonzero(found < 0)
+        found[at] = np.arange(size, size + len(at))
+        new = [runs[n] for n in at.tolist()]
         for first in range(0, len(new), RUNS_AT_ONCE):
             some = new[first : first + RUNS_AT_ONCE]
-            joined = b"\n".join(runs[at] for at in some)
-            written = _WRITTEN[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-32-le")
-            encoded = self.model.encode(written, add_special_tokens=False)
-            ids, of = np.array(encoded.ids, "<u4").tobytes(), np.array(encoded.word_ids, np.int64)
-            borders = (4 * np.searchsorted(of, np.arange(len(some) + 1))).tolist()
-            for at, a, b in zip(some, borders, borders[1:]):
-                found[at] = ids[a:b]
-                if len(runs[at]) <= LONGEST:
-                    known[runs[at]] = found[at]
-            if len(known) > RUNS:
-                # The older half goes.
-                for run in list(islice(known, len(known) // 2)):
-                    del known[run]
+            written = _WRITTEN[np.frombuffer(b"\n".join(some), np.uint8)].tobytes().decode("utf-32-le")
+            one = self.model.encode(written, add_special_tokens=False)
+            counts = np.bincount(np.array(one.word_ids, np.int64), minlength=len(some))
+            encoded.append(binary(np.array(one.ids, "<u4"), 4 * np.append(0, np.cumsum(counts))))
+        kept = np.flatnonzero(np.fromiter(map(len, new), np.int64, len(new)) <= LONGEST)[: RUNS - len(known)]
+        known.update(zip(map(new.__getitem__, kept.tolist()), (size + kept).tolist()))
+        self.ids = pa.concat_arrays(encoded)
+        self.uses = np.append(self.uses, np.zeros(len(new), np.int32))
+        self.uses[found] += 1
         return found
 
-    def _plain(self, pieces: list[bytes]) -> list[bytes]:
+    def _forget(self) -> None:
+        """Remember half as much, the runs used most; their uses count half from now on."""
+        runs, at = list(self.runs), np.fromiter(self.runs.values(), np.int64, len(self.runs))
+        most = np.argsort(-self.uses[at], kind="stable")[: RUNS // 2]
+        sizes = np.asarray(pc.binary_length(self.ids))[at[most]]
+        most = most[np.cumsum(sizes) <= IDS_BYTES // 2]
+        self.runs = {runs[n]: place for place, n in enumerate(most.tolist())}
+        self.ids, self.uses = self.ids.take(pa.array(at[most])), self.uses[at[most]] // 2
+
+    def _plain(self, pieces: list[bytes]) -> list[memoryview]:
         """The ids of each piece of plain text in lower case, all split and looked up together."""
+        if not pieces:
+            return []
         joined = b"\n".join([*pieces, b"\n\n"])
-        starts = run_starts(np.frombuffer(joined, np.uint8))
-        borders = pa.array(np.append(starts, len(joined)), pa.int32()).buffers()[1]
-        runs = pa.Array.from_buffers(pa.binary(), len(starts), [None, borders, pa.py_buffer(joined)]).dictionary_encode()
-        which = np.asarray(runs.indices)
+        starts, inside = run_starts(np.frombuffer(joined, np.uint8))
+        # A gap has no ids, so what is looked up has none.
+        text, firsts = joined.translate(None, _GAPS), np.flatnonzero(starts[inside])
+        borders = pa.array(np.append(firsts, len(text)), pa.int32()).buffers()[1]
+        runs = pa.Array.from_buffers(pa.binary(), len(firsts), [None, borders, pa.py_buffer(text)]).dictionary_encode()
         _, cuts, kept = runs.dictionary.buffers()
-        cuts, kept = np.frombuffer(cuts, np.int32)[: len(runs.dictionary) + 1].tolist(), kept.to_pybytes()
+        cuts, kept = np.frombuffer(cuts, np.int32)[: len(runs.dictionary) + 1].tolist(), kept.to_pybytes() if kept else b""
         distinct = [kept[a:b] for a, b in zip(cuts, cuts[1:])]
-        # A gap has no ids.
-        words = [at for at, run in enumerate(distinct) if not run.isspace()]
-        ids = [b""] * len(distinct)
-        for at, found in zip(words, self._look_up([distinct[at] for at in words])):
-            ids[at] = found
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        first, counts = (np.cumsum(sizes) - sizes)[which], sizes[which]
-        upto = np.append(0, np.cumsum(counts))
-        at = np.repeat(first - upto[:-1], counts) + np.arange(upto[-1])
-        found = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        at = self._look_up(distinct)[np.asarray(runs.indices)]
+        found = self.ids.take(pa.array(at))
+        if len(self.ids) > RUNS or self.ids.nbytes > IDS_BYTES:
+            self._forget()
+        _, upto, ids = found.buffers()
         ends = np.cumsum([len(piece) + 1 for piece in pieces])
-        cuts = (4 * upto[np.searchsorted(starts, np.append(0, ends))]).tolist()
-        return [found[a:b] for a, b in zip(cuts, cuts[1:])]
+        cuts = np.searchsorted(np.flatnonzero(starts), np.append(0, ends))
+        cuts = np.frombuffer(upto, np.int64)[cuts].tolist()
+        ids = memoryview(ids or b"")
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk, by the library."""
@@ -158,13 +182,15 @@ class Encoder:
 
     def _pieces(self, part: bytes) -> list[tuple[bool, bytes]]:
         """A part of a text as plain pieces in lower case (true) and the ids of what is between them."""
-        if self.plain and b"<|" not in part and part.isascii() and not _CONTROL.search(part):
-            return [(True, part.lower())]
+        if self.plain and b"<|" not in part and not part.translate(None, _PLAIN):
+            part.decode()  # other bytes than text are an error here too
+            return [(True, part.translate(_LOWER))]
+        low = part.lower()
+        if self.lower and not any(special in low for special in self.special):
+            part = low
         text = part.decode()
         if not self.plain or "<|" in text:
             return [(False, ids) for ids in self._chunks([chunk for chunk in _SPACES.split(text) if chunk])]
-        if not _OTHER.search(text):
-            return [(True, text.lower().encode())]
         # Plain stretches and other chunks take turns.
         pieces = _OTHER_CHUNK.split(text)
         found = [(True, piece.lower().encode()) for piece in pieces]
@@ -183,10 +209,7 @@ class Encoder:
 
         held = 0
         for ids, data in zip(out, texts):
-            data = data or b""
-            if self.lower and not any(text in (low := data.lower()) for text in self.special):
-                data = low
-            for part in parts(data):
+            for part in parts(data or b""):
                 for plain, piece in self._pieces(part):
                     if plain:
                         waiting.append((ids, len(ids), piece))

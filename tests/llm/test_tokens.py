@@ -180,3 +180,41 @@ def test_new_runs_are_encoded_in_parts(monkeypatch):
     calls, model = [], one.model
     one.model = type("Model", (), {"encode": lambda self, text, **kw: calls.append(text.count("\n") + 1) or model.encode(text, **kw)})()
     assert one.encode(data) == want and max(calls) <= 7
+
+
+def encoded_runs(one):
+    """The runs that the model of ``one`` will encode from now on."""
+    calls, model = [], one.model
+    one.model = type("Model", (), {"encode": lambda self, text, **kw: calls.extend(text.split("\n")) or model.encode(text, **kw)})()
+    return calls
+
+
+def letters(rng, n):
+    return ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(n)]
+
+
+def test_runs_used_often_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(tokens, "RUNS", 200)
+    one, rng = Encoder(PATH), random.Random(4)
+    calls, often = encoded_runs(one), letters(rng, 50)
+    for _ in range(20):
+        text = " ".join(often + letters(rng, 60))
+        assert np.frombuffer(one.encode(text.encode()), "<u4").tolist() == ids_of(text)
+        assert len(one.runs) <= 200
+    assert all(calls.count(run) == 1 for run in often)
+
+
+def test_ids_that_are_remembered_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "IDS_BYTES", 4000)
+    one, rng = Encoder(PATH), random.Random(5)
+    for _ in range(20):
+        text = " ".join([*letters(rng, 60), "x" * 3000, "it's 42%", "#%" * 30]) + " \n\t"
+        assert np.frombuffer(one.encode(text.encode()), "<u4").tolist() == ids_of(text)
+        assert one.ids.nbytes < 5000
+
+
+def test_gaps_alone_and_upper_case_of_latin_1():
+    for text in (" ", "\t\n", "ÀÖØÞßÿ×÷ ÀÉ×é÷ \x80Ã\x97 ÃÂ·", "ÉTÉ <| ÀB", "a\x01É Ê"):
+        assert np.frombuffer(Encoder(PATH).encode(text.encode()), "<u4").tolist() == ids_of(text)
+    with pytest.raises(UnicodeDecodeError):
+        Encoder(PATH).encode(b"ab \x80")
