@@ -82,7 +82,7 @@ def read_tables(spark, sf_dir):
     root = scratch_dir(spark, "tables")
     given = tables(spark, sf_dir, ALL_TABLES)
     for name, df in given.items():
-        table_files.write_table(_with_odd_texts(name, df), f"{root}/{name}.csv")
+        table_files.write_table(_with_odd_texts(name, df), f"{root}/{name}.csv", **table_files.PACKED)
     # Texts that look like numbers stay texts.
     schemas = {name: _read_schema(df.schema) for name, df in given.items() if name not in STAR_TABLES}
     rows = inclusion.cells(table_files.read_tables(spark, root, schemas))

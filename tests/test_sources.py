@@ -1,9 +1,13 @@
 import random
+from pathlib import Path
+
 import pytest
 from conftest import row_set
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticework.plans.inputs import ALL_TABLES
+from latticework.plans.readers import QUERIES
 from latticework.session import scratch_dir
 from latticework.sources import records, tables
 from latticework.streaming.runs import run_available
@@ -64,6 +68,50 @@ def test_a_file_is_split_between_and_inside_its_records(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def _stored(spark):
+    """Bytes below the scratch folder."""
+    return sum(f.stat().st_size for f in Path(spark.conf.get("spark.checkpoint.dir")).rglob("*") if f.is_file())
+
+
+def test_records_are_stored_once(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(i, "\n".join(f"{rng.random():.12f}" for _ in range(30))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    df.write.parquet(f"{tmp_path}/given")
+    given = sum(f.stat().st_size for f in (tmp_path / "given").rglob("*") if f.is_file())
+    tables.write_table(df, f"{tmp_path}/in/t.csv")
+    before = _stored(spark)
+    got = tables.read_tables(spark, f"{tmp_path}/in")["t"]
+    assert sorted(map(tuple, got.collect())) == rows
+    assert _stored(spark) - before < 1.1 * given
+
+
+def test_packed_tables_come_back_as_written(spark, tmp_path):
+    rows = [(i, ["a", "x\ny", 'q"q', "", None, "a\r\nb", '"\n'][i % 7], i / 8) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, text string, v double").coalesce(1)
+    tables.write_table(df, f"{tmp_path}/in/t.csv", **tables.PACKED | {"maxRecordsPerFile": 100})
+    assert [f.suffix for f in (tmp_path / "in" / "t.csv").glob("part-*")] == [".gz"] * 5
+    got = tables.read_tables(spark, f"{tmp_path}/in")["t"]
+    assert got.schema == df.schema
+    assert sorted(map(tuple, got.collect())) == rows
+
+
+def test_the_query_stores_less_than_twice_its_tables(spark, tmp_path):
+    rng = random.Random(3)
+    words = [f"{rng.random():.9f}"[2:] for _ in range(20_000)]
+    texts = ["\n".join(rng.choice(words) for _ in range(40)) for _ in range(3000)]
+    odd = spark.createDataFrame(list(enumerate(texts)), "item_id int, text string")
+    plain = odd.select("item_id", F.col("item_id").cast("double").alias("v"))
+    for name in ALL_TABLES:
+        (odd if name in ("benchmark", "documents", "pages") else plain).write.parquet(f"{tmp_path}/{name}.parquet")
+    given = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if f.is_file())
+    before = _stored(spark)
+    got = QUERIES["read_tables"](spark, str(tmp_path))
+    assert _stored(spark) - before < 2 * given
+    want = {("documents.text", t, 1) for t in texts} | {("lineitem.v", f"{i}.0", 1) for i in range(3000)}
+    assert row_set(got.where("attr IN ('documents.text', 'lineitem.v')").select("attr", "value", "n_cells")) == want
+
+
 def test_tables_of_one_name_are_an_error(spark, tmp_path):
     lines(tmp_path / "tmp" / "tmp", "t.csv", ["k", "1"])
     assert list(tables.list_tables(spark, str(tmp_path / "tmp" / "tmp"))) == ["t"]
